@@ -33,48 +33,48 @@ def number_islands(df: DataFrame, key: str, start: str, end: str, tiebreak: str)
     return finish(s2)
 
 
-def merge_day_intervals(df: DataFrame, keys: list[str], start: str, stop: str) -> DataFrame:
-    """Merge each key's overlapping [start, stop] day intervals (stop NULL =
-    still open) into disjoint islands. Intervals that end before they start
-    cover no day and are dropped. Returns keys, island_start, island_end
-    (NULL = open)."""
+def island_events(df: DataFrame, keys: list[str], start: str, stop: str) -> DataFrame:
+    """Sweep events of each key's merged [start, stop] day intervals (stop
+    NULL = still open): +1 on the first day of every island of overlapping
+    intervals and -1 on the day after it ends. Intervals ending before they
+    start cover no day and are dropped.
+
+    One ordered scan suffices: a row opens an island when its start is after
+    the running MAX of earlier ends, and that running MAX, seen by the row
+    opening island k+1, is exactly the end of island k (ends of earlier
+    islands are all smaller). The last island of a key ends at the key's
+    MAX end. Returns keys[0], day, delta.
+    """
+    open_end = F.to_date(F.lit(OPEN_END))
     d = (df.filter(F.col(start).isNotNull()
                    & (F.col(stop).isNull() | (F.col(stop) >= F.col(start))))
-         .select(*keys, F.col(start).alias("s"),
-                 F.coalesce(F.col(stop), F.to_date(F.lit(OPEN_END))).alias("e")))
-    order = asc("s", "e")
+         .select(*keys, F.col(start).alias("s"), F.coalesce(F.col(stop), open_end).alias("e")))
     p = prepare(d, keys, time_block("s"))
-    s1 = scan(p, order, [Spec("prev_e", "max", "e", "before")])
-    s1 = s1.withColumn("new", F.when(F.col("prev_e").isNull() | (F.col("s") > F.col("prev_e")),
-                                     F.lit(1)).otherwise(F.lit(0)))
-    s2 = finish(scan(s1, order, [Spec("island", "sum", "new", "upto")]))
-    isl = s2.groupBy(*keys, "island").agg(F.min("s").alias("island_start"),
-                                          F.max("e").alias("island_end"))
-    return isl.select(*keys, "island_start",
-                      F.when(F.col("island_end") != F.to_date(F.lit(OPEN_END)), F.col("island_end"))
-                      .alias("island_end"))
+    s1 = finish(scan(p, asc("s", "e"), [Spec("prev_e", "max", "e", "before")]))
+    opens = s1.filter(F.col("prev_e").isNull() | (F.col("s") > F.col("prev_e")))
+    up = opens.select(F.col(keys[0]), F.col("s").alias("day"), F.lit(1).alias("delta"))
+    closes = opens.filter(F.col("prev_e").isNotNull()).select(
+        F.col(keys[0]), F.date_add("prev_e", 1).alias("day"), F.lit(-1).alias("delta"))
+    last = (s1.groupBy(*keys).agg(F.max("e").alias("e")).filter(F.col("e") != open_end)
+            .select(F.col(keys[0]), F.date_add("e", 1).alias("day"), F.lit(-1).alias("delta")))
+    return up.unionByName(closes).unionByName(last)
 
 
-def count_covering(islands: DataFrame, key: str, queries: DataFrame, q_day: Column,
+def count_covering(events: DataFrame, key: str, queries: DataFrame, q_day: Column,
                    id_cols: list[str], out: str) -> DataFrame:
-    """For each query row (key, id_cols, day), the number of disjoint islands
-    of the key with island_start <= day <= island_end (NULL end = open).
+    """For each query row (key, id_cols, day) the running sum of the key's
+    events (key, day, delta) up to and including that day: with island
+    events this is the number of islands covering the day.
 
-    +1 events at each island start and -1 the day after each island end are
-    swept with the queries in day order (events before queries on a day); the
-    running sum at a query is the number of islands covering its day.
+    Events are swept with the queries in day order, events before queries on
+    the same day. A query with a NULL day gets 0.
     """
     id_types = {c: queries.schema[c].dataType.simpleString() for c in id_cols}
-    ev_start = islands.select(F.col(key), F.col("island_start").alias("day"),
-                              F.lit(0).alias("__k"), F.lit(1).alias("delta"),
-                              *[F.lit(None).cast(t).alias(c) for c, t in id_types.items()])
-    ev_end = islands.filter(F.col("island_end").isNotNull()).select(
-        F.col(key), F.date_add(F.col("island_end"), 1).alias("day"),
-        F.lit(0).alias("__k"), F.lit(-1).alias("delta"),
-        *[F.lit(None).cast(t).alias(c) for c, t in id_types.items()])
+    ev = events.select(F.col(key), "day", F.lit(0).alias("__k"), "delta",
+                       *[F.lit(None).cast(t).alias(c) for c, t in id_types.items()])
     q = queries.select(F.col(key), q_day.alias("day"), F.lit(1).alias("__k"),
                        F.lit(0).alias("delta"), *[F.col(c) for c in id_cols])
-    u = ev_start.unionByName(ev_end).unionByName(q)
+    u = ev.unionByName(q)
     p = prepare(u, [key], time_block("day"))
     s = finish(scan(p, asc("day", "__k"), [Spec("__run", "sum", "delta", "upto")]))
     return s.filter(F.col("__k") == 1).select(

@@ -45,10 +45,11 @@ def numbered_stays(encounters: DataFrame) -> DataFrame:
                     F.col("seq").alias("stay_seq"))
 
 
-def episode_spans(encounters: DataFrame) -> DataFrame:
+def episode_spans(encounters: DataFrame, stays: DataFrame | None = None) -> DataFrame:
     """One row per (patient, episode_number) with first admission, last
-    discharge and number of stays (W5)."""
-    return numbered_stays(encounters).groupBy("patient_id", "episode_number").agg(
+    discharge and number of stays (W5). ``stays``: already numbered stays."""
+    stays = numbered_stays(encounters) if stays is None else stays
+    return stays.groupBy("patient_id", "episode_number").agg(
         F.min("admitted_at").alias("admitted_at"),
         F.max("discharged_at").alias("discharged_at"),
         F.count(F.lit(1)).alias("stay_in_episode"))
@@ -94,9 +95,9 @@ def hospice_and_chemo(episodes: DataFrame, encounters: DataFrame,
 
 
 def inpatient_episodes(patients: DataFrame, encounters: DataFrame,
-                       procedures: DataFrame) -> DataFrame:
+                       procedures: DataFrame, stays: DataFrame | None = None) -> DataFrame:
     """The 16-column episode table."""
-    spans = episode_spans(encounters)
+    spans = episode_spans(encounters, stays)
     e = with_death_flags(spans, patients)
     hc = hospice_and_chemo(spans, encounters, procedures)
     e = e.join(hc, ["patient_id", "episode_number"], "left")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import age_years, day_diff, midnight_days_before
-from ..operators.intervals import count_covering, merge_day_intervals
+from ..operators.intervals import count_covering, island_events
 from ..operators.sweep import pick, sweep
 
 FEATURE_COLUMNS = [
@@ -49,8 +49,8 @@ def active_disorders(targets: DataFrame, conditions: DataFrame) -> DataFrame:
     code into disjoint islands, so counting covering islands counts codes."""
     dis = conditions.filter((F.col("is_disorder") == True)  # noqa: E712
                             & F.col("condition_code").isNotNull())
-    islands = merge_day_intervals(dis, ["patient_id", "condition_code"], "start_date", "stop_date")
-    return count_covering(islands, "patient_id",
+    events = island_events(dis, ["patient_id", "condition_code"], "start_date", "stop_date")
+    return count_covering(events, "patient_id",
                           targets.select("patient_id", "episode_number", "discharged_at"),
                           F.to_date("discharged_at"), ["episode_number"],
                           "active_disorders_at_discharge")

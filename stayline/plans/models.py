@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import materialize
 from ..sources.driver import DriverSources
 from . import core
-from .episodes import EPISODE_COLUMNS, inpatient_episodes, numbered_stays
+from .episodes import EPISODE_COLUMNS, episode_spans, inpatient_episodes, numbered_stays
 from .features import FEATURE_COLUMNS, episode_features
 
 
@@ -59,8 +59,12 @@ class Models:
     @cached_property
     def inpatient_episodes(self) -> DataFrame:
         # materialized like a model table: every feature branch reads it
-        return materialize(inpatient_episodes(self.patients, self.encounters, self.procedures)
-                           .select(*EPISODE_COLUMNS))
+        return materialize(inpatient_episodes(self.patients, self.encounters, self.procedures,
+                                              self.stays).select(*EPISODE_COLUMNS))
+
+    @cached_property
+    def episode_spans(self) -> DataFrame:
+        return episode_spans(self.encounters, self.stays)
 
     @cached_property
     def episode_features(self) -> DataFrame:

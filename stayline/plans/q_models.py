@@ -101,7 +101,7 @@ SQL["episode_numbering"] = O.with_models(
 @q("gaps_and_islands_merge")
 def gaps_and_islands_merge(spark, sf):
     """Stays merged into episode spans."""
-    return episode_spans(models(spark, sf).encounters)
+    return models(spark, sf).episode_spans
 
 
 SQL["gaps_and_islands_merge"] = O.with_models(
@@ -153,7 +153,7 @@ SQL["join_episode_patient"] = O.with_models(
 
 def _flags(spark, sf):
     m = models(spark, sf)
-    spans = episode_spans(m.encounters)
+    spans = m.episode_spans
     hc = hospice_and_chemo(spans, m.encounters, m.procedures)
     return spans.join(hc, ["patient_id", "episode_number"], "left")
 

@@ -49,7 +49,7 @@ SQL_STAYS_NEXT = ("stays_next AS (SELECT *, LEAD(admitted_at) OVER (PARTITION BY
 
 
 def spans_with_next(m) -> DataFrame:
-    e = episode_spans(m.encounters)
+    e = m.episode_spans
     nxt = e.select("patient_id", (F.col("episode_number") - 1).alias("episode_number"),
                    F.col("admitted_at").alias("next_admitted_at"))
     return e.join(nxt, ["patient_id", "episode_number"], "left")
@@ -207,7 +207,7 @@ SQL["episode_readmission_rate"] = O.with_models(
 def _exclusions(m) -> DataFrame:
     """Profiling form of the exclusions: 'died' is any death on or before the
     discharge day + 1 (it also takes deaths before admission)."""
-    spans = episode_spans(m.encounters)
+    spans = m.episode_spans
     e = spans.join(m.patients.select("patient_id", "death_date"), "patient_id")
     hc = hospice_and_chemo(spans, m.encounters, m.procedures)
     e = e.join(hc, ["patient_id", "episode_number"], "left")
