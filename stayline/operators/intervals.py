@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import day_diff
-from .scan import Spec, asc, finish, prepare, scan, time_block
+from .scan import KEY, Spec, asc, finish, prepare, scan, small_keys, time_block
 
 OPEN_END = "9999-12-31"
 
@@ -23,13 +23,19 @@ def number_islands(df: DataFrame, key: str, start: str, end: str, tiebreak: str)
     """
     order = asc(start, end, tiebreak)
     p = prepare(df, [key], time_block(start))
-    s1 = scan(p, order, [Spec("prev_max_end", "max", end, "before")], materialize=False)
+    # both scans see the same rows per key: one size probe decides for both;
+    # with small keys the two windows share one exchange and nothing is
+    # materialised in between
+    plain = small_keys(p, [c for c in p.columns if c.startswith(KEY)])
+    s1 = scan(p, order, [Spec("prev_max_end", "max", end, "before")], materialize=False,
+              plain=plain)
     s1 = s1.withColumn(
         "new_island",
         F.when(F.col("prev_max_end").isNull() | (day_diff("prev_max_end", start) > 0), F.lit(1))
         .otherwise(F.lit(0)))
     s2 = scan(s1, order, [Spec("island_number", "sum", "new_island", "upto"),
-                          Spec("seq", "sum", F.lit(1), "upto")])
+                          Spec("seq", "sum", F.lit(1), "upto")], materialize=not plain,
+              plain=plain)
     return finish(s2)
 
 

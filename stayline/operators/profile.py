@@ -1,8 +1,8 @@
 """Column profile of a dataset (S5, V37): one row per column with ordinal,
 name, type, rows, NULLs, distinct values, min and max (as text).
 
-All statistics come from ONE aggregation pass over the data; the wide
-result row is then unpivoted with ``stack``. Floating-point extremes are
+Counts and extremes come from one aggregation (a wide row unpivoted with
+``stack``); distinct values from a narrow unpivot de-duplicated map-side. Floating-point extremes are
 rendered with six decimals so the text does not depend on the engine's
 shortest-repr algorithm.
 """
@@ -18,7 +18,7 @@ PROFILE_COLUMNS = ["ordinal", "column_name", "data_type", "rows", "nulls", "dist
 
 
 def _text(df: DataFrame, name: str, agg):
-    c = F.col(name)
+    c = F.col(f"`{name}`")
     v = agg(c)
     if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
         return F.format_string("%.6f", v)
@@ -26,13 +26,16 @@ def _text(df: DataFrame, name: str, agg):
 
 
 def column_profile(df: DataFrame) -> DataFrame:
+    """Two passes, both narrow: (1) one aggregate for rows, NULLs, min, max of
+    every column; (2) distinct counts from an unpivot of (column, value-text)
+    pairs, de-duplicated map-side before the shuffle. (Many ``count_distinct``
+    in one aggregate would instead copy every wide row once per column.)"""
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).cast("bigint").alias("__rows")]
     for i, f in enumerate(fields):
-        c = F.col(f.name)
+        c = F.col(f"`{f.name}`")
         aggs += [
             F.count_if(c.isNull()).cast("bigint").alias(f"n{i}"),
-            F.count_distinct(c).cast("bigint").alias(f"d{i}"),
             _text(df, f.name, F.min).alias(f"lo{i}"),
             _text(df, f.name, F.max).alias(f"hi{i}"),
         ]
@@ -40,12 +43,20 @@ def column_profile(df: DataFrame) -> DataFrame:
     parts = []
     for i, f in enumerate(fields):
         name = f.name.replace("'", "''")
-        parts.append(f"{i + 1}, '{name}', '{f.dataType.simpleString()}', n{i}, d{i}, lo{i}, hi{i}")
+        parts.append(f"{i + 1}, '{name}', '{f.dataType.simpleString()}', n{i}, lo{i}, hi{i}")
     expr = (f"stack({len(fields)}, {', '.join(parts)}) "
-            "AS (ordinal, column_name, data_type, nulls, distinct_values, min_value, max_value)")
-    out = wide.selectExpr("__rows AS rows", expr)
+            "AS (ordinal, column_name, data_type, nulls, min_value, max_value)")
+    stats = wide.selectExpr("__rows AS rows", expr)
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i + 1).alias("ordinal"), F.col(f"`{f.name}`").cast("string").alias("v"))
+        for i, f in enumerate(fields)])).alias("p")).select("p.ordinal", "p.v")
+    distinct = (pairs.filter(F.col("v").isNotNull()).distinct().groupBy("ordinal")
+                .agg(F.count(F.lit(1)).cast("bigint").alias("distinct_values")))
+    out = stats.join(distinct, "ordinal", "left")
     return out.select(F.col("ordinal").cast("int").alias("ordinal"), "column_name", "data_type",
-                      "rows", "nulls", "distinct_values", "min_value", "max_value")
+                      "rows", "nulls",
+                      F.coalesce("distinct_values", F.lit(0)).cast("bigint").alias("distinct_values"),
+                      "min_value", "max_value")
 
 
 def ordered_template(profile: DataFrame, group: str) -> DataFrame:

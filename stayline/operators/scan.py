@@ -19,21 +19,32 @@ The result equals the single-window result exactly because blocks are
 contiguous in the ordering (the block is a monotone function of the first
 ordering column) and MAX / MIN / SUM are associative.
 
-Keys are wrapped in one struct column, whose equality treats NULL fields as
-equal, so NULL keys form one group as they do in a window.
+Strategy: the two-level scan costs a few extra small shuffles, so a plain
+window over the key is used when it is *proven* safe: the rows per key are
+counted first (a partial aggregate over the already materialised input) and
+the single window runs only if the largest key has at most
+``stayline.scan.maxRowsPerKey`` rows (default 1,000,000 - a sort one task
+handles with bounded memory). Beyond that bound the blocked scan runs.
+``stayline.scan.mode`` = auto | blocked | window overrides the choice.
+
+Key columns are carried as non-NULL text (NULL becomes a sentinel no real
+value uses), so NULL keys form one group as they do in a window and the
+carry join can stay a plain equi-join on the window's own partitioning.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize as _materialize
 
-KEY = "__scan_key"
+KEY = "__scan_k"     # prefix of the key columns: __scan_k0, __scan_k1, ...
 BLK = "__scan_blk"
+_NULL_KEY = "\u0000<null>"
 
 # Default block width in days. A key's carry table has at most
 # (span in days / BLOCK_DAYS) rows; a block holds one key's rows of
@@ -42,11 +53,19 @@ BLOCK_DAYS = 28
 
 _NULL_BLOCK = 2 ** 40  # NULL ordering values sort last, so they go last.
 
+MODE_CONF = "stayline.scan.mode"
+MAX_ROWS_CONF = "stayline.scan.maxRowsPerKey"
+DEFAULT_MAX_ROWS_PER_KEY = 1_000_000
+
+# Every frame is a *prefix* frame (UNBOUNDED PRECEDING .. k), which Spark
+# evaluates incrementally. A suffix ("after" / "from") is the prefix of the
+# reversed order; a frame ending at UNBOUNDED FOLLOWING would instead be
+# recomputed for every row, quadratic in the partition size.
 _FRAMES = {
-    "before": (Window.unboundedPreceding, -1),
-    "upto": (Window.unboundedPreceding, 0),
-    "after": (1, Window.unboundedFollowing),
-    "from": (0, Window.unboundedFollowing),
+    "before": (False, -1),
+    "upto": (False, 0),
+    "after": (True, -1),
+    "from": (True, 0),
 }
 
 
@@ -68,8 +87,14 @@ def time_block(col, days: int = BLOCK_DAYS) -> Column:
 
 
 def prepare(df: DataFrame, keys: list[str], block: Column) -> DataFrame:
-    """Add the struct key and the block column used by :func:`scan`."""
-    return df.withColumn(KEY, F.struct(*[F.col(k) for k in keys])).withColumn(BLK, block)
+    """Add the key columns and the block column used by :func:`scan`."""
+    kc = [F.coalesce(F.col(k).cast("string"), F.lit(_NULL_KEY)).alias(f"{KEY}{i}")
+          for i, k in enumerate(keys)]
+    return df.select("*", *kc, block.alias(BLK))
+
+
+def _keys(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith(KEY)]
 
 
 def _agg(func: str, c: Column) -> Column:
@@ -84,40 +109,66 @@ def _combine(func: str, local: Column, carry: Column) -> Column:
     return F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
 
 
-def scan(df: DataFrame, order: list[Column], specs: list[Spec],
-         materialize: bool = True) -> DataFrame:
+def scan(df: DataFrame, order: list[str], specs: list[Spec],
+         materialize: bool = True, plain: bool | None = None) -> DataFrame:
     """Run ``specs`` over a frame prepared by :func:`prepare`.
 
-    ``order`` must be a total order within the key and start with the column
-    the block was computed from (ascending, NULLs last). The input is read by
-    two consumers (the local window and the block summary); unless it is a
-    cheap scan (``materialize=False``) it is written once to the checkpoint
-    directory so that neither recomputes the upstream.
+    ``order``: column names giving a total order within the key (ascending,
+    NULLs last); the first must be the column the block was computed from.
+    The input is read by two consumers (the size probe or the block summary,
+    and the window); unless it is a cheap scan (``materialize=False``) it is
+    written once to the checkpoint directory so that neither recomputes the
+    upstream. ``plain``: the caller already proved (True) or disproved
+    (False) the per-key size bound.
     """
     vals = {s.name: (F.col(s.value) if isinstance(s.value, str) else s.value) for s in specs}
     d = df.select("*", *[vals[s.name].alias(f"__v_{s.name}") for s in specs])
-    if materialize:
+    keys = _keys(df)
+    fwd = [F.col(c).asc_nulls_last() for c in order]
+    bwd = [F.col(c).desc_nulls_first() for c in order]
+    done = False
+    if plain is None:
+        if materialize:
+            d, done = _materialize(d), True
+        plain = small_keys(d, keys)
+    if plain:
+        return _window_scan(df, d, keys, fwd, bwd, specs)
+    if materialize and not done:
         d = _materialize(d)
-    w = Window.partitionBy(KEY, BLK).orderBy(*order)
-    local = d.select(
-        "*",
-        *[_agg(s.func, F.col(f"__v_{s.name}")).over(w.rowsBetween(*_FRAMES[s.frame]))
-          .alias(f"__l_{s.name}") for s in specs],
-    )
-    summary = local.groupBy(KEY, BLK).agg(
+    w = {False: Window.partitionBy(*keys, BLK).orderBy(*fwd),
+         True: Window.partitionBy(*keys, BLK).orderBy(*bwd)}
+
+    def local_col(s: Spec) -> Column:
+        backward, hi = _FRAMES[s.frame]
+        frame = w[backward].rowsBetween(Window.unboundedPreceding, hi)
+        return _agg(s.func, F.col(f"__v_{s.name}")).over(frame).alias(f"__l_{s.name}")
+
+    local = d.select("*", *[local_col(s) for s in specs])
+    summary = local.groupBy(*keys, BLK).agg(
         *[_agg(s.func, F.col(f"__v_{s.name}")).alias(f"__b_{s.name}") for s in specs])
-    ws = Window.partitionBy(KEY).orderBy(BLK)
+    ws = {False: Window.partitionBy(*keys).orderBy(F.col(BLK).asc()),
+          True: Window.partitionBy(*keys).orderBy(F.col(BLK).desc())}
     carry_cols = []
     for s in specs:
-        frame = (Window.unboundedPreceding, -1) if s.frame in ("before", "upto") \
-            else (1, Window.unboundedFollowing)
-        carry_cols.append(_agg(s.func, F.col(f"__b_{s.name}")).over(ws.rowsBetween(*frame))
+        backward = _FRAMES[s.frame][0]
+        frame = ws[backward].rowsBetween(Window.unboundedPreceding, -1)
+        carry_cols.append(_agg(s.func, F.col(f"__b_{s.name}")).over(frame)
                           .alias(f"__c_{s.name}"))
-    carry = (summary.select(F.col(KEY).alias("__ck"), F.col(BLK).alias("__cb"), *carry_cols)
+    ck = [f"__c{k}" for k in keys]
+    some = reduce(lambda a, b: a | b, [F.col(f"__c_{s.name}").isNotNull() for s in specs])
+    carry = (summary.select(*[F.col(k).alias(c) for k, c in zip(keys, ck)],
+                            F.col(BLK).alias("__cb"), *carry_cols)
+             # only blocks that have a neighbour block carry anything: a key
+             # inside one block (the common case) drops out here, so the
+             # join's right side holds only keys spread over several blocks
+             .filter(some)
              # same hash layout as the windowed side, so only this small
              # table moves for the join
-             .repartition(F.col("__ck"), F.col("__cb")))
-    j = local.join(carry, (local[KEY] == carry["__ck"]) & (local[BLK] == carry["__cb"]), "left")
+             .repartition(*[F.col(c) for c in ck], F.col("__cb")))
+    cond = F.lit(True)
+    for k, c in zip(keys, ck):
+        cond = cond & (local[k] == carry[c])
+    j = local.join(carry, cond & (local[BLK] == carry["__cb"]), "left")
     out = j.select(
         *[F.col(c) for c in df.columns],
         *[_combine(s.func, F.col(f"__l_{s.name}"), F.col(f"__c_{s.name}")).alias(s.name)
@@ -126,15 +177,45 @@ def scan(df: DataFrame, order: list[Column], specs: list[Spec],
     return out
 
 
-def ordered_scan(df: DataFrame, keys: list[str], order: list[Column], block: Column,
+def small_keys(d: DataFrame, keys: list[str]) -> bool:
+    """True when no key holds more than the per-key row limit (one
+    aggregation job, map-side combined; one number reaches the driver)."""
+    spark = d.sparkSession
+    mode = spark.conf.get(MODE_CONF, "auto")
+    if mode in ("blocked", "window"):
+        return mode == "window"
+    limit = int(spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS_PER_KEY)))
+    biggest = d.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return (biggest or 0) <= limit
+
+
+def _window_scan(df: DataFrame, d: DataFrame, keys: list[str], fwd, bwd,
+                 specs: list[Spec]) -> DataFrame:
+    """The single-window form (used when every key is small enough)."""
+    w = {False: Window.partitionBy(*keys).orderBy(*fwd),
+         True: Window.partitionBy(*keys).orderBy(*bwd)}
+    cols = []
+    for s in specs:
+        backward, hi = _FRAMES[s.frame]
+        frame = w[backward].rowsBetween(Window.unboundedPreceding, hi)
+        cols.append(_agg(s.func, F.col(f"__v_{s.name}")).over(frame).alias(s.name))
+    return d.select(*[F.col(c) for c in df.columns], *cols)
+
+
+def ordered_scan(df: DataFrame, keys: list[str], order: list[str], block: Column,
                  specs: list[Spec], materialize: bool = True) -> DataFrame:
     """prepare + scan + drop helper columns."""
-    return scan(prepare(df, keys, block), order, specs, materialize).drop(KEY, BLK)
+    return finish(scan(prepare(df, keys, block), order, specs, materialize))
 
 
 def finish(df: DataFrame) -> DataFrame:
-    return df.drop(KEY, BLK)
+    return df.drop(*_keys(df), BLK)
+
+
+def asc(*cols: str) -> list[str]:
+    """An ordering for :func:`scan`: these columns ascending, NULLs last."""
+    return list(cols)
 
 
-def asc(*cols) -> list[Column]:
-    return [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in cols]
+def asc_nulls_last(*cols: str) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in cols]

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import age_years, day_diff, midnight_days_before
 from ..operators.intervals import count_covering, island_events
-from ..operators.sweep import pick, sweep
+from ..operators.scan import Spec, asc, ordered_scan, time_block
+from ..operators.sweep import QSET, pick, sweep
 
 FEATURE_COLUMNS = [
     "episode_id", "patient_id", "admitted_at", "discharged_at", "stay_in_episode",
@@ -56,14 +57,67 @@ def active_disorders(targets: DataFrame, conditions: DataFrame) -> DataFrame:
                           "active_disorders_at_discharge")
 
 
+def feature_timeline(episodes: DataFrame, eligible: DataFrame,
+                     conditions: DataFrame) -> DataFrame:
+    """J4 + J5 in ONE sweep of each patient's timeline.
+
+    Rows on the timeline, ordered by (ts, kind):
+      kind 0  disorder island events (+1 first day, -1 day after the end)
+      kind 1  'cover' query at midnight of the discharge day
+      kind 2  'admit' query at the admission and 'year' query at midnight of
+              (admission day - 365)
+      kind 3  every episode's admission (eligible or not)
+    A running SUM of the event deltas up to a 'cover' query counts the
+    disorders active on the discharge day; the number of kind-3 rows before a
+    kind-2 query counts earlier admissions. Returns patient_id,
+    episode_number, prior_episodes_365d, active_disorders_at_discharge.
+    """
+    ts_type = episodes.schema["admitted_at"].dataType.simpleString()
+    dis = conditions.filter((F.col("is_disorder") == True)  # noqa: E712
+                            & F.col("condition_code").isNotNull())
+    ev = island_events(dis, ["patient_id", "condition_code"], "start_date", "stop_date")
+
+    def row(df, ts, kind, qset, delta, point, with_id=True):
+        return df.select(
+            "patient_id", ts.cast(ts_type).alias("ts"), F.lit(kind).alias("kind"),
+            F.lit(qset).cast("string").alias(QSET),
+            (F.col("episode_number") if with_id else F.lit(None).cast("bigint"))
+            .alias("episode_number"),
+            F.lit(delta).cast("int").alias("delta") if not isinstance(delta, F.Column)
+            else delta.cast("int").alias("delta"),
+            F.lit(point).alias("point"))
+
+    parts = [
+        row(ev, F.col("day"), 0, None, F.col("delta"), 0, with_id=False),
+        row(eligible, F.to_date("discharged_at"), 1, "cover", 0, 0),
+        row(eligible, F.col("admitted_at"), 2, "admit", 0, 0),
+        row(eligible, midnight_days_before("admitted_at", 365, ts_type), 2, "year", 0, 0),
+        row(episodes, F.col("admitted_at"), 3, None, 0, 1, with_id=False),
+    ]
+    u = parts[0]
+    for p_ in parts[1:]:
+        u = u.unionByName(p_)
+    res = ordered_scan(u, ["patient_id"], asc("ts", "kind"), time_block("ts"),
+                       [Spec("run_delta", "sum", "delta", "upto"),
+                        Spec("n_before", "sum", "point", "before")])
+    q = res.filter(F.col("kind").isin(1, 2))
+    g = q.groupBy("patient_id", "episode_number").agg(
+        pick("cover", F.when(F.col("ts").isNotNull(), F.col("run_delta")).otherwise(F.lit(0)))
+        .alias("active"),
+        pick("admit", "n_before").alias("earlier"), pick("year", "n_before").alias("too_old"))
+    return g.select(
+        "patient_id", "episode_number",
+        (F.coalesce("earlier", F.lit(0)) - F.coalesce("too_old", F.lit(0))).cast("bigint")
+        .alias("prior_episodes_365d"),
+        F.coalesce("active", F.lit(0)).cast("bigint").alias("active_disorders_at_discharge"))
+
+
 def episode_features(episodes: DataFrame, patients: DataFrame,
                      conditions: DataFrame) -> DataFrame:
     eligible = episodes.filter(F.col("is_eligible_index") == True)  # noqa: E712
     e = eligible.join(patients.select("patient_id", "gender", "birth_date"), "patient_id", "inner")
-    hist = history_365d(episodes, eligible)
-    act = active_disorders(eligible, conditions)
-    e = (e.join(hist, ["patient_id", "episode_number"], "left")
-          .join(act, ["patient_id", "episode_number"], "left"))
+    tl = feature_timeline(episodes, eligible, conditions)
+    e = e.join(tl, ["patient_id", "episode_number"], "left")
     return e.select(
         "episode_id", "patient_id", "admitted_at", "discharged_at", "stay_in_episode",
         "readmitted_30d", "gender",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import oracle as O
 from ..functions import day_diff, hour_diff, pct, plus_days_keep_time
 from ..operators.profile import column_profile, ordered_template
-from ..operators.scan import asc
+from ..operators.scan import asc_nulls_last
 from .common import (avg1, check_row, cnt, cnt_if, models, one_row_join, sql_avg1, sql_check,
                      sql_cif, sql_pct)
 from .episodes import episode_spans, hospice_and_chemo
@@ -718,7 +718,7 @@ def admission_reason_top(spark, sf):
     j = _zero_group_encounters(models(spark, sf))
     g = j.groupBy("gender", "description", "reason_description").agg(
         F.count_distinct("episode_id").cast("bigint").alias("episodes"))
-    return g.orderBy(F.desc("episodes"), *asc("gender", "description", "reason_description")) \
+    return g.orderBy(F.desc("episodes"), *asc_nulls_last("gender", "description", "reason_description")) \
         .limit(10)
 
 

@@ -16,6 +16,14 @@ def spark():
     yield s
 
 
+@pytest.fixture
+def blocked(spark):
+    """Force the two-level (skew-safe) scan for one test."""
+    spark.conf.set("stayline.scan.mode", "blocked")
+    yield
+    spark.conf.unset("stayline.scan.mode")
+
+
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL

@@ -22,14 +22,14 @@ def _frame(spark, n=3000, seed=7):
     return df.withColumn("t", F.date_add(F.lit("2000-01-01").cast("date"), F.col("day")))
 
 
-def test_blocked_scan_matches_window(spark):
+def test_blocked_scan_matches_window(spark, blocked):
     df = _frame(spark)
     order = S.asc("t", "id")
     specs = [S.Spec("mx_before", "max", "v", "before"), S.Spec("sum_upto", "sum", "v", "upto"),
              S.Spec("mn_after", "min", "v", "after"), S.Spec("sum_from", "sum", "v", "from")]
     # 7-day blocks: the hot key spans ~300 blocks
     got = S.ordered_scan(df, ["k"], order, S.time_block("t", 7), specs)
-    w = Window.partitionBy("k").orderBy(*order)
+    w = Window.partitionBy("k").orderBy(*S.asc_nulls_last(*order))
     exp = df.select(
         "id",
         F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("mx_before"),
@@ -46,7 +46,7 @@ def test_blocked_scan_matches_window(spark):
         assert (a["sum_from"] or 0) == (r["sum_from"] or 0)
 
 
-def test_scan_plan_keeps_big_side_in_place(spark):
+def test_scan_plan_keeps_big_side_in_place(spark, blocked):
     """The carry join must not re-shuffle the windowed rows by key alone."""
     df = _frame(spark, n=200)
     got = S.ordered_scan(df, ["k"], S.asc("t", "id"), S.time_block("t"),
@@ -55,7 +55,7 @@ def test_scan_plan_keeps_big_side_in_place(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_islands_hot_patient_matches_window(spark):
+def test_islands_hot_patient_matches_window(spark, blocked):
     rnd = random.Random(3)
     rows = []
     for i in range(1500):
@@ -66,7 +66,7 @@ def test_islands_hot_patient_matches_window(spark):
     df = spark.createDataFrame(rows, "p string, eid string, s long, t long").select(
         "p", "eid", F.timestamp_seconds("s").alias("s"), F.timestamp_seconds("t").alias("t"))
     got = number_islands(df, "p", "s", "t", "eid")
-    w = Window.partitionBy("p").orderBy(*S.asc("s", "t", "eid"))
+    w = Window.partitionBy("p").orderBy(*S.asc_nulls_last("s", "t", "eid"))
     ref = df.withColumn("pm", F.max("t").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     ref = ref.withColumn("nw", F.when(F.col("pm").isNull()
                                       | (F.datediff(F.to_date("s"), F.to_date("pm")) > 0), 1)
@@ -75,3 +75,21 @@ def test_islands_hot_patient_matches_window(spark):
     a = {r["eid"]: (r["prev_max_end"], r["island_number"]) for r in got.collect()}
     for r in ref.collect():
         assert a[r["eid"]] == (r["pm"], r["num"]), r
+
+
+def test_auto_mode_switches_on_a_hot_key(spark):
+    """With a tiny per-key limit the hot key forces the blocked scan; the
+    answers are the same either way."""
+    df = _frame(spark, n=600)
+    order = S.asc("t", "id")
+    specs = [S.Spec("m", "max", "v", "before")]
+    spark.conf.set("stayline.scan.maxRowsPerKey", "10")
+    try:
+        got = S.ordered_scan(df, ["k"], order, S.time_block("t", 7), specs)
+        assert "__cb" in got._jdf.queryExecution().analyzed().toString()
+        a = {r["id"]: r["m"] for r in got.collect()}
+    finally:
+        spark.conf.unset("stayline.scan.maxRowsPerKey")
+    plain = S.ordered_scan(df, ["k"], order, S.time_block("t", 7), specs)
+    assert "__cb" not in plain._jdf.queryExecution().analyzed().toString()
+    assert a == {r["id"]: r["m"] for r in plain.collect()}
