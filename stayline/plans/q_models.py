@@ -10,7 +10,7 @@ from ..functions import (age_years, concat_null, day_diff, first_group_ci, hour_
                          minute_diff, month_day, year_diff)
 from .common import models
 from .episodes import episode_spans, hospice_and_chemo, with_death_flags
-from .features import active_disorders, history_365d
+from .features import feature_timeline, history_365d
 
 Q: dict = {}
 SQL: dict = {}
@@ -209,7 +209,7 @@ def active_disorders_at_discharge(spark, sf):
     """J5 for every eligible episode."""
     m = models(spark, sf)
     el = m.inpatient_episodes.filter(F.col("is_eligible_index"))
-    a = active_disorders(el, m.conditions)
+    a = feature_timeline(m.inpatient_episodes, el, m.conditions)
     return el.select("episode_id", "patient_id", "episode_number").join(
         a, ["patient_id", "episode_number"], "left").select(
         "episode_id", F.coalesce("active_disorders_at_discharge", F.lit(0)).cast("bigint")

@@ -824,3 +824,34 @@ def _template_sql() -> str:
 
 
 SQL["ordered_array_agg"] = O.with_models(_template_sql())
+
+
+# --- samples (S10, O4, O5) ---------------------------------------------------------
+
+SAMPLE_HEAD = 200_000
+
+
+@q("sample_rows_by_type")
+def sample_rows_by_type(spark, sf):
+    """S10 + O5: a head sample of the observations (the first 200,000 rows in
+    (DATE, ENCOUNTER) order, five columns), then the first three numeric and
+    the first three text rows of that sample. Both limits are the feature
+    (a top-k per partition, merged; never a full sort)."""
+    o = models(spark, sf).source("observations").select(
+        "DATE", "ENCOUNTER", "TYPE", "VALUE", "VALUE_NUM", "UNITS")
+    head = o.orderBy(*asc_nulls_last("DATE", "ENCOUNTER")).limit(SAMPLE_HEAD)
+    parts = [head.filter(cond).orderBy(*asc_nulls_last("DATE", "ENCOUNTER")).limit(3)
+             .withColumn("sample", F.lit(name))
+             for name, cond in [("numeric", F.col("TYPE") == "numeric"),
+                                ("text", F.col("TYPE") != "numeric")]]
+    return reduce(DataFrame.unionByName, parts)
+
+
+SQL["sample_rows_by_type"] = O.with_models(
+    "SELECT * FROM (SELECT *, 'numeric' AS sample FROM head WHERE \"TYPE\" = 'numeric' "
+    "ORDER BY \"DATE\" NULLS LAST, \"ENCOUNTER\" NULLS LAST LIMIT 3) a UNION ALL "
+    "SELECT * FROM (SELECT *, 'text' AS sample FROM head WHERE \"TYPE\" <> 'numeric' "
+    "ORDER BY \"DATE\" NULLS LAST, \"ENCOUNTER\" NULLS LAST LIMIT 3) b",
+    "head AS (SELECT \"DATE\", \"ENCOUNTER\", \"TYPE\", \"VALUE\", VALUE_NUM, \"UNITS\" "
+    f"FROM raw_observations ORDER BY \"DATE\" NULLS LAST, \"ENCOUNTER\" NULLS LAST "
+    f"LIMIT {SAMPLE_HEAD})")
