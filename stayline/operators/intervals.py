@@ -11,7 +11,8 @@ from .scan import KEY, Spec, asc, finish, prepare, scan, small_keys, time_block
 OPEN_END = "9999-12-31"
 
 
-def number_islands(df: DataFrame, key: str, start: str, end: str, tiebreak: str) -> DataFrame:
+def number_islands(df: DataFrame, key: str, start: str, end: str, tiebreak: str,
+                   plain: bool | None = None) -> DataFrame:
     """Gaps-and-islands over timestamp intervals of each key.
 
     Rows are ordered by (start, end, tiebreak). ``prev_max_end`` is the
@@ -26,7 +27,8 @@ def number_islands(df: DataFrame, key: str, start: str, end: str, tiebreak: str)
     # both scans see the same rows per key: one size probe decides for both;
     # with small keys the two windows share one exchange and nothing is
     # materialised in between
-    plain = small_keys(p, [c for c in p.columns if c.startswith(KEY)])
+    if plain is None:
+        plain = small_keys(p, [c for c in p.columns if c.startswith(KEY)])
     s1 = scan(p, order, [Spec("prev_max_end", "max", end, "before")], materialize=False,
               plain=plain)
     s1 = s1.withColumn(
@@ -39,7 +41,8 @@ def number_islands(df: DataFrame, key: str, start: str, end: str, tiebreak: str)
     return finish(s2)
 
 
-def island_events(df: DataFrame, keys: list[str], start: str, stop: str) -> DataFrame:
+def island_events(df: DataFrame, keys: list[str], start: str, stop: str,
+                  plain: bool | None = None) -> DataFrame:
     """Sweep events of each key's merged [start, stop] day intervals (stop
     NULL = still open): +1 on the first day of every island of overlapping
     intervals and -1 on the day after it ends. Intervals ending before they
@@ -56,7 +59,8 @@ def island_events(df: DataFrame, keys: list[str], start: str, stop: str) -> Data
                    & (F.col(stop).isNull() | (F.col(stop) >= F.col(start))))
          .select(*keys, F.col(start).alias("s"), F.coalesce(F.col(stop), open_end).alias("e")))
     p = prepare(d, keys, time_block("s"))
-    s1 = finish(scan(p, asc("s", "e"), [Spec("prev_e", "max", "e", "before")]))
+    s1 = finish(scan(p, asc("s", "e"), [Spec("prev_e", "max", "e", "before")],
+                     materialize=plain is not True, plain=plain))
     opens = s1.filter(F.col("prev_e").isNull() | (F.col("s") > F.col("prev_e")))
     up = opens.select(F.col(keys[0]), F.col("s").alias("day"), F.lit(1).alias("delta"))
     closes = opens.filter(F.col("prev_e").isNotNull()).select(

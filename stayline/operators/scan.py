@@ -177,6 +177,15 @@ def scan(df: DataFrame, order: list[str], specs: list[Spec],
     return out
 
 
+def bound_ok(spark, rows_per_key: int) -> bool:
+    """True when a *known* upper bound of the rows per key is within the
+    limit (or the mode forces the plain window)."""
+    mode = spark.conf.get(MODE_CONF, "auto")
+    if mode in ("blocked", "window"):
+        return mode == "window"
+    return rows_per_key <= int(spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS_PER_KEY)))
+
+
 def small_keys(d: DataFrame, keys: list[str]) -> bool:
     """True when no key holds more than the per-key row limit (one
     aggregation job, map-side combined; one number reaches the driver)."""
@@ -203,9 +212,11 @@ def _window_scan(df: DataFrame, d: DataFrame, keys: list[str], fwd, bwd,
 
 
 def ordered_scan(df: DataFrame, keys: list[str], order: list[str], block: Column,
-                 specs: list[Spec], materialize: bool = True) -> DataFrame:
+                 specs: list[Spec], materialize: bool = True,
+                 plain: bool | None = None) -> DataFrame:
     """prepare + scan + drop helper columns."""
-    return finish(scan(prepare(df, keys, block), order, specs, materialize))
+    return finish(scan(prepare(df, keys, block), order, specs,
+                       materialize and plain is not True, plain))
 
 
 def finish(df: DataFrame) -> DataFrame:

@@ -30,11 +30,12 @@ KIND = "__kind"
 
 def sweep(keys: list[str], id_cols: list[str], queries: dict[str, DataFrame],
           points: dict[str, DataFrame], ops: list[tuple[str, str, str]],
-          ts_type: str | None = None) -> DataFrame:
+          ts_type: str | None = None, plain: bool | None = None) -> DataFrame:
     """queries[name]: keys + id_cols + ``ts``; points[name]: keys + ``ts``.
 
     ops: (output, point set, 'next' | 'count_before'). Returns one row per
-    query row: keys, ``__qset``, id_cols and the outputs.
+    query row: keys, ``__qset``, id_cols and the outputs. ``plain``: the
+    caller's proof (or disproof) that rows per key are within the limit.
     """
     first = next(iter(queries.values()))
     ts_type = ts_type or first.schema["ts"].dataType.simpleString()
@@ -64,7 +65,7 @@ def sweep(keys: list[str], id_cols: list[str], queries: dict[str, DataFrame],
                               "before"))
         else:
             raise ValueError(how)
-    res = ordered_scan(u, keys, asc("ts", KIND), time_block("ts"), specs)
+    res = ordered_scan(u, keys, asc("ts", KIND), time_block("ts"), specs, plain=plain)
     return res.filter(F.col(KIND) == 0).select(*keys, QSET, *id_cols, "ts",
                                                 *[o for o, _, _ in ops])
 

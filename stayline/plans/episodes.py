@@ -33,11 +33,11 @@ def inpatient_stays(encounters: DataFrame) -> DataFrame:
         F.col("start_ts").alias("admitted_at"), F.col("stop_ts").alias("discharged_at"))
 
 
-def numbered_stays(encounters: DataFrame) -> DataFrame:
+def numbered_stays(encounters: DataFrame, plain: bool | None = None) -> DataFrame:
     """Stays with prev_max_discharge (W1), new_episode, episode_number
     and stay_seq (position of the stay within the patient)."""
     s = number_islands(inpatient_stays(encounters), "patient_id", "admitted_at",
-                       "discharged_at", "encounter_id")
+                       "discharged_at", "encounter_id", plain=plain)
     return s.select("patient_id", "encounter_id", "admitted_at", "discharged_at",
                     F.col("prev_max_end").alias("prev_max_discharge"),
                     F.col("new_island").alias("new_episode"),
@@ -69,8 +69,15 @@ def with_death_flags(spans: DataFrame, patients: DataFrame) -> DataFrame:
     )
 
 
+def chemo_points(procedures: DataFrame) -> DataFrame:
+    """Start times of chemotherapy procedures per patient."""
+    return procedures.filter(F.col("is_chemotherapy") == True).select(  # noqa: E712
+        "patient_id", F.col("start_ts").alias("ts"))
+
+
 def hospice_and_chemo(episodes: DataFrame, encounters: DataFrame,
-                      procedures: DataFrame) -> DataFrame:
+                      procedures: DataFrame | None, plain: bool | None = None,
+                      chemo: DataFrame | None = None) -> DataFrame:
     """J2 + J3 as one sweep: per episode, a hospice encounter starting in
     [discharge, discharge + 1 day] and a chemotherapy procedure starting in
     [admission, discharge]. Returns patient_id, episode_number and flags."""
@@ -83,11 +90,10 @@ def hospice_and_chemo(episodes: DataFrame, encounters: DataFrame,
     points = {
         "hospice": encounters.filter(F.col("encounter_class") == "hospice")
                              .select("patient_id", F.col("start_ts").alias("ts")),
-        "chemo": procedures.filter(F.col("is_chemotherapy") == True)  # noqa: E712
-                           .select("patient_id", F.col("start_ts").alias("ts")),
+        "chemo": chemo_points(procedures) if chemo is None else chemo,
     }
     ops = [("next_hospice", "hospice", "next"), ("next_chemo", "chemo", "next")]
-    hits = sweep(keys, ids, queries, points, ops)
+    hits = sweep(keys, ids, queries, points, ops, plain=plain)
     return hits.groupBy("patient_id", "episode_number").agg(
         pick("discharge", "next_hospice").alias("next_hospice"),
         pick("admit", "next_chemo").alias("next_chemo"),
@@ -95,11 +101,12 @@ def hospice_and_chemo(episodes: DataFrame, encounters: DataFrame,
 
 
 def inpatient_episodes(patients: DataFrame, encounters: DataFrame,
-                       procedures: DataFrame, stays: DataFrame | None = None) -> DataFrame:
+                       procedures: DataFrame | None, stays: DataFrame | None = None,
+                       plain: bool | None = None, chemo: DataFrame | None = None) -> DataFrame:
     """The 16-column episode table."""
     spans = episode_spans(encounters, stays)
     e = with_death_flags(spans, patients)
-    hc = hospice_and_chemo(spans, encounters, procedures)
+    hc = hospice_and_chemo(spans, encounters, procedures, plain=plain, chemo=chemo)
     e = e.join(hc, ["patient_id", "episode_number"], "left")
     e = e.select(
         "patient_id", "episode_number", "admitted_at", "discharged_at", "stay_in_episode",

@@ -57,8 +57,17 @@ def active_disorders(targets: DataFrame, conditions: DataFrame) -> DataFrame:
                           "active_disorders_at_discharge")
 
 
+def disorder_rows(conditions: DataFrame) -> DataFrame:
+    """Disorder condition records with a code (the J5 input)."""
+    return conditions.filter((F.col("is_disorder") == True)  # noqa: E712
+                             & F.col("condition_code").isNotNull()).select(
+        "patient_id", "condition_code", "start_date", "stop_date")
+
+
 def feature_timeline(episodes: DataFrame, eligible: DataFrame,
-                     conditions: DataFrame) -> DataFrame:
+                     conditions: DataFrame | None, plain_islands: bool | None = None,
+                     plain_timeline: bool | None = None,
+                     disorders: DataFrame | None = None) -> DataFrame:
     """J4 + J5 in ONE sweep of each patient's timeline.
 
     Rows on the timeline, ordered by (ts, kind):
@@ -73,9 +82,9 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
     episode_number, prior_episodes_365d, active_disorders_at_discharge.
     """
     ts_type = episodes.schema["admitted_at"].dataType.simpleString()
-    dis = conditions.filter((F.col("is_disorder") == True)  # noqa: E712
-                            & F.col("condition_code").isNotNull())
-    ev = island_events(dis, ["patient_id", "condition_code"], "start_date", "stop_date")
+    dis = disorder_rows(conditions) if disorders is None else disorders
+    ev = island_events(dis, ["patient_id", "condition_code"], "start_date", "stop_date",
+                       plain=plain_islands)
 
     def row(df, ts, kind, qset, delta, point, with_id=True):
         return df.select(
@@ -99,7 +108,7 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
         u = u.unionByName(p_)
     res = ordered_scan(u, ["patient_id"], asc("ts", "kind"), time_block("ts"),
                        [Spec("run_delta", "sum", "delta", "upto"),
-                        Spec("n_before", "sum", "point", "before")])
+                        Spec("n_before", "sum", "point", "before")], plain=plain_timeline)
     q = res.filter(F.col("kind").isin(1, 2))
     g = q.groupBy("patient_id", "episode_number").agg(
         pick("cover", F.when(F.col("ts").isNotNull(), F.col("run_delta")).otherwise(F.lit(0)))
@@ -113,10 +122,13 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
 
 
 def episode_features(episodes: DataFrame, patients: DataFrame,
-                     conditions: DataFrame) -> DataFrame:
+                     conditions: DataFrame | None, plain_islands: bool | None = None,
+                     plain_timeline: bool | None = None,
+                     disorders: DataFrame | None = None) -> DataFrame:
     eligible = episodes.filter(F.col("is_eligible_index") == True)  # noqa: E712
     e = eligible.join(patients.select("patient_id", "gender", "birth_date"), "patient_id", "inner")
-    tl = feature_timeline(episodes, eligible, conditions)
+    tl = feature_timeline(episodes, eligible, conditions, plain_islands, plain_timeline,
+                          disorders)
     e = e.join(tl, ["patient_id", "episode_number"], "left")
     return e.select(
         "episode_id", "patient_id", "admitted_at", "discharged_at", "stay_in_episode",

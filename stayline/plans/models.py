@@ -12,11 +12,15 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..operators.scan import bound_ok
 from ..session import materialize
 from ..sources.driver import DriverSources
 from . import core
-from .episodes import EPISODE_COLUMNS, episode_spans, inpatient_episodes, numbered_stays
-from .features import FEATURE_COLUMNS, episode_features
+from .episodes import (EPISODE_COLUMNS, chemo_points, episode_spans, inpatient_episodes,
+                       numbered_stays)
+from .features import FEATURE_COLUMNS, disorder_rows, episode_features
 
 
 class Models:
@@ -51,16 +55,51 @@ class Models:
     def procedures(self) -> DataFrame:
         return core.procedures(self._raw("procedures"))
 
+    # --- narrow inputs of the timeline scans, written once ---------------------
+
+    @cached_property
+    def chemo_points(self) -> DataFrame:
+        return materialize(chemo_points(self.procedures))
+
+    @cached_property
+    def disorder_rows(self) -> DataFrame:
+        return materialize(disorder_rows(self.conditions))
+
+    @cached_property
+    def rows_per_patient(self) -> dict[str, int]:
+        """Largest number of rows one patient has in each scan input, from
+        ONE aggregation job (three numbers reach the driver). Every per-patient
+        scan below is bounded by a sum of these, so the scan strategy is
+        decided here without probing each intermediate."""
+        parts = [self.encounters.select("patient_id", F.lit("encounters").alias("src")),
+                 self.chemo_points.select("patient_id", F.lit("chemo").alias("src")),
+                 self.disorder_rows.select("patient_id", F.lit("disorders").alias("src"))]
+        u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        rows = (u.groupBy("src", "patient_id").count().groupBy("src")
+                .agg(F.max("count").alias("m")).collect())
+        out = {"encounters": 0, "chemo": 0, "disorders": 0}
+        out.update({r["src"]: int(r["m"] or 0) for r in rows})
+        return out
+
+    def _plain(self, bound: int) -> bool:
+        return bound_ok(self.encounters.sparkSession, bound)
+
     @cached_property
     def stays(self) -> DataFrame:
         """Inpatient stays with their episode numbering (intermediate)."""
-        return numbered_stays(self.encounters)
+        b = self.rows_per_patient
+        return numbered_stays(self.encounters, plain=self._plain(b["encounters"]))
 
     @cached_property
     def inpatient_episodes(self) -> DataFrame:
+        # hospice / chemo sweep rows per patient <= 2 queries per stay +
+        # hospice encounters + chemo points
+        b = self.rows_per_patient
+        plain = self._plain(3 * b["encounters"] + b["chemo"])
+        e = inpatient_episodes(self.patients, self.encounters, None, self.stays,
+                               plain=plain, chemo=self.chemo_points)
         # materialized like a model table: every feature branch reads it
-        return materialize(inpatient_episodes(self.patients, self.encounters, self.procedures,
-                                              self.stays).select(*EPISODE_COLUMNS))
+        return materialize(e.select(*EPISODE_COLUMNS))
 
     @cached_property
     def episode_spans(self) -> DataFrame:
@@ -68,8 +107,14 @@ class Models:
 
     @cached_property
     def episode_features(self) -> DataFrame:
-        return episode_features(self.inpatient_episodes, self.patients, self.conditions) \
-            .select(*FEATURE_COLUMNS)
+        # islands: rows per (patient, code) <= disorder rows per patient;
+        # timeline: <= 3 events per disorder row + 4 rows per episode
+        b = self.rows_per_patient
+        return episode_features(
+            self.inpatient_episodes, self.patients, None,
+            plain_islands=self._plain(b["disorders"]),
+            plain_timeline=self._plain(3 * b["disorders"] + 4 * b["encounters"]),
+            disorders=self.disorder_rows).select(*FEATURE_COLUMNS)
 
     def ref(self, name: str) -> DataFrame:
         return getattr(self, name)
