@@ -12,11 +12,12 @@ the landing root; its table key is the first path component, so both a
 single ``encounters.csv`` object and a ``encounters.csv/`` directory of
 part files belong to the tracked table ``encounters.csv``.
 
-Only the first lines of each file are inspected: the text source is read
-with ``_metadata.file_block_start = 0`` (the first split of each file), and
-each file's header is its first line (``min_by`` over the line position).
-Zero-length files produce no lines, so tracked tables are full-outer-joined
-with an expected-table list to report a table with no readable file.
+Only the first bytes of each file are read: the file listing comes from the
+binaryFile source with its content column pruned, and a small Arrow-batched
+helper reads the head of each listed file (a filter on the text source's
+``_metadata.file_block_start`` would still scan every split). Zero-length
+files are not listed by Spark file sources, so tracked tables are checked
+against an expected-table list to report a table with no readable file.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from ..functions import split_csv_line
 from ..sources.schemas import REQUIRED_COLUMNS
 
 QUARANTINE = "quarantine/"
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 VERDICT_COLUMNS = ["key", "status", "reason"]
 
 
@@ -47,17 +49,49 @@ def _rel_key(path: F.Column, root: str) -> F.Column:
         .otherwise(rel)
 
 
-def file_heads(lines: DataFrame, root: str) -> DataFrame:
-    """Per file: key, header line and whether a data line follows it.
+HEAD_BYTES = 64 * 1024          # first read per file
+MAX_HEADER_BYTES = 1024 * 1024  # a header line is read whole up to this size
 
-    ``lines`` is a text-source frame with ``value`` and ``_metadata``; only
-    the first split of every file is used."""
-    first = lines.filter(F.col("_metadata.file_block_start") == 0).select(
-        _rel_key(F.col("_metadata.file_path"), root).alias("key"),
-        F.col("value"), F.monotonically_increasing_id().alias("pos"))
-    return first.groupBy("key").agg(
-        F.min_by("value", "pos").alias("header"),
-        (F.count(F.lit(1)) > 1).alias("has_data"))
+
+def _read_heads(batches):
+    """mapInPandas helper: per file, the first line (BOM stripped, bad bytes
+    replaced) and whether any line follows it. Reads only the first bytes of
+    each file, through the same filesystem layer Arrow offers for local
+    disks, HDFS and object stores."""
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            fs, p = pafs.FileSystem.from_uri(path)
+            with fs.open_input_stream(p) as f:
+                data = f.read(HEAD_BYTES)
+                while b"\n" not in data and len(data) < MAX_HEADER_BYTES:
+                    more = f.read(HEAD_BYTES)
+                    if not more:
+                        break
+                    data += more
+            lines = data.decode("utf-8-sig", errors="replace").splitlines()
+            out.append((path, lines[0] if lines else None, len(lines) > 1))
+        yield pd.DataFrame(out, columns=["path", "header", "has_data"])
+
+
+def listing(spark: SparkSession, root: str, stream: bool = False) -> DataFrame:
+    """Every file below ``root`` as (path, length); file content is not read
+    (binaryFile prunes the content column)."""
+    r = spark.readStream.schema(BINARY_FILE_SCHEMA) if stream else spark.read
+    return (r.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            .select("path", "length"))
+
+
+def file_heads(files: DataFrame, root: str) -> DataFrame:
+    """Per file: key (path below ``root``), header line and whether a data
+    line follows it. Work is spread over tasks by the listing's partitions;
+    each task reads only the first bytes of its files."""
+    heads = files.select("path").mapInPandas(
+        _read_heads, "path string, header string, has_data boolean")
+    return heads.select(_rel_key(F.col("path"), root).alias("key"), "header", "has_data")
 
 
 def verdicts(heads: DataFrame, expected: list[str] | None = None) -> DataFrame:
@@ -93,19 +127,25 @@ def verdicts(heads: DataFrame, expected: list[str] | None = None) -> DataFrame:
 
 def gate_batch(spark: SparkSession, root: str, expected: list[str] | None = None) -> DataFrame:
     """Q13 over everything currently under ``root``."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(root) \
-        .select("value", "_metadata")
-    return verdicts(file_heads(lines, root), expected)
+    return verdicts(file_heads(listing(spark, root), root), expected)
 
 
 def quarantine(spark: SparkSession, root: str, results: DataFrame, dest: str) -> DataFrame:
     """K2: rejected files' lines go to a quarantine dataset (partitioned by
     the file key, with the reason); the landing files are left in place and
-    excluded downstream by :func:`accepted_paths`."""
-    rej = results.filter(F.col("status") == "REJECTED").select("key", "reason")
-    lines = spark.read.option("recursiveFileLookup", "true").text(root).select(
+    excluded downstream by :func:`accepted_paths`. Only the rejected files
+    are read: their keys (file names, one per file - not data) are collected
+    and read directly."""
+    rej = results.filter((F.col("status") == "REJECTED")).select("key", "reason")
+    base = root.rstrip("/")
+    listed = {r["key"] for r in listing(spark, root)
+              .select(_rel_key(F.col("path"), root).alias("key")).collect()}
+    keys = [r["key"] for r in rej.select("key").distinct().collect() if r["key"] in listed]
+    if not keys:
+        return spark.createDataFrame([], "key string, value string, reason string")
+    lines = spark.read.text([f"{base}/{k}" for k in keys]).select(
         _rel_key(F.col("_metadata.file_path"), root).alias("key"), "value")
-    q = lines.join(rej, "key")
+    q = lines.join(F.broadcast(rej), "key")  # one row per rejected file
     q.write.mode("append").partitionBy("key").parquet(dest)
     return q
 
@@ -119,8 +159,7 @@ def gate_stream(spark: SparkSession, root: str, audit: str, checkpoint: str) ->
     one verdict per new file, appended to an audit dataset). Runs all
     available files and stops (availableNow); re-running picks up only new
     files thanks to the checkpointed source log."""
-    stream = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", 1000).load(root).select("value", "_metadata"))
+    stream = listing(spark, root, stream=True)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         v = verdicts(file_heads(batch, root)).withColumn("batch_id", F.lit(epoch))
