@@ -65,29 +65,41 @@ class Models:
     def disorder_rows(self) -> DataFrame:
         return materialize(disorder_rows(self.conditions))
 
-    @cached_property
-    def rows_per_patient(self) -> dict[str, int]:
-        """Largest number of rows one patient has in each scan input, from
-        ONE aggregation job (three numbers reach the driver). Every per-patient
-        scan below is bounded by a sum of these, so the scan strategy is
-        decided here without probing each intermediate."""
-        parts = [self.encounters.select("patient_id", F.lit("encounters").alias("src")),
-                 self.chemo_points.select("patient_id", F.lit("chemo").alias("src")),
-                 self.disorder_rows.select("patient_id", F.lit("disorders").alias("src"))]
-        u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    @staticmethod
+    def _max_rows(parts: dict) -> dict[str, int]:
+        """Largest number of rows one patient has in each frame, from ONE
+        aggregation job (one number per frame reaches the driver)."""
+        frames = [df.select("patient_id", F.lit(name).alias("src")) for name, df in parts.items()]
+        u = frames[0]
+        for f in frames[1:]:
+            u = u.unionByName(f)
         rows = (u.groupBy("src", "patient_id").count().groupBy("src")
                 .agg(F.max("count").alias("m")).collect())
-        out = {"encounters": 0, "chemo": 0, "disorders": 0}
+        out = {name: 0 for name in parts}
         out.update({r["src"]: int(r["m"] or 0) for r in rows})
         return out
 
+    @cached_property
+    def rows_per_patient(self) -> dict[str, int]:
+        """Bounds for the per-patient scans: encounters (a cheap scan) on
+        their own, chemotherapy points and disorder rows together. Every scan
+        below is bounded by a sum of these, so each scan's strategy is
+        decided without probing its intermediate input."""
+        out = dict(self._encounter_rows)
+        out.update(self._max_rows({"chemo": self.chemo_points, "disorders": self.disorder_rows}))
+        return out
+
+    @cached_property
+    def _encounter_rows(self) -> dict[str, int]:
+        return self._max_rows({"encounters": self.encounters})
+
     def _plain(self, bound: int) -> bool:
         return bound_ok(self.encounters.sparkSession, bound)
 
     @cached_property
     def stays(self) -> DataFrame:
         """Inpatient stays with their episode numbering (intermediate)."""
-        b = self.rows_per_patient
+        b = self._encounter_rows
         return numbered_stays(self.encounters, plain=self._plain(b["encounters"]))
 
     @cached_property
