@@ -5,31 +5,37 @@ A plain ``Window.partitionBy(patient)`` puts a patient's whole history into
 one task; a patient holding a third of all rows would then be one task. Here
 the scan is split in two levels:
 
-1. rows are grouped into (key, block) where the block is a coarse time
-   bucket of the ordering column, so a hot key is spread over many blocks and
+1. rows are grouped into (key, block) where the block is a time bucket of
+   the first ordering column, so a hot key is spread over many blocks and
    tasks. A window over (key, block) computes the *local* running value;
 2. one summary row per (key, block) (a partial aggregate, so it is cheap to
    shuffle) is scanned over the blocks of the key to give each block its
-   *carry* from the blocks before (or after) it. The carry table holds at most
-   one row per key per time bucket, a bound set by the calendar, not by the
-   data volume. It is joined back on (key, block), which keeps the big side
-   where it already is (same hash partitioning as the window).
+   *carry* from the blocks before (or after) it, and is joined back on
+   (key, block), which keeps the big side where it already is (same hash
+   partitioning as the window). Blocks without a carry are dropped first.
 
 The result equals the single-window result exactly because blocks are
 contiguous in the ordering (the block is a monotone function of the first
 ordering column) and MAX / MIN / SUM are associative.
 
-Strategy: the two-level scan costs a few extra small shuffles, so a plain
-window over the key is used when it is *proven* safe: the rows per key are
-counted first (a partial aggregate over the already materialised input) and
-the single window runs only if the largest key has at most
-``stayline.scan.maxRowsPerKey`` rows (default 1,000,000 - a sort one task
-handles with bounded memory). Beyond that bound the blocked scan runs.
+Strategy, decided from measured bounds (like a broadcast behind a size
+check, with the other way beyond it):
+
+* rows are counted per key (one map-side combined aggregate, one number to
+  the driver). If the largest key has at most ``stayline.scan.maxRowsPerKey``
+  rows (default 1,000,000 - a sort one task handles with bounded memory) a
+  plain window over the key runs;
+* otherwise the block width is chosen by a second one-job probe: the
+  coarsest of 28 days, 1 day, 1 hour, 1 minute at which no (key, block)
+  holds more than that limit, so even a key whose rows crowd into a short
+  time span is split. The carry table of a key holds one row per non-empty
+  block.
+
 ``stayline.scan.mode`` = auto | blocked | window overrides the choice.
 
 Key columns are carried as non-NULL text (NULL becomes a sentinel no real
 value uses), so NULL keys form one group as they do in a window and the
-carry join can stay a plain equi-join on the window's own partitioning.
+carry join stays a plain equi-join on the window's own partitioning.
 """
 
 from __future__ import annotations
@@ -39,23 +45,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from ..session import materialize as _materialize
 
 KEY = "__scan_k"     # prefix of the key columns: __scan_k0, __scan_k1, ...
 BLK = "__scan_blk"
+SRC = "__scan_sec"   # epoch seconds of the first ordering column
 _NULL_KEY = "\u0000<null>"
-
-# Default block width in days. A key's carry table has at most
-# (span in days / BLOCK_DAYS) rows; a block holds one key's rows of
-# BLOCK_DAYS days.
-BLOCK_DAYS = 28
-
-_NULL_BLOCK = 2 ** 40  # NULL ordering values sort last, so they go last.
+_NULL_BLOCK = 2 ** 62  # NULL ordering values sort last, so they go last.
 
 MODE_CONF = "stayline.scan.mode"
 MAX_ROWS_CONF = "stayline.scan.maxRowsPerKey"
 DEFAULT_MAX_ROWS_PER_KEY = 1_000_000
+# candidate block widths in seconds, coarsest first
+BLOCK_WIDTHS = [28 * 86400, 86400, 3600, 60]
 
 # Every frame is a *prefix* frame (UNBOUNDED PRECEDING .. k), which Spark
 # evaluates incrementally. A suffix ("after" / "from") is the prefix of the
@@ -80,17 +84,37 @@ class Spec:
     frame: str = "before"
 
 
-def time_block(col, days: int = BLOCK_DAYS) -> Column:
-    """Block number of a date/timestamp column: its calendar day // days."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(F.floor(F.unix_date(F.to_date(c)) / F.lit(days)), F.lit(_NULL_BLOCK))
-
-
-def prepare(df: DataFrame, keys: list[str], block: Column) -> DataFrame:
-    """Add the key columns and the block column used by :func:`scan`."""
+def epoch_seconds(df: DataFrame, col: str) -> Column:
+    """Seconds since 1970 of a date / timestamp column, monotone in the
+    column's own order: instants for TIMESTAMP, wall clock for
+    TIMESTAMP_NTZ (no session time zone involved), midnight for DATE."""
+    c = F.col(col)
+    t = df.schema[col].dataType
+    if isinstance(t, DateType):
+        return F.unix_date(c).cast("bigint") * 86400
+    if isinstance(t, TimestampType):
+        return F.unix_seconds(c)
+    if isinstance(t, TimestampNTZType):
+        return (F.unix_date(F.to_date(c)).cast("bigint") * 86400 + F.hour(c) * 3600
+                + F.minute(c) * 60 + F.second(c))
+    return c.cast("bigint")
+
+
+def prepare(df: DataFrame, keys: list[str], block_col: str,
+            width: int | None = None) -> DataFrame:
+    """Add the key columns and the epoch seconds of ``block_col`` (which must
+    be the first ordering column). ``width`` fixes the block width in seconds
+    (tests); by default it is chosen when a blocked scan is needed."""
     kc = [F.coalesce(F.col(k).cast("string"), F.lit(_NULL_KEY)).alias(f"{KEY}{i}")
           for i, k in enumerate(keys)]
-    return df.select("*", *kc, block.alias(BLK))
+    out = df.select("*", *kc, epoch_seconds(df, block_col).alias(SRC))
+    if width is not None:
+        out = out.withColumn(BLK, _block(width))
+    return out
+
+
+def _block(width: int) -> Column:
+    return F.coalesce(F.floor(F.col(SRC) / F.lit(width)), F.lit(_NULL_BLOCK)).cast("bigint")
 
 
 def _keys(df: DataFrame) -> list[str]:
@@ -109,12 +133,51 @@ def _combine(func: str, local: Column, carry: Column) -> Column:
     return F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
 
 
+def _limit(spark) -> int:
+    return int(spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS_PER_KEY)))
+
+
+def bound_ok(spark, rows_per_key: int) -> bool:
+    """True when a *known* upper bound of the rows per key is within the
+    limit (or the mode forces the plain window)."""
+    mode = spark.conf.get(MODE_CONF, "auto")
+    if mode in ("blocked", "window"):
+        return mode == "window"
+    return rows_per_key <= _limit(spark)
+
+
+def small_keys(d: DataFrame, keys: list[str]) -> bool:
+    """True when no key holds more than the per-key row limit (one
+    aggregation job, map-side combined; one number reaches the driver)."""
+    spark = d.sparkSession
+    mode = spark.conf.get(MODE_CONF, "auto")
+    if mode in ("blocked", "window"):
+        return mode == "window"
+    biggest = d.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return (biggest or 0) <= _limit(spark)
+
+
+def choose_width(d: DataFrame, keys: list[str]) -> int:
+    """Coarsest block width at which no (key, block) exceeds the limit; one
+    aggregation job over all candidate widths (a few numbers to the driver).
+    Rows sharing one key and one minute cannot be split further by time."""
+    limit = _limit(d.sparkSession)
+    parts = [d.select(*keys, F.lit(w).alias("__w"), _block(w).alias("__b")) for w in BLOCK_WIDTHS]
+    u = reduce(DataFrame.unionByName, parts)
+    got = {r["__w"]: r["m"] for r in u.groupBy("__w", *keys, "__b").count()
+           .groupBy("__w").agg(F.max("count").alias("m")).collect()}
+    for w in BLOCK_WIDTHS:
+        if (got.get(w) or 0) <= limit:
+            return w
+    return BLOCK_WIDTHS[-1]
+
+
 def scan(df: DataFrame, order: list[str], specs: list[Spec],
          materialize: bool = True, plain: bool | None = None) -> DataFrame:
     """Run ``specs`` over a frame prepared by :func:`prepare`.
 
     ``order``: column names giving a total order within the key (ascending,
-    NULLs last); the first must be the column the block was computed from.
+    NULLs last); the first is the block column given to :func:`prepare`.
     The input is read by two consumers (the size probe or the block summary,
     and the window); unless it is a cheap scan (``materialize=False``) it is
     written once to the checkpoint directory so that neither recomputes the
@@ -135,6 +198,15 @@ def scan(df: DataFrame, order: list[str], specs: list[Spec],
         return _window_scan(df, d, keys, fwd, bwd, specs)
     if materialize and not done:
         d = _materialize(d)
+    out_cols = list(df.columns)
+    if BLK not in d.columns:
+        d = d.withColumn(BLK, _block(choose_width(d, keys)))
+        out_cols.append(BLK)
+    return _blocked_scan(out_cols, d, keys, fwd, bwd, specs)
+
+
+def _blocked_scan(out_cols: list[str], d: DataFrame, keys: list[str], fwd, bwd,
+                  specs: list[Spec]) -> DataFrame:
     w = {False: Window.partitionBy(*keys, BLK).orderBy(*fwd),
          True: Window.partitionBy(*keys, BLK).orderBy(*bwd)}
 
@@ -165,37 +237,13 @@ def scan(df: DataFrame, order: list[str], specs: list[Spec],
              # same hash layout as the windowed side, so only this small
              # table moves for the join
              .repartition(*[F.col(c) for c in ck], F.col("__cb")))
-    cond = F.lit(True)
-    for k, c in zip(keys, ck):
-        cond = cond & (local[k] == carry[c])
+    cond = reduce(lambda a, b: a & b, [local[k] == carry[c] for k, c in zip(keys, ck)])
     j = local.join(carry, cond & (local[BLK] == carry["__cb"]), "left")
-    out = j.select(
-        *[F.col(c) for c in df.columns],
+    return j.select(
+        *[F.col(c) for c in out_cols],
         *[_combine(s.func, F.col(f"__l_{s.name}"), F.col(f"__c_{s.name}")).alias(s.name)
           for s in specs],
     )
-    return out
-
-
-def bound_ok(spark, rows_per_key: int) -> bool:
-    """True when a *known* upper bound of the rows per key is within the
-    limit (or the mode forces the plain window)."""
-    mode = spark.conf.get(MODE_CONF, "auto")
-    if mode in ("blocked", "window"):
-        return mode == "window"
-    return rows_per_key <= int(spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS_PER_KEY)))
-
-
-def small_keys(d: DataFrame, keys: list[str]) -> bool:
-    """True when no key holds more than the per-key row limit (one
-    aggregation job, map-side combined; one number reaches the driver)."""
-    spark = d.sparkSession
-    mode = spark.conf.get(MODE_CONF, "auto")
-    if mode in ("blocked", "window"):
-        return mode == "window"
-    limit = int(spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS_PER_KEY)))
-    biggest = d.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return (biggest or 0) <= limit
 
 
 def _window_scan(df: DataFrame, d: DataFrame, keys: list[str], fwd, bwd,
@@ -211,16 +259,16 @@ def _window_scan(df: DataFrame, d: DataFrame, keys: list[str], fwd, bwd,
     return d.select(*[F.col(c) for c in df.columns], *cols)
 
 
-def ordered_scan(df: DataFrame, keys: list[str], order: list[str], block: Column,
-                 specs: list[Spec], materialize: bool = True,
-                 plain: bool | None = None) -> DataFrame:
+def ordered_scan(df: DataFrame, keys: list[str], order: list[str], specs: list[Spec],
+                 materialize: bool = True, plain: bool | None = None,
+                 width: int | None = None) -> DataFrame:
     """prepare + scan + drop helper columns."""
-    return finish(scan(prepare(df, keys, block), order, specs,
+    return finish(scan(prepare(df, keys, order[0], width), order, specs,
                        materialize and plain is not True, plain))
 
 
 def finish(df: DataFrame) -> DataFrame:
-    return df.drop(*_keys(df), BLK)
+    return df.drop(*_keys(df), BLK, SRC)
 
 
 def asc(*cols: str) -> list[str]:

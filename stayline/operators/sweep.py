@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import Spec, asc, ordered_scan, time_block
+from .scan import Spec, asc, ordered_scan
 
 QSET = "__qset"
 KIND = "__kind"
@@ -65,7 +65,7 @@ def sweep(keys: list[str], id_cols: list[str], queries: dict[str, DataFrame],
                               "before"))
         else:
             raise ValueError(how)
-    res = ordered_scan(u, keys, asc("ts", KIND), time_block("ts"), specs, plain=plain)
+    res = ordered_scan(u, keys, asc("ts", KIND), specs, plain=plain)
     return res.filter(F.col(KIND) == 0).select(*keys, QSET, *id_cols, "ts",
                                                 *[o for o, _, _ in ops])
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import age_years, day_diff, midnight_days_before
 from ..operators.intervals import count_covering, island_events
-from ..operators.scan import Spec, asc, ordered_scan, time_block
+from ..operators.scan import Spec, asc, ordered_scan
 from ..operators.sweep import QSET, pick, sweep
 
 FEATURE_COLUMNS = [
@@ -106,7 +106,7 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
     u = parts[0]
     for p_ in parts[1:]:
         u = u.unionByName(p_)
-    res = ordered_scan(u, ["patient_id"], asc("ts", "kind"), time_block("ts"),
+    res = ordered_scan(u, ["patient_id"], asc("ts", "kind"),
                        [Spec("run_delta", "sum", "delta", "upto"),
                         Spec("n_before", "sum", "point", "before")], plain=plain_timeline)
     q = res.filter(F.col("kind").isin(1, 2))

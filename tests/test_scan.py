@@ -28,7 +28,7 @@ def test_blocked_scan_matches_window(spark, blocked):
     specs = [S.Spec("mx_before", "max", "v", "before"), S.Spec("sum_upto", "sum", "v", "upto"),
              S.Spec("mn_after", "min", "v", "after"), S.Spec("sum_from", "sum", "v", "from")]
     # 7-day blocks: the hot key spans ~300 blocks
-    got = S.ordered_scan(df, ["k"], order, S.time_block("t", 7), specs)
+    got = S.ordered_scan(df, ["k"], order, specs, width=7 * 86400)
     w = Window.partitionBy("k").orderBy(*S.asc_nulls_last(*order))
     exp = df.select(
         "id",
@@ -49,8 +49,8 @@ def test_blocked_scan_matches_window(spark, blocked):
 def test_scan_plan_keeps_big_side_in_place(spark, blocked):
     """The carry join must not re-shuffle the windowed rows by key alone."""
     df = _frame(spark, n=200)
-    got = S.ordered_scan(df, ["k"], S.asc("t", "id"), S.time_block("t"),
-                         [S.Spec("m", "max", "v", "before")], materialize=False)
+    got = S.ordered_scan(df, ["k"], S.asc("t", "id"), [S.Spec("m", "max", "v", "before")],
+                         materialize=False)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
@@ -85,11 +85,32 @@ def test_auto_mode_switches_on_a_hot_key(spark):
     specs = [S.Spec("m", "max", "v", "before")]
     spark.conf.set("stayline.scan.maxRowsPerKey", "10")
     try:
-        got = S.ordered_scan(df, ["k"], order, S.time_block("t", 7), specs)
+        got = S.ordered_scan(df, ["k"], order, specs)
         assert "__cb" in got._jdf.queryExecution().analyzed().toString()
         a = {r["id"]: r["m"] for r in got.collect()}
     finally:
         spark.conf.unset("stayline.scan.maxRowsPerKey")
-    plain = S.ordered_scan(df, ["k"], order, S.time_block("t", 7), specs)
+    plain = S.ordered_scan(df, ["k"], order, specs)
     assert "__cb" not in plain._jdf.queryExecution().analyzed().toString()
     assert a == {r["id"]: r["m"] for r in plain.collect()}
+
+
+def test_adaptive_width_splits_a_crowded_key(spark):
+    """A key whose rows crowd into a few days gets finer blocks: with a
+    limit of 50 rows per task, 28-day and 1-day blocks are too big, so the
+    probe falls back to hours; answers still equal the plain window."""
+    import datetime as dt
+    rows = [("hot", i, dt.datetime(2020, 1, 1) + dt.timedelta(minutes=7 * i), i % 13)
+            for i in range(400)] + [("cold", 1000 + i, dt.datetime(2020, 1, 1), i) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, id long, t timestamp, v int")
+    p = S.prepare(df, ["k"], "t")
+    spark.conf.set("stayline.scan.maxRowsPerKey", "50")
+    try:
+        assert S.choose_width(p, ["__scan_k0"]) == 3600
+        got = S.ordered_scan(df, ["k"], S.asc("t", "id"), [S.Spec("s", "sum", "v", "upto")])
+        a = {r["id"]: r["s"] for r in got.collect()}
+    finally:
+        spark.conf.unset("stayline.scan.maxRowsPerKey")
+    w = Window.partitionBy("k").orderBy(*S.asc_nulls_last("t", "id"))
+    ref = df.select("id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
+    assert a == {r["id"]: r["s"] for r in ref.collect()}
