@@ -14,16 +14,12 @@ from pyspark.sql.types import StructType
 
 def load_new_files(spark: SparkSession, src: str, schema: StructType, target: str,
                    checkpoint: str, fmt: str = "parquet") -> int:
-    """Append rows of files not yet loaded; returns the number of batches."""
-    batches = []
-
-    def per_batch(df, epoch):
-        df.write.mode("append").parquet(target)
-        batches.append(epoch)
-
+    """Append the rows of files not loaded yet, through Spark's Parquet file
+    sink (exactly-once: a replayed micro-batch is not committed twice).
+    Returns the number of micro-batches that ran."""
     q = (spark.readStream.format(fmt).schema(schema).load(src)
-         .writeStream.foreachBatch(per_batch)
+         .writeStream.format("parquet").option("path", target)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(batches)
+    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
