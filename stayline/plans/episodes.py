@@ -102,11 +102,13 @@ def hospice_and_chemo(episodes: DataFrame, encounters: DataFrame,
 
 def inpatient_episodes(patients: DataFrame, encounters: DataFrame,
                        procedures: DataFrame | None, stays: DataFrame | None = None,
-                       plain: bool | None = None, chemo: DataFrame | None = None) -> DataFrame:
+                       plain: bool | None = None, chemo: DataFrame | None = None,
+                       spans: DataFrame | None = None, hc: DataFrame | None = None) -> DataFrame:
     """The 16-column episode table."""
-    spans = episode_spans(encounters, stays)
+    spans = episode_spans(encounters, stays) if spans is None else spans
     e = with_death_flags(spans, patients)
-    hc = hospice_and_chemo(spans, encounters, procedures, plain=plain, chemo=chemo)
+    if hc is None:
+        hc = hospice_and_chemo(spans, encounters, procedures, plain=plain, chemo=chemo)
     e = e.join(hc, ["patient_id", "episode_number"], "left")
     e = e.select(
         "patient_id", "episode_number", "admitted_at", "discharged_at", "stay_in_episode",

@@ -18,7 +18,8 @@ FEATURE_COLUMNS = [
 ]
 
 
-def history_365d(episodes: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+def history_365d(episodes: DataFrame, targets: DataFrame | None = None,
+                 plain: bool | None = None) -> DataFrame:
     """For each target episode, the patient's episodes (eligible or not)
     admitted strictly earlier and at most 365 calendar days before.
 
@@ -35,7 +36,7 @@ def history_365d(episodes: DataFrame, targets: DataFrame | None = None) -> DataF
     }
     points = {"episode": episodes.select("patient_id", F.col("admitted_at").alias("ts"))}
     hits = sweep(["patient_id"], ["episode_number"], queries, points,
-                 [("n_before", "episode", "count_before")])
+                 [("n_before", "episode", "count_before")], plain=plain)
     g = hits.groupBy("patient_id", "episode_number").agg(
         pick("admit", "n_before").alias("earlier"), pick("year", "n_before").alias("too_old"))
     return g.select("patient_id", "episode_number",
@@ -124,11 +125,12 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
 def episode_features(episodes: DataFrame, patients: DataFrame,
                      conditions: DataFrame | None, plain_islands: bool | None = None,
                      plain_timeline: bool | None = None,
-                     disorders: DataFrame | None = None) -> DataFrame:
+                     disorders: DataFrame | None = None,
+                     timeline: DataFrame | None = None) -> DataFrame:
     eligible = episodes.filter(F.col("is_eligible_index") == True)  # noqa: E712
     e = eligible.join(patients.select("patient_id", "gender", "birth_date"), "patient_id", "inner")
-    tl = feature_timeline(episodes, eligible, conditions, plain_islands, plain_timeline,
-                          disorders)
+    tl = timeline if timeline is not None else feature_timeline(
+        episodes, eligible, conditions, plain_islands, plain_timeline, disorders)
     e = e.join(tl, ["patient_id", "episode_number"], "left")
     return e.select(
         "episode_id", "patient_id", "admitted_at", "discharged_at", "stay_in_episode",

@@ -18,9 +18,10 @@ from ..operators.scan import bound_ok
 from ..session import materialize
 from ..sources.driver import DriverSources
 from . import core
-from .episodes import (EPISODE_COLUMNS, chemo_points, episode_spans, inpatient_episodes,
-                       numbered_stays)
-from .features import FEATURE_COLUMNS, disorder_rows, episode_features
+from .episodes import (EPISODE_COLUMNS, chemo_points, episode_spans, hospice_and_chemo,
+                       inpatient_episodes, numbered_stays)
+from .features import (FEATURE_COLUMNS, disorder_rows, episode_features, feature_timeline,
+                       history_365d)
 
 
 class Models:
@@ -103,30 +104,50 @@ class Models:
         return numbered_stays(self.encounters, plain=self._plain(b["encounters"]))
 
     @cached_property
-    def inpatient_episodes(self) -> DataFrame:
-        # hospice / chemo sweep rows per patient <= 2 queries per stay +
-        # hospice encounters + chemo points
+    def hospice_chemo(self) -> DataFrame:
+        """Per episode span: next hospice start after discharge and next
+        chemotherapy start after admission (one timeline sweep). Sweep rows
+        per patient <= 2 queries per stay + hospice encounters + chemo."""
         b = self.rows_per_patient
         plain = self._plain(3 * b["encounters"] + b["chemo"])
-        e = inpatient_episodes(self.patients, self.encounters, None, self.stays,
-                               plain=plain, chemo=self.chemo_points)
+        return hospice_and_chemo(self.episode_spans, self.encounters, None, plain=plain,
+                                 chemo=self.chemo_points)
+
+    @cached_property
+    def inpatient_episodes(self) -> DataFrame:
+        e = inpatient_episodes(self.patients, self.encounters, None, spans=self.episode_spans,
+                               hc=self.hospice_chemo)
         # materialized like a model table: every feature branch reads it
         return materialize(e.select(*EPISODE_COLUMNS))
 
+    @cached_property
+    def timeline(self) -> DataFrame:
+        """J4 + J5 per eligible episode (one sweep). Islands: rows per
+        (patient, code) <= disorder rows per patient; timeline rows per
+        patient <= 3 events per disorder row + 4 rows per episode."""
+        b = self.rows_per_patient
+        e = self.inpatient_episodes
+        eligible = e.filter(F.col("is_eligible_index"))
+        return feature_timeline(e, eligible, None,
+                                plain_islands=self._plain(b["disorders"]),
+                                plain_timeline=self._plain(3 * b["disorders"]
+                                                           + 4 * b["encounters"]),
+                                disorders=self.disorder_rows)
+
+    @cached_property
+    def history(self) -> DataFrame:
+        """J4 for every episode: 2 queries + 1 point per episode."""
+        b = self._encounter_rows
+        return history_365d(self.inpatient_episodes, plain=self._plain(3 * b["encounters"]))
+
     @cached_property
     def episode_spans(self) -> DataFrame:
         return episode_spans(self.encounters, self.stays)
 
     @cached_property
     def episode_features(self) -> DataFrame:
-        # islands: rows per (patient, code) <= disorder rows per patient;
-        # timeline: <= 3 events per disorder row + 4 rows per episode
-        b = self.rows_per_patient
-        return episode_features(
-            self.inpatient_episodes, self.patients, None,
-            plain_islands=self._plain(b["disorders"]),
-            plain_timeline=self._plain(3 * b["disorders"] + 4 * b["encounters"]),
-            disorders=self.disorder_rows).select(*FEATURE_COLUMNS)
+        return episode_features(self.inpatient_episodes, self.patients, None,
+                                timeline=self.timeline).select(*FEATURE_COLUMNS)
 
     def ref(self, name: str) -> DataFrame:
         return getattr(self, name)

@@ -9,8 +9,6 @@ from .. import oracle as O
 from ..functions import (age_years, concat_null, day_diff, first_group_ci, hour_diff,
                          minute_diff, month_day, year_diff)
 from .common import models
-from .episodes import episode_spans, hospice_and_chemo, with_death_flags
-from .features import feature_timeline, history_365d
 
 Q: dict = {}
 SQL: dict = {}
@@ -114,10 +112,7 @@ def lead_next_admission(spark, sf):
     m = models(spark, sf)
     e = m.inpatient_episodes.select("episode_id", "patient_id", "episode_number",
                                     "admitted_at", "next_admission_at")
-    hc = hospice_and_chemo(m.inpatient_episodes.select("patient_id", "episode_number",
-                                                       "admitted_at", "discharged_at"),
-                           m.encounters, m.procedures)
-    nxt = hc.select("patient_id", (F.col("episode_number") - 1).alias("episode_number"),
+    nxt = m.hospice_chemo.select("patient_id", (F.col("episode_number") - 1).alias("episode_number"),
                     F.col("next_chemo").alias("nc"))
     ep = m.inpatient_episodes.select("patient_id", (F.col("episode_number") - 1)
                                      .alias("episode_number"),
@@ -153,9 +148,7 @@ SQL["join_episode_patient"] = O.with_models(
 
 def _flags(spark, sf):
     m = models(spark, sf)
-    spans = m.episode_spans
-    hc = hospice_and_chemo(spans, m.encounters, m.procedures)
-    return spans.join(hc, ["patient_id", "episode_number"], "left")
+    return m.episode_spans.join(m.hospice_chemo, ["patient_id", "episode_number"], "left")
 
 
 @q("exists_hospice")
@@ -188,8 +181,8 @@ SQL["exists_chemotherapy"] = O.with_models(
 @q("prior_episodes_365d")
 def prior_episodes_365d(spark, sf):
     """J4 for every episode (history includes ineligible episodes)."""
-    e = models(spark, sf).inpatient_episodes
-    h = history_365d(e)
+    m = models(spark, sf)
+    e, h = m.inpatient_episodes, m.history
     return e.select("episode_id", "patient_id", "episode_number").join(
         h, ["patient_id", "episode_number"], "left").select(
         "episode_id", F.coalesce("prior_episodes_365d", F.lit(0)).cast("bigint")
@@ -209,7 +202,7 @@ def active_disorders_at_discharge(spark, sf):
     """J5 for every eligible episode."""
     m = models(spark, sf)
     el = m.inpatient_episodes.filter(F.col("is_eligible_index"))
-    a = feature_timeline(m.inpatient_episodes, el, m.conditions)
+    a = m.timeline
     return el.select("episode_id", "patient_id", "episode_number").join(
         a, ["patient_id", "episode_number"], "left").select(
         "episode_id", F.coalesce("active_disorders_at_discharge", F.lit(0)).cast("bigint")

@@ -13,7 +13,6 @@ from ..operators.profile import column_profile, ordered_template
 from ..operators.scan import asc_nulls_last
 from .common import (avg1, check_row, cnt, cnt_if, models, one_row_join, sql_avg1, sql_check,
                      sql_cif, sql_pct)
-from .episodes import episode_spans, hospice_and_chemo
 
 Q: dict = {}
 SQL: dict = {}
@@ -209,8 +208,7 @@ def _exclusions(m) -> DataFrame:
     discharge day + 1 (it also takes deaths before admission)."""
     spans = m.episode_spans
     e = spans.join(m.patients.select("patient_id", "death_date"), "patient_id")
-    hc = hospice_and_chemo(spans, m.encounters, m.procedures)
-    e = e.join(hc, ["patient_id", "episode_number"], "left")
+    e = e.join(m.hospice_chemo, ["patient_id", "episode_number"], "left")
     return e.select(
         "patient_id", "episode_number", "admitted_at", "death_date",
         (F.col("death_date").isNotNull()
