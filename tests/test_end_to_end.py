@@ -62,3 +62,16 @@ def test_load_report_counts_rows(spark, sf_small, tmp_path):
     rep = I.load_report(inc, loaded).collect()
     assert rep and all(r["status"] == "LOADED" for r in rep)
     assert sum(r["rows_loaded"] for r in rep) == inc.count()
+
+
+def test_pipeline_runs_end_to_end(spark, sf_small, tmp_path):
+    from stayline.pipeline import run_pipeline
+    landing = str(tmp_path / "landing")
+    for t in SIX:
+        I.write_landed_csv(landed(spark, sf_small, t), f"{landing}/{t}.csv")
+    res = run_pipeline(spark, landing, str(tmp_path / "out"))
+    assert {r["status"] for r in res["gate"].collect()} == {"ACCEPTED"}
+    feats = spark.read.parquet(res["layers"]["episode_features"])
+    assert feats.count() == 836
+    rep = res["dq_report"].collect()
+    assert len(rep) == 50 and all(r["status"] == "PASS" for r in rep)
