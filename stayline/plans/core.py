@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules as R
 from ..functions import iff, minute_diff, null_if
 
 
@@ -22,8 +23,8 @@ def patients(raw: DataFrame) -> DataFrame:
         F.col("STATE").alias("state"),
         F.col("COUNTY").alias("county"),
         F.col("FIPS").alias("fips"),
-        null_if("ZIP3", "000").alias("zip3"),
-        iff(F.col("ZIP3") == "000", F.lit(False), F.lit(True)).alias("geo_known"),
+        null_if("ZIP3", R.UNKNOWN_ZIP3).alias("zip3"),
+        iff(F.col("ZIP3") == R.UNKNOWN_ZIP3, F.lit(False), F.lit(True)).alias("geo_known"),
         F.col("HEALTHCARE_EXPENSES").alias("healthcare_expenses"),
         F.col("HEALTHCARE_COVERAGE").alias("healthcare_coverage"),
         F.col("INCOME").alias("income"),
@@ -62,7 +63,7 @@ def conditions(raw: DataFrame) -> DataFrame:
         F.col("SYSTEM").alias("code_system"),
         F.col("CODE").alias("condition_code"),
         F.col("DESCRIPTION").alias("description"),
-        F.col("DESCRIPTION").like("%(disorder)").alias("is_disorder"),
+        F.col("DESCRIPTION").like(R.DISORDER_PATTERN).alias("is_disorder"),
     )
 
 
@@ -79,5 +80,5 @@ def procedures(raw: DataFrame) -> DataFrame:
         F.col("BASE_COST").alias("base_cost"),
         F.col("REASONCODE").alias("reason_code"),
         F.col("REASONDESCRIPTION").alias("reason_description"),
-        F.col("DESCRIPTION").ilike("%chemotherapy%").alias("is_chemotherapy"),
+        F.col("DESCRIPTION").ilike(R.CHEMOTHERAPY_PATTERN).alias("is_chemotherapy"),
     )

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules as R
 from ..functions import concat_null, day_diff, plus_days_keep_time
 from ..operators.intervals import number_islands
 from ..operators.sweep import QSET, pick, sweep
@@ -28,7 +29,7 @@ EPISODE_COLUMNS = [
 
 def inpatient_stays(encounters: DataFrame) -> DataFrame:
     """Inpatient encounters as stays."""
-    return encounters.filter(F.col("encounter_class") == "inpatient").select(
+    return encounters.filter(F.col("encounter_class") == R.INPATIENT_CLASS).select(
         "patient_id", "encounter_id",
         F.col("start_ts").alias("admitted_at"), F.col("stop_ts").alias("discharged_at"))
 
@@ -65,7 +66,8 @@ def with_death_flags(spans: DataFrame, patients: DataFrame) -> DataFrame:
     return e.select(
         "*",
         (dd.isNotNull() & (dd < admit_d)).alias("death_before_admission"),
-        (dd.isNotNull() & (dd >= admit_d) & (dd <= F.date_add(dis_d, 1))).alias("died_in_episode"),
+        (dd.isNotNull() & (dd >= admit_d)
+         & (dd <= F.date_add(dis_d, R.DEATH_AFTER_DISCHARGE_DAYS))).alias("died_in_episode"),
     )
 
 
@@ -88,7 +90,7 @@ def hospice_and_chemo(episodes: DataFrame, encounters: DataFrame,
                                      F.col("discharged_at").alias("ts")),
     }
     points = {
-        "hospice": encounters.filter(F.col("encounter_class") == "hospice")
+        "hospice": encounters.filter(F.col("encounter_class") == R.HOSPICE_CLASS)
                              .select("patient_id", F.col("start_ts").alias("ts")),
         "chemo": chemo_points(procedures) if chemo is None else chemo,
     }
@@ -113,7 +115,8 @@ def inpatient_episodes(patients: DataFrame, encounters: DataFrame,
     e = e.select(
         "patient_id", "episode_number", "admitted_at", "discharged_at", "stay_in_episode",
         "death_date", "died_in_episode", "death_before_admission",
-        F.coalesce(F.col("next_hospice") <= plus_days_keep_time("discharged_at", 1), F.lit(False))
+        F.coalesce(F.col("next_hospice")
+                   <= plus_days_keep_time("discharged_at", R.HOSPICE_WINDOW_DAYS), F.lit(False))
         .alias("discharged_to_hospice"),
         F.coalesce(F.col("next_chemo") <= F.col("discharged_at"), F.lit(False))
         .alias("has_chemotherapy"),
@@ -126,7 +129,7 @@ def inpatient_episodes(patients: DataFrame, encounters: DataFrame,
                    F.col("has_chemotherapy").alias("next_has_chemotherapy"))
     e = e.join(nxt, ["patient_id", "episode_number"], "left")
     gap = day_diff("discharged_at", "next_admission_at")
-    within = F.col("next_admission_at").isNotNull() & (gap <= 30)
+    within = F.col("next_admission_at").isNotNull() & (gap <= R.READMISSION_WINDOW_DAYS)
     return e.select(
         concat_null("patient_id", F.lit("-"), "episode_number").alias("episode_id"),
         "patient_id", "episode_number", "admitted_at", "discharged_at", "stay_in_episode",

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules as R
 from ..functions import age_years, day_diff, midnight_days_before
 from ..operators.intervals import count_covering, island_events
 from ..operators.scan import Spec, asc, ordered_scan
@@ -32,7 +33,7 @@ def history_365d(episodes: DataFrame, targets: DataFrame | None = None,
     queries = {
         "admit": targets.select("patient_id", "episode_number", F.col("admitted_at").alias("ts")),
         "year": targets.select("patient_id", "episode_number",
-                               midnight_days_before("admitted_at", 365, ts_type).alias("ts")),
+                               midnight_days_before("admitted_at", R.HISTORY_WINDOW_DAYS, ts_type).alias("ts")),
     }
     points = {"episode": episodes.select("patient_id", F.col("admitted_at").alias("ts"))}
     hits = sweep(["patient_id"], ["episode_number"], queries, points,
@@ -101,7 +102,7 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
         row(ev, F.col("day"), 0, None, F.col("delta"), 0, with_id=False),
         row(eligible, F.to_date("discharged_at"), 1, "cover", 0, 0),
         row(eligible, F.col("admitted_at"), 2, "admit", 0, 0),
-        row(eligible, midnight_days_before("admitted_at", 365, ts_type), 2, "year", 0, 0),
+        row(eligible, midnight_days_before("admitted_at", R.HISTORY_WINDOW_DAYS, ts_type), 2, "year", 0, 0),
         row(episodes, F.col("admitted_at"), 3, None, 0, 1, with_id=False),
     ]
     u = parts[0]
