@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .plans import q_checks
 from .plans.layers import materialize_layers
 from .plans.models import Models
+from .session import tune_for_input
 from .sources import ingest as I
 from .sources.schemas import REQUIRED_COLUMNS
 from .streaming import gate as G
@@ -27,6 +28,8 @@ TABLES = ["patients", "encounters", "conditions", "medications", "procedures", "
 def run_pipeline(spark: SparkSession, landing: str, out: str) -> dict[str, DataFrame]:
     """Returns the gate verdicts, the layer paths and the quality report."""
     out = out.rstrip("/")
+    landed_bytes = G.listing(spark, landing).agg(F.sum("length")).first()[0] or 0
+    tune_for_input(spark, int(landed_bytes))
     verdicts = G.gate_batch(spark, landing, expected=list(REQUIRED_COLUMNS))
     verdicts.write.mode("overwrite").parquet(f"{out}/audit/gate")
     verdicts = spark.read.parquet(f"{out}/audit/gate")

@@ -38,6 +38,23 @@ def build_session(master: str | None = None, app: str = "stayline",
     return spark
 
 
+def tune_for_input(spark: SparkSession, input_bytes: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Size shuffles and scan splits from the measured input volume: enough
+    initial shuffle partitions that each holds about ``target_partition_bytes``
+    (AQE then coalesces small ones and splits skewed ones), and scan splits of
+    the same size. Returns the settings applied."""
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    conf = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint directory of the session.
 

@@ -138,14 +138,16 @@ def quarantine(spark: SparkSession, root: str, results: DataFrame, dest: str) ->
     and read directly."""
     rej = results.filter((F.col("status") == "REJECTED")).select("key", "reason")
     base = root.rstrip("/")
-    listed = {r["key"] for r in listing(spark, root)
-              .select(_rel_key(F.col("path"), root).alias("key")).collect()}
-    keys = [r["key"] for r in rej.select("key").distinct().collect() if r["key"] in listed]
+    files = listing(spark, root).select(_rel_key(F.col("path"), root).alias("key"))
+    # rejected keys that are files (an absent table has none); only their
+    # names reach the driver
+    keys = [r["key"] for r in rej.join(files, "key", "left_semi").select("key")
+            .distinct().collect()]
     if not keys:
         return spark.createDataFrame([], "key string, value string, reason string")
     lines = spark.read.text([f"{base}/{k}" for k in keys]).select(
         _rel_key(F.col("_metadata.file_path"), root).alias("key"), "value")
-    q = lines.join(F.broadcast(rej), "key")  # one row per rejected file
+    q = lines.join(rej, "key")
     q.write.mode("append").partitionBy("key").parquet(dest)
     return q
 

@@ -69,9 +69,17 @@ def test_pipeline_runs_end_to_end(spark, sf_small, tmp_path):
     landing = str(tmp_path / "landing")
     for t in SIX:
         I.write_landed_csv(landed(spark, sf_small, t), f"{landing}/{t}.csv")
-    res = run_pipeline(spark, landing, str(tmp_path / "out"))
-    assert {r["status"] for r in res["gate"].collect()} == {"ACCEPTED"}
-    feats = spark.read.parquet(res["layers"]["episode_features"])
-    assert feats.count() == 836
-    rep = res["dq_report"].collect()
-    assert len(rep) == 50 and all(r["status"] == "PASS" for r in rep)
+    keep = {k: spark.conf.get(k) for k in ["spark.sql.shuffle.partitions",
+                                           "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                           "spark.sql.files.maxPartitionBytes"]}
+    try:
+        res = run_pipeline(spark, landing, str(tmp_path / "out"))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"  # sized from input
+        assert {r["status"] for r in res["gate"].collect()} == {"ACCEPTED"}
+        feats = spark.read.parquet(res["layers"]["episode_features"])
+        assert feats.count() == 836
+        rep = res["dq_report"].collect()
+        assert len(rep) == 50 and all(r["status"] == "PASS" for r in rep)
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
