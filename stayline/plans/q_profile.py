@@ -853,3 +853,28 @@ SQL["sample_rows_by_type"] = O.with_models(
     "head AS (SELECT \"DATE\", \"ENCOUNTER\", \"TYPE\", \"VALUE\", VALUE_NUM, \"UNITS\" "
     f"FROM raw_observations ORDER BY \"DATE\" NULLS LAST, \"ENCOUNTER\" NULLS LAST "
     f"LIMIT {SAMPLE_HEAD})")
+
+
+@q("patient_stay_array")
+def patient_stay_array(spark, sf):
+    """Each patient's stays as ordered arrays of row objects
+    (start, stop, id), one array per patient and admission day, rendered as
+    text. Chunking by day keeps every array bounded by one day's stays of one
+    patient, however long a patient's history grows."""
+    s = models(spark, sf).stays
+    g = s.groupBy("patient_id", F.to_date("admitted_at").alias("stay_day")).agg(
+        F.sort_array(F.collect_list(F.struct("admitted_at", "discharged_at", "encounter_id")))
+        .alias("stays"))
+    return g.select(
+        "patient_id", "stay_day", F.size("stays").cast("bigint").alias("n_stays"),
+        F.array_join(F.transform("stays", lambda x: F.concat_ws(
+            "|", x["admitted_at"].cast("string"), x["discharged_at"].cast("string"),
+            x["encounter_id"])), ";").alias("stays"))
+
+
+SQL["patient_stay_array"] = O.with_models(
+    "SELECT patient_id, CAST(admitted_at AS DATE) AS stay_day, CAST(COUNT(*) AS BIGINT) AS n_stays, "
+    "string_agg(concat_ws('|', CAST(admitted_at AS VARCHAR), CAST(discharged_at AS VARCHAR), "
+    "encounter_id), ';' ORDER BY admitted_at NULLS FIRST, discharged_at NULLS FIRST, "
+    "encounter_id NULLS FIRST) AS stays "
+    "FROM ie_stay GROUP BY patient_id, CAST(admitted_at AS DATE)")
