@@ -82,18 +82,25 @@ class Models:
 
     @cached_property
     def rows_per_patient(self) -> dict[str, int]:
-        """Bounds for the per-patient scans: encounters (a cheap scan) on
-        their own, chemotherapy points and disorder rows together. Every scan
-        below is bounded by a sum of these, so each scan's strategy is
-        decided without probing its intermediate input."""
-        out = dict(self._encounter_rows)
-        out.update(self._max_rows({"chemo": self.chemo_points, "disorders": self.disorder_rows}))
-        return out
+        """Bounds for the per-patient scans, each from one aggregation job
+        over a narrow input (encounters, chemotherapy points, disorder rows),
+        computed only when a scan needs it. Every scan below is bounded by a
+        sum of these, so its strategy is decided without probing its own
+        intermediate input."""
+        return _LazyBounds(self)
 
     @cached_property
     def _encounter_rows(self) -> dict[str, int]:
         return self._max_rows({"encounters": self.encounters})
 
+    @cached_property
+    def _chemo_rows(self) -> dict[str, int]:
+        return self._max_rows({"chemo": self.chemo_points})
+
+    @cached_property
+    def _disorder_rows(self) -> dict[str, int]:
+        return self._max_rows({"disorders": self.disorder_rows})
+
     def _plain(self, bound: int) -> bool:
         return bound_ok(self.encounters.sparkSession, bound)
 
@@ -151,3 +158,18 @@ class Models:
 
     def ref(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+
+class _LazyBounds(dict):
+    """rows_per_patient[...] resolved on first use, one probe per input."""
+
+    def __init__(self, m: Models):
+        super().__init__()
+        self._m = m
+
+    def __missing__(self, name: str) -> int:
+        src = {"encounters": "_encounter_rows", "chemo": "_chemo_rows",
+               "disorders": "_disorder_rows"}[name]
+        v = getattr(self._m, src)[name]
+        self[name] = v
+        return v
