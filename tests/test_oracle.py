@@ -6,10 +6,8 @@ import pytest
 import __spark_entry__ as E
 from tools.check_oracle import TABLES, digest
 
-KEYS = ["core_inpatient_episodes", "episode_features", "dq_report", "gap_distribution",
-        "signal_active_disorders", "admission_reason_top", "column_profile",
-        "ingest_csv_typed", "load_by_name", "stay_type_classification", "predicates_suite",
-        "lead_next_admission", "prior_episodes_365d", "label_funnel"]
+KEYS = sorted(E.oracle_sql())
+ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
 
 
 @pytest.fixture(scope="module")
@@ -40,3 +38,9 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["episode_id", "patient_id"]
     assert df.count() == 836
+
+
+@pytest.mark.parametrize("key", ROWS_ONLY)
+def test_rows_only_keys_run(spark, sf_small, key):
+    assert ROWS_ONLY == ["file_gate", "file_gate_stream", "quarantine_sink"]
+    assert E.queries()[key](spark, sf_small).count() > 0
