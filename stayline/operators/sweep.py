@@ -53,7 +53,10 @@ def sweep(keys: list[str], id_cols: list[str], queries: dict[str, DataFrame],
         return df.select(*cols)
 
     parts = [unify(q, 0, name, None) for name, q in queries.items()]
-    parts += [unify(p, 1, None, name) for name, p in points.items()]
+    # a point with a NULL key matches nothing (NULL = NULL is not true in the
+    # joins this replaces); queries with a NULL key then find no point
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    parts += [unify(p.filter(has_key), 1, None, name) for name, p in points.items()]
     u = reduce(lambda a, b: a.unionByName(b), parts)
 
     specs = []

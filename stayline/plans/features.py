@@ -98,6 +98,10 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
             else delta.cast("int").alias("delta"),
             F.lit(point).alias("point"))
 
+    # NULL patients never match in the joins this replaces: their events and
+    # admissions are left out, so their queries count nothing
+    ev = ev.filter(F.col("patient_id").isNotNull())
+    episodes = episodes.filter(F.col("patient_id").isNotNull())
     parts = [
         row(ev, F.col("day"), 0, None, F.col("delta"), 0, with_id=False),
         row(eligible, F.to_date("discharged_at"), 1, "cover", 0, 0),

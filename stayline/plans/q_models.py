@@ -147,8 +147,11 @@ SQL["join_episode_patient"] = O.with_models(
 
 
 def _flags(spark, sf):
+    """Episode spans of known patients (the EXISTS flags are computed after the
+    join to patients) with their hospice / chemotherapy sweep results."""
     m = models(spark, sf)
-    return m.episode_spans.join(m.hospice_chemo, ["patient_id", "episode_number"], "left")
+    spans = m.episode_spans.join(m.patients.select("patient_id"), "patient_id", "left_semi")
+    return spans.join(m.hospice_chemo, ["patient_id", "episode_number"], "left")
 
 
 @q("exists_hospice")

@@ -38,9 +38,11 @@ def stays_with_next(m) -> DataFrame:
     """Each inpatient stay with the next stay's admission (LEAD over the
     patient's stays) via an equi-join on (patient, position + 1)."""
     s = m.stays
-    nxt = s.select("patient_id", (F.col("stay_seq") - 1).alias("stay_seq"),
+    nxt = s.select(F.col("patient_id").alias("__p"), (F.col("stay_seq") - 1).alias("__n"),
                    F.col("admitted_at").alias("next_admitted_at"))
-    return s.join(nxt, ["patient_id", "stay_seq"], "left")
+    # NULL-safe on the patient: a window groups NULL patients together
+    j = s.join(nxt, s.patient_id.eqNullSafe(nxt["__p"]) & (s.stay_seq == nxt["__n"]), "left")
+    return j.drop("__p", "__n")
 
 
 SQL_STAYS_NEXT = ("stays_next AS (SELECT *, LEAD(admitted_at) OVER (PARTITION BY patient_id "
@@ -49,9 +51,12 @@ SQL_STAYS_NEXT = ("stays_next AS (SELECT *, LEAD(admitted_at) OVER (PARTITION BY
 
 def spans_with_next(m) -> DataFrame:
     e = m.episode_spans
-    nxt = e.select("patient_id", (F.col("episode_number") - 1).alias("episode_number"),
+    nxt = e.select(F.col("patient_id").alias("__p"),
+                   (F.col("episode_number") - 1).alias("__n"),
                    F.col("admitted_at").alias("next_admitted_at"))
-    return e.join(nxt, ["patient_id", "episode_number"], "left")
+    j = e.join(nxt, e.patient_id.eqNullSafe(nxt["__p"]) & (e.episode_number == nxt["__n"]),
+               "left")
+    return j.drop("__p", "__n")
 
 
 SQL_SPANS_NEXT = ("spans_next AS (SELECT *, LEAD(admitted_at) OVER (PARTITION BY patient_id "

@@ -145,3 +145,16 @@ def test_models_equal_under_blocked_scans(spark, sf_small):
     finally:
         spark.conf.unset("stayline.scan.mode")
     assert base == blk and len(base) == 836
+
+
+def test_null_patient_matches_nothing_in_sweeps(spark):
+    """EXISTS / range joins never match NULL = NULL: an episode of a NULL
+    patient finds no hospice encounter even if one has a NULL patient too."""
+    from stayline.plans.episodes import hospice_and_chemo
+    m = models_from(spark, patients=[patient("p1")],
+                    encounters=[inpatient("A", None, "2020-01-10T08:00", "2020-01-12T08:00"),
+                                inpatient("H", None, "2020-01-12T09:00", "2020-01-20T08:00",
+                                          "hospice")])
+    spans = m.episode_spans
+    hc = hospice_and_chemo(spans, m.encounters, m.procedures).collect()
+    assert len(hc) == 1 and hc[0]["next_hospice"] is None
