@@ -158,3 +158,18 @@ def test_null_patient_matches_nothing_in_sweeps(spark):
     spans = m.episode_spans
     hc = hospice_and_chemo(spans, m.encounters, m.procedures).collect()
     assert len(hc) == 1 and hc[0]["next_hospice"] is None
+
+
+def test_standalone_j5_equals_merged_timeline(spark, sf_small):
+    """operators.intervals (islands + covering sweep) alone gives the same
+    active-disorder counts as the merged feature timeline."""
+    from pyspark.sql import functions as F
+
+    from stayline.plans.features import active_disorders
+    from stayline.plans.models import Models
+    m = Models.from_driver(spark, sf_small)
+    el = m.inpatient_episodes.filter(F.col("is_eligible_index"))
+    a = {(r[0], r[1]): r[2] for r in active_disorders(el, m.conditions).collect()}
+    b = {(r["patient_id"], r["episode_number"]): r["active_disorders_at_discharge"]
+         for r in m.timeline.collect()}
+    assert a == b and len(a) == 836
