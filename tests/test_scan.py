@@ -114,3 +114,37 @@ def test_adaptive_width_splits_a_crowded_key(spark):
     w = Window.partitionBy("k").orderBy(*S.asc_nulls_last("t", "id"))
     ref = df.select("id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
     assert a == {r["id"]: r["s"] for r in ref.collect()}
+
+
+def test_models_with_a_hot_patient_auto_switch(spark, sf_small):
+    """A third of all encounters (and the records derived from them) moved to
+    one patient: auto mode detects it under a small per-task limit, runs the
+    two-level scans with adaptive blocks, and matches the plain windows."""
+    from stayline.plans.models import Models
+    from stayline.sources.driver import DriverSources
+
+    src = DriverSources(spark, sf_small)
+
+    def raw(t):
+        df = src.raw(t)
+        if t in ("encounters", "conditions", "procedures"):
+            enc = "Id" if t == "encounters" else "ENCOUNTER"
+            hot = (F.col(enc).cast("bigint") % 3) == 0
+            df = df.withColumn("PATIENT", F.when(hot, F.lit("1")).otherwise(F.col("PATIENT")))
+        return df
+
+    cols = ["episode_id", "stay_in_episode", "prior_episodes", "prior_episodes_365d",
+            "active_disorders_at_discharge", "readmitted_30d", "age_at_admission"]
+    spark.conf.set("stayline.scan.mode", "window")
+    try:
+        plain = sorted(tuple(r) for r in Models(raw).episode_features.select(*cols).collect())
+    finally:
+        spark.conf.unset("stayline.scan.mode")
+    spark.conf.set("stayline.scan.maxRowsPerKey", "200")
+    try:
+        m = Models(raw)
+        assert m.rows_per_patient["encounters"] > 200     # the hot patient is seen
+        auto = sorted(tuple(r) for r in m.episode_features.select(*cols).collect())
+    finally:
+        spark.conf.unset("stayline.scan.maxRowsPerKey")
+    assert auto == plain and len(plain) > 0
