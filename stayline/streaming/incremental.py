@@ -23,3 +23,15 @@ def load_new_files(spark: SparkSession, src: str, schema: StructType, target: st
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
+
+
+def reload_all(spark: SparkSession, src: str, schema: StructType, target: str,
+               checkpoint: str, fmt: str = "parquet") -> int:
+    """Deliberate full reload (truncate + force): the target is emptied
+    (overwritten, its file-sink log included) and every file in ``src`` is
+    loaded again through the same exactly-once sink under a new source log
+    (``checkpoint`` must be a folder not used before), so later incremental
+    loads with that checkpoint continue from here. Returns the row count."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(target)
+    load_new_files(spark, src, schema, target, checkpoint, fmt)
+    return spark.read.parquet(target).count()
