@@ -159,6 +159,13 @@ class Models:
     def ref(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def share(self, *names: str) -> "Models":
+        """Write the named models once (reliable checkpoint) so that many
+        consumers read the table instead of recomputing it."""
+        for n in names:
+            self.__dict__[n] = materialize(getattr(self, n))
+        return self
+
 
 class _LazyBounds(dict):
     """rows_per_patient[...] resolved on first use, one probe per input."""
