@@ -34,11 +34,12 @@ def run_pipeline(spark: SparkSession, landing: str, out: str) -> dict[str, DataF
     verdicts.write.mode("overwrite").parquet(f"{out}/audit/gate")
     verdicts = spark.read.parquet(f"{out}/audit/gate")
     G.quarantine(spark, landing, verdicts, f"{out}/quarantine")
-    ok = {r["key"].split("/")[0] for r in verdicts.filter(F.col("status") == "ACCEPTED")
-          .select("key").collect()}           # table keys only (at most six)
+    # one row per (table key, status): bounded by the number of tables
+    status = {(r["t"], r["status"]) for r in verdicts.select(
+        F.split("key", "/").getItem(0).alias("t"), "status").distinct().collect()}
+    ok = {t for t, st in status if st == "ACCEPTED"}
     # a table is ingested only if none of its files was rejected
-    bad = {r["key"].split("/")[0] for r in verdicts.filter(F.col("status") == "REJECTED")
-           .select("key").collect()}
+    bad = {t for t, st in status if st == "REJECTED"}
     ingested = []
     for t in TABLES:
         key = f"{t}.csv"
