@@ -7,6 +7,9 @@ import __spark_entry__ as E
 from tools.check_oracle import TABLES, digest
 
 KEYS = sorted(E.oracle_sql())
+SPARK_TO_SQL = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP",
+                "boolean": "BOOLEAN"}
 ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
 
 
@@ -22,10 +25,14 @@ def con(sf_small):
 def test_matches_oracle(spark, sf_small, con, key):
     df = E.queries()[key](spark, sf_small)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[key])
-    ocols = [d[0] for d in res.description]
-    orows = res.fetchall()
+    rel = con.sql(E.oracle_sql()[key])
+    ocols, otypes = rel.columns, [str(t) for t in rel.types]
+    orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    spark_types = {f.name: SPARK_TO_SQL.get(f.dataType.simpleString(),
+                                            f.dataType.simpleString().upper())
+                   for f in df.schema.fields}
+    assert spark_types == dict(zip(ocols, otypes))
     assert len(rows) == len(orows)
     assert digest(df.columns, rows) == digest(ocols, orows)
 
