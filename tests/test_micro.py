@@ -173,3 +173,16 @@ def test_standalone_j5_equals_merged_timeline(spark, sf_small):
     b = {(r["patient_id"], r["episode_number"]): r["active_disorders_at_discharge"]
          for r in m.timeline.collect()}
     assert a == b and len(a) == 836
+
+
+def test_boundary_semantics(spark):
+    """Appendix A: differences count unit boundaries, not elapsed units."""
+    from stayline.functions import day_diff, hour_diff, minute_diff, plus_days_keep_time
+    rows = [(ts("2020-01-01T15:50:00"), ts("2020-01-01T16:05:00")),
+            (ts("2020-01-01T15:27:00"), ts("2020-01-01T15:42:00")),
+            (ts("2020-01-01T23:50:00"), ts("2020-01-02T00:10:00"))]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    got = df.select(hour_diff("a", "b"), minute_diff("a", "b"), day_diff("a", "b"),
+                    plus_days_keep_time("a", 1)).collect()
+    assert [tuple(r)[:3] for r in got] == [(1, 15, 0), (0, 15, 0), (1, 20, 1)]
+    assert got[2][3] == ts("2020-01-02T23:50:00")
