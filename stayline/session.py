@@ -67,8 +67,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf = spark.conf.get("spark.checkpoint.dir", None)
         if conf:
             spark.sparkContext.setCheckpointDir(conf)
-        else:
+        elif spark.sparkContext.master.startswith("local"):
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stayline-ckpt-"))
+        else:
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared, reliable "
+                               "folder (HDFS / object store) for checkpoints")
         base = spark.sparkContext.getCheckpointDir()
     return base
 
