@@ -53,30 +53,6 @@ HEAD_BYTES = 64 * 1024          # first read per file
 MAX_HEADER_BYTES = 1024 * 1024  # a header line is read whole up to this size
 
 
-def _read_heads(batches):
-    """mapInPandas helper: per file, the first line (BOM stripped, bad bytes
-    replaced) and whether any line follows it. Reads only the first bytes of
-    each file, through the same filesystem layer Arrow offers for local
-    disks, HDFS and object stores."""
-    import pandas as pd
-    import pyarrow.fs as pafs
-
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            fs, p = pafs.FileSystem.from_uri(path)
-            with fs.open_input_stream(p) as f:
-                data = f.read(HEAD_BYTES)
-                while b"\n" not in data and len(data) < MAX_HEADER_BYTES:
-                    more = f.read(HEAD_BYTES)
-                    if not more:
-                        break
-                    data += more
-            lines = data.decode("utf-8-sig", errors="replace").splitlines()
-            out.append((path, lines[0] if lines else None, len(lines) > 1))
-        yield pd.DataFrame(out, columns=["path", "header", "has_data"])
-
-
 def listing(spark: SparkSession, root: str, stream: bool = False) -> DataFrame:
     """Every file below ``root`` as (path, length); file content is not read
     (binaryFile prunes the content column)."""
@@ -89,8 +65,35 @@ def file_heads(files: DataFrame, root: str) -> DataFrame:
     """Per file: key (path below ``root``), header line and whether a data
     line follows it. Work is spread over tasks by the listing's partitions;
     each task reads only the first bytes of its files."""
+    head_bytes, max_header = HEAD_BYTES, MAX_HEADER_BYTES
+
+    # defined here so it is shipped to the workers by value: they need no
+    # copy of this package
+    def read_heads(batches):
+        """Per file: the first line (BOM stripped, bad bytes replaced) and
+        whether any line follows it, reading only the first bytes, through
+        the filesystem layer Arrow offers for local disks, HDFS and object
+        stores."""
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                fs, p = pafs.FileSystem.from_uri(path)
+                with fs.open_input_stream(p) as f:
+                    data = f.read(head_bytes)
+                    while b"\n" not in data and len(data) < max_header:
+                        more = f.read(head_bytes)
+                        if not more:
+                            break
+                        data += more
+                lines = data.decode("utf-8-sig", errors="replace").splitlines()
+                out.append((path, lines[0] if lines else None, len(lines) > 1))
+            yield pd.DataFrame(out, columns=["path", "header", "has_data"])
+
     heads = files.select("path").mapInPandas(
-        _read_heads, "path string, header string, has_data boolean")
+        read_heads, "path string, header string, has_data boolean")
     return heads.select(_rel_key(F.col("path"), root).alias("key"), "header", "has_data")
 
 
