@@ -186,3 +186,20 @@ def test_boundary_semantics(spark):
                     plus_days_keep_time("a", 1)).collect()
     assert [tuple(r)[:3] for r in got] == [(1, 15, 0), (0, 15, 0), (1, 20, 1)]
     assert got[2][3] == ts("2020-01-02T23:50:00")
+
+
+def test_null_stop_does_not_absorb_next_stay(spark):
+    """MAX ignores NULL: a first stay without a stop cannot chain the next."""
+    _, e = _episodes(spark, [inpatient("A", "p1", "2020-01-01T08:00", None),
+                             inpatient("B", "p1", "2020-01-05T08:00", "2020-01-06T08:00")])
+    assert sorted(e) == ["p1-1", "p1-2"]
+    assert e["p1-1"]["discharged_at"] is None
+
+
+def test_history_boundary_365_366(spark):
+    enc = [inpatient("A", "p1", "2019-01-01T08:00", "2019-01-01T09:00"),   # 366 days before C
+           inpatient("B", "p1", "2019-01-02T08:00", "2019-01-02T09:00"),   # 365 days before C
+           inpatient("C", "p1", "2020-01-02T08:00", "2020-01-03T08:00")]
+    m, _ = _episodes(spark, enc)
+    f = by_key(m.episode_features)
+    assert f["p1-3"]["prior_episodes"] == 2 and f["p1-3"]["prior_episodes_365d"] == 1
