@@ -151,7 +151,9 @@ def quarantine(spark: SparkSession, root: str, results: DataFrame, dest: str) ->
     lines = spark.read.text([f"{base}/{k}" for k in keys]).select(
         _rel_key(F.col("_metadata.file_path"), root).alias("key"), "value")
     q = lines.join(rej, "key")
-    q.write.mode("append").partitionBy("key").parquet(dest)
+    # re-running replaces just these files' partitions (idempotent)
+    (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("key").parquet(dest))
     return q
 
 

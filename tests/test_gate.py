@@ -53,3 +53,15 @@ def test_gate_stream_only_new_files(spark, tmp_path):
     rows = spark.read.parquet(work + "/audit").collect()
     assert sorted((r["key"], r["status"]) for r in rows) == [
         ("encounters.csv", "ACCEPTED"), ("patients.csv", "ACCEPTED")]
+
+
+def test_quarantine_is_idempotent(spark, tmp_path):
+    root, dest = str(tmp_path / "landing"), str(tmp_path / "quarantine")
+    _write(root, "encounters.csv", ENC_HEADER + "\n" + ENC_ROW + "\n")
+    _write(root, "patients.csv", "ID,BIRTHDATE,GENDER\nx,2000-01-01,F\ny,2001-01-01,M\n")
+    res = G.gate_batch(spark, root, expected=list(G.REQUIRED_COLUMNS))
+    G.quarantine(spark, root, res, dest)
+    G.quarantine(spark, root, res, dest)
+    q = spark.read.parquet(dest)
+    assert q.count() == 3                               # header + two rows, once
+    assert {r["key"] for r in q.select("key").distinct().collect()} == {"patients.csv"}
