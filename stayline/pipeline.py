@@ -53,9 +53,7 @@ def run_pipeline(spark: SparkSession, landing: str, out: str) -> dict[str, DataF
     m = Models.from_paths(spark, f"{out}/curated")
     paths = materialize_layers(m, f"{out}/warehouse")
     # the checks read the tables just written, not a recomputation
-    written = Models.from_paths(spark, f"{out}/curated")
-    for name, path in paths.items():
-        written.__dict__[name] = spark.read.parquet(path)
+    written = Models.from_paths(spark, f"{out}/curated").use_tables(paths)
     q_checks.full_report(written).write.mode("overwrite").parquet(f"{out}/audit/dq_report")
     return {"gate": verdicts, "layers": paths,
             "dq_report": spark.read.parquet(f"{out}/audit/dq_report")}

@@ -159,6 +159,14 @@ class Models:
     def ref(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def use_tables(self, paths: dict[str, str]) -> "Models":
+        """Read the named models from tables already written (e.g. by
+        :func:`layers.materialize_layers`) instead of computing them."""
+        spark = self.encounters.sparkSession
+        for name, path in paths.items():
+            self.__dict__[name] = spark.read.parquet(path)
+        return self
+
     def share(self, *names: str) -> "Models":
         """Write the named models once (reliable checkpoint) so that many
         consumers read the table instead of recomputing it."""
