@@ -32,11 +32,14 @@ def avg1(x: Column) -> Column:
     return F.when(c > 0, F.signum(s) * mag.cast("double") / F.lit(10.0))
 
 
-def one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Put two single-row aggregates side by side (an equi-join on a constant
-    key; both sides hold exactly one row)."""
-    return (a.withColumn("__one", F.lit(1))
-            .join(F.broadcast(b.withColumn("__one", F.lit(1))), "__one").drop("__one"))
+def side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two single-row aggregates with disjoint columns as one row, without a
+    join: each is padded with NULLs for the other's columns, the two rows are
+    unioned and a global MAX (which skips NULLs) folds them into one."""
+    ca, cb = a.columns, b.columns
+    ua = a.select(*ca, *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in cb])
+    ub = b.select(*[F.lit(None).cast(a.schema[c].dataType).alias(c) for c in ca], *cb)
+    return ua.unionByName(ub).agg(*[F.max(c).alias(c) for c in ca + cb])
 
 
 def check_row(name: str, violations: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from .. import oracle as O
 from ..functions import day_diff, hour_diff, pct, plus_days_keep_time
 from ..operators.profile import column_profile, ordered_template
 from ..operators.scan import asc_nulls_last
-from .common import (avg1, check_row, cnt, cnt_if, models, one_row_join, sql_avg1, sql_check,
+from .common import (avg1, check_row, cnt, cnt_if, models, side_by_side, sql_avg1, sql_check,
                      sql_cif, sql_pct)
 
 Q: dict = {}
@@ -277,7 +277,7 @@ def label_funnel(spark, sf):
                 cnt_if(F.col("discharged_to_hospice")).alias("discharged_to_hospice"),
                 cnt_if(el).alias("eligible"),
                 cnt_if(el & F.col("readmitted_30d")).alias("readmitted_eligible"))
-    r = one_row_join(stays, agg)
+    r = side_by_side(stays, agg)
     return r.select("*", pct("readmitted_eligible", "eligible").alias("rate_pct"))
 
 
@@ -628,7 +628,7 @@ def validate_disorder_flag(spark, sf):
                             cnt_if(F.col("is_disorder") == False).alias("false_flags"))  # noqa: E712
     raw = m.source("conditions").filter(F.col("DESCRIPTION").like("%(disorder)")).agg(
         cnt().alias("disorder_rows_raw"))
-    return one_row_join(core, raw).select(
+    return side_by_side(core, raw).select(
         "disorder_rows", "disorder_rows_raw", "false_flags", "null_flags")
 
 
