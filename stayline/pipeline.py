@@ -62,10 +62,11 @@ def run_pipeline(spark: SparkSession, landing: str, out: str) -> dict[str, DataF
 def main() -> None:
     from .session import build_session
 
-    ap = argparse.ArgumentParser(description=__doc__)
-    ap.add_argument("--landing", required=True)
-    ap.add_argument("--out", required=True)
-    ap.add_argument("--master", default=None)
+    ap = argparse.ArgumentParser(prog="python -m stayline.pipeline", description=__doc__,
+                                 formatter_class=argparse.RawDescriptionHelpFormatter)
+    ap.add_argument("--landing", required=True, help="folder of landed <table>.csv files")
+    ap.add_argument("--out", required=True, help="output root (audit, curated, warehouse)")
+    ap.add_argument("--master", default=None, help="Spark master (default: the cluster's)")
     a = ap.parse_args()
     spark = build_session(a.master)
     res = run_pipeline(spark, a.landing, a.out)
