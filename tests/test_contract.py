@@ -32,3 +32,15 @@ def test_cli_lists_every_key():
     sys.path.insert(0, ROOT)
     import __spark_entry__ as E
     assert sorted(keys) == sorted(E.queries())
+
+
+def test_entry_schema_is_stable(spark):
+    sys.path.insert(0, ROOT)
+    import __spark_entry__ as E
+    df = E.entry(spark)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("episode_id", "string"), ("patient_id", "string"), ("admitted_at", "timestamp_ntz"),
+        ("discharged_at", "timestamp_ntz"), ("stay_in_episode", "bigint"),
+        ("readmitted_30d", "boolean"), ("gender", "string"), ("age_at_admission", "int"),
+        ("length_of_stay_days", "int"), ("prior_episodes", "bigint"),
+        ("prior_episodes_365d", "bigint"), ("active_disorders_at_discharge", "bigint")]
