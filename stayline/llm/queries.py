@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import minhash_dedup, mixing
 from .sql import SQL
 from .staging import table
 
 
+def op2_minhash_dedup(spark, sf_dir):
+    """Five-word shingles, Jaccard 0.85, whole table."""
+    d = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return d.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", "kept")
+
+
 def op5_mix_sources(spark, sf_dir):
     """Weights 1, 2, 3 over the sources, three passes at most, whole table."""
     m = mixing.mix(table(spark, sf_dir, "documents"))
@@ -16,5 +22,6 @@ def op5_mix_sources(spark, sf_dir):
 
 
 Q = {
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op5_mix_sources": op5_mix_sources,
 }
