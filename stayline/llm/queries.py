@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import minhash_dedup, mixing
+from . import minhash_dedup, mixing, suffix_dedup
 from .sql import SQL
 from .staging import table
 
@@ -21,7 +21,14 @@ def op5_mix_sources(spark, sf_dir):
     return m.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    """200-byte repeats, whole texts."""
+    out, _ = suffix_dedup.repeats(table(spark, sf_dir, "documents"), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 Q = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
