@@ -154,10 +154,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5, tile: int =
     """doc_id, n_shingles, component_id, kept and class key of every row of
     ``docs`` (doc_id, text). Links: Jaccard of k-word shingles >= percent/100.
     Bands find a pair at 0.85 with probability over 1 - 1e-8, at 0.8 over 1 - 1e-6."""
-    src = docs.select("doc_id", "text", F.xxhash64("text").alias("tk"))
-    rows = staged(src.mapInPandas(_signer(k), "doc_id " + src.schema["doc_id"].dataType.simpleString()
-                                  + ", tk long, n_shingles long, cls binary, bands array<long>, sig array<long>"),
-                  "minhash-rows")
+    id_type = docs.schema["doc_id"].dataType
+    src = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.xxhash64("text").alias("tk"))
+    rows = staged(src.mapInPandas(_signer(k), "doc_id string, tk long, n_shingles long, cls binary, "
+                                  "bands array<long>, sig array<long>")
+                  .withColumn("doc_id", F.col("doc_id").cast(id_type)), "minhash-rows")
     cls = staged(rows.where("cls is not null").groupBy("cls")
                  .agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"),
                       F.min("tk").alias("tk"), F.min("doc_id").alias("min_id")), "minhash-classes")

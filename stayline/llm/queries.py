@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import minhash_dedup, mixing, suffix_dedup
+from . import langid, minhash_dedup, mixing, suffix_dedup
 from .sql import SQL
 from .staging import table
 
@@ -27,8 +27,16 @@ def op9_suffix_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op10_language_mixture(spark, sf_dir):
+    """Learned from rows whose crc32(doc_id) mod 3 is not 1, applied to all."""
+    docs = table(spark, sf_dir, "documents")
+    d = langid.identify(docs, langid.learnable(docs))
+    return d.select("doc_id", langid.held_out(3, 1).alias("held_out"), "lang_pred", "score", "mixture")
+
+
 Q = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op10_language_mixture": op10_language_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,
 }

@@ -369,12 +369,13 @@ def repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, hot: int = HOT
     """(one row per document: doc_id, tk, n_bytes, n_removed, n_spans,
     kept_sha256; one row per text that loses bytes: tk, kept as binary)."""
     spark = docs.sparkSession
-    src = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+    src = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                       F.xxhash64("text").alias("tk0"), F.xxhash64(F.lit(7), "text").alias("tk1"))
     src = src.select("doc_id", "text", F.concat(F.hex("tk0"), F.hex("tk1")).alias("tk"))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = staged(src.mapInPandas(_grams(length, gram), f"tk string, n_bytes long, sha string, h array<long>, "
-                                  f"sample binary, doc_id {id_type}"), "suffix-grams")
+    id_type = docs.schema["doc_id"].dataType
+    rows = staged(src.mapInPandas(_grams(length, gram), "tk string, n_bytes long, sha string, h array<long>, "
+                                  "sample binary, doc_id string")
+                  .withColumn("doc_id", F.col("doc_id").cast(id_type)), "suffix-grams")
     each = rows.groupBy("tk").agg(F.count(F.lit(1)).alias("mult"))
     gram_rows = rows.select("tk", F.explode("h").alias("h"))
     dup = gram_rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
