@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, minhash_dedup, mixing, suffix_dedup
+from . import langid, minhash_dedup, mixing, packing, suffix_dedup
 from .sql import SQL
 from .staging import table
 
@@ -15,6 +15,11 @@ def op2_minhash_dedup(spark, sf_dir):
     return d.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", "kept")
 
 
+def op3_best_fit_packing(spark, sf_dir):
+    """Whole documents into sequences of 512 to 8192 words."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark, sf_dir):
     """Weights 1, 2, 3 over the sources, three passes at most, whole table."""
     m = mixing.mix(table(spark, sf_dir, "documents"))
@@ -36,6 +41,7 @@ def op10_language_mixture(spark, sf_dir):
 
 Q = {
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_mix_sources": op5_mix_sources,
     "op10_language_mixture": op10_language_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,

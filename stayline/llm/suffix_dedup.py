@@ -346,7 +346,8 @@ def _cut(length: int):
                 gone = np.cumsum(edge[:-1]) > 0
                 left = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                 runs = np.flatnonzero(np.diff(np.concatenate(([False], gone)).astype(np.int8)) == 1)
-                out.append((int(gone.sum()), len(runs), hashlib.sha256(left).hexdigest(), left))
+                out.append((int(gone.sum()), len(runs), hashlib.sha256(left).hexdigest(),
+                            left.decode("utf-8", "ignore")))
             part = pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256", "kept"])
             part.insert(0, "tk", pdf["tk"].to_numpy())
             yield part
@@ -367,7 +368,7 @@ def _bucketed(df: DataFrame, key: str) -> DataFrame:
 def repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, hot: int = HOT,
             task_suffixes: int = TASK_SUFFIXES) -> tuple[DataFrame, DataFrame]:
     """(one row per document: doc_id, tk, n_bytes, n_removed, n_spans,
-    kept_sha256; one row per text that loses bytes: tk, kept as binary)."""
+    kept_sha256; one row per text that loses bytes: tk and the text left)."""
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                       F.xxhash64("text").alias("tk0"), F.xxhash64(F.lit(7), "text").alias("tk1"))
@@ -417,9 +418,19 @@ def repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, hot: int = HOT
                        (F.col("at") - F.greatest("a", "o1")).alias("e"))
     spans = spans.groupBy("tk").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     done = staged(texts.join(spans, "tk").mapInPandas(
-        _cut(length), "tk string, n_removed long, n_spans long, kept_sha256 string, kept binary"), "suffix-cut")
+        _cut(length), "tk string, n_removed long, n_spans long, kept_sha256 string, kept string"), "suffix-cut")
     out = rows.select("doc_id", "tk", "n_bytes", "sha").join(done.drop("kept"), "tk", "left")
     zero = F.lit(0).cast("long")
     out = out.select("doc_id", "tk", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
                      F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
     return out, done.select("tk", "kept")
+
+
+def without_repeats(docs: DataFrame, length: int = 200, **kw) -> DataFrame:
+    """``docs`` with the repeated bytes cut out of ``text`` (bytes of a cut
+    character that are left over go too); all other columns as they are."""
+    _, kept = repeats(docs, length, **kw)
+    key = F.concat(F.hex(F.xxhash64("text")), F.hex(F.xxhash64(F.lit(7), "text")))
+    texts = kept.select(F.col("tk").alias("_k"), F.col("kept").alias("_left"))
+    d = docs.withColumn("_tk", key).join(texts, F.col("_tk") == F.col("_k"), "left")
+    return d.withColumn("text", F.coalesce("_left", "text")).select(*docs.columns)
