@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, minhash_dedup, mixing, packing, suffix_dedup
+from . import langid, minhash_dedup, mixing, packing, suffix_dedup, toxicity
 from .sql import SQL
 from .staging import table
 
 
+def op1_toxicity(spark, sf_dir):
+    """Learned from labels whose crc32(doc_id) mod 4 is not 2, applied to all."""
+    labels = table(spark, sf_dir, "labels").where(~langid.held_out(4, 2))
+    d = toxicity.score(table(spark, sf_dir, "documents"), labels)
+    return d.select("doc_id", langid.held_out(4, 2).alias("held_out"), "score",
+                    (F.col("score") >= 0.3).cast("int").alias("predicted"),
+                    F.size("sentences").alias("n_offending"))
+
+
 def op2_minhash_dedup(spark, sf_dir):
     """Five-word shingles, Jaccard 0.85, whole table."""
     d = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
@@ -40,6 +49,7 @@ def op10_language_mixture(spark, sf_dir):
 
 
 Q = {
+    "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_mix_sources": op5_mix_sources,
