@@ -29,7 +29,7 @@ BEGINNINGS = (4, 5, 6)
 PER_CLASS = 3000
 LEAST_DOCS = 5
 LEAST_Z = 3.0
-STEPS = 60
+STEPS = 200
 FLAG = 0.3
 
 
@@ -135,7 +135,7 @@ def fit(rows, steps: int = STEPS):
     k = use[code]
     code, sent = code[k], sent[k]
     kinds, code = np.unique(code, return_inverse=True)
-    w, bias = np.maximum(odds[kinds], 0.0) * 0.5, -6.0
+    w, bias = np.maximum(odds[kinds], 0.0), -7.0
     g2, b2 = np.full(len(kinds), 1e-8), 1e-8
     total = importance.sum()
     for _ in range(steps):
@@ -148,8 +148,8 @@ def fit(rows, steps: int = STEPS):
         gb = gz.sum()
         g2 += gw * gw
         b2 += gb * gb
-        w -= 0.3 * gw / np.sqrt(g2)
-        bias -= 0.3 * gb / np.sqrt(b2)
+        w -= 0.5 * gw / np.sqrt(g2)
+        bias -= 0.5 * gb / np.sqrt(b2)
     weights[kinds] = w
     return weights, float(bias)
 
