@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, minhash_dedup, mixing, packing, suffix_dedup, toxicity
+from . import langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity
 from .sql import SQL
 from .staging import table
 
@@ -35,6 +35,11 @@ def op5_mix_sources(spark, sf_dir):
     return m.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_license_scan(spark, sf_dir):
+    """License phrases and templates in all lines of all texts."""
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op9_suffix_dedup(spark, sf_dir):
     """200-byte repeats, whole texts."""
     out, _ = suffix_dedup.repeats(table(spark, sf_dir, "documents"), length=200)
@@ -53,6 +58,7 @@ Q = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_mix_sources": op5_mix_sources,
+    "op7_license_scan": op7_license_scan,
     "op10_language_mixture": op10_language_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
