@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity
+from . import embedding_dedup, langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity
 from .sql import SQL
 from .staging import table
 
@@ -40,6 +40,11 @@ def op7_license_scan(spark, sf_dir):
     return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op8_embedding_dedup(spark, sf_dir):
+    """Cosine 0.9, all rows of the table."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op9_suffix_dedup(spark, sf_dir):
     """200-byte repeats, whole texts."""
     out, _ = suffix_dedup.repeats(table(spark, sf_dir, "documents"), length=200)
@@ -59,6 +64,7 @@ Q = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_mix_sources": op5_mix_sources,
     "op7_license_scan": op7_license_scan,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op10_language_mixture": op10_language_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
