@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity
+from . import ann, embedding_dedup, langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity
 from .sql import SQL
 from .staging import table
 
@@ -35,6 +35,11 @@ def op5_mix_sources(spark, sf_dir):
     return m.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_hnsw_search(spark, sf_dir):
+    """Ten nearest of every hundredth vector among all vectors."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_license_scan(spark, sf_dir):
     """License phrases and templates in all lines of all texts."""
     return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
@@ -63,6 +68,7 @@ Q = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_mix_sources": op5_mix_sources,
+    "op6_hnsw_search": op6_hnsw_search,
     "op7_license_scan": op7_license_scan,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op10_language_mixture": op10_language_mixture,
