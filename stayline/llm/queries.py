@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, embedding_dedup, langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity
+from . import ann, embedding_dedup, langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity, warc
 from .sql import SQL
 from .staging import table
 
@@ -29,6 +29,12 @@ def op3_best_fit_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op4_warc_segments(spark, sf_dir):
+    """All pages to archives and back; equal payloads of any size revisit."""
+    d = warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+    return d.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_mix_sources(spark, sf_dir):
     """Weights 1, 2, 3 over the sources, three passes at most, whole table."""
     m = mixing.mix(table(spark, sf_dir, "documents"))
@@ -67,6 +73,7 @@ Q = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_warc_segments": op4_warc_segments,
     "op5_mix_sources": op5_mix_sources,
     "op6_hnsw_search": op6_hnsw_search,
     "op7_license_scan": op7_license_scan,
