@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .staging import staged
 
 
+class Forest:
+    """Smallest-root union of nodes, many links at a time."""
+
+    def __init__(self, n: int):
+        self.up = np.arange(n)
+
+    def link(self, a: np.ndarray, b: np.ndarray):
+        while len(a):
+            ra, rb = self.up[a], self.up[b]
+            open_ = ra != rb
+            a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
+            np.minimum.at(self.up, np.maximum(ra, rb), np.minimum(ra, rb))
+            while True:
+                top = self.up[self.up]
+                if (top == self.up).all():
+                    break
+                self.up = top
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node of a link, root being the smallest node it
     reaches. Large-star and small-star rounds: each points a node's neighbours

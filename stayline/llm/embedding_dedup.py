@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import Forest, components
 from .staging import staged
 from .vectors import fold_copies, usable
 
@@ -66,25 +66,6 @@ def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
-class Forest:
-    """Smallest-root union of nodes, many links at a time."""
-
-    def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def link(self, a: np.ndarray, b: np.ndarray):
-        while len(a):
-            ra, rb = self.up[a], self.up[b]
-            open_ = ra != rb
-            a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
-            np.minimum.at(self.up, np.maximum(ra, rb), np.minimum(ra, rb))
-            while True:
-                top = self.up[self.up]
-                if (top == self.up).all():
-                    break
-                self.up = top
-
-
 def tile_links(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: float, same: bool):
     """Pairs (i, j) of rows of x and y (i < j if ``same``) with cosine >=
     threshold, in blocks. Yields index arrays."""

@@ -4,12 +4,16 @@
    shingles, a key of the set (copies share it), one key per band of minima
    and the low ``BITS`` bits of all minima, packed.
 2. Copies are folded into classes. Classes that share a band key form a
-   bucket. Each is compared with its bucket's smallest class: bit counts of the
-   packed signatures give a collision-corrected similarity, and pairs that
-   come near the threshold are confirmed on their full shingle sets.
-3. The confirmed links are closed into components. Buckets that still span
-   several components are compared pair by pair in tiles of bounded size, so
-   no link between different texts is lost to the star in step 2.
+   bucket. Each is compared with its bucket's leader, the class with the most
+   company over all its buckets (of a group of near copies, the original): bit
+   counts of the packed signatures give a collision-corrected similarity, and
+   pairs that come near the threshold are confirmed on full shingle sets.
+3. The confirmed links are closed into components. In buckets that still span
+   several components, all signatures are compared in tiles of bounded size;
+   components with a near pair form a cluster, and each cluster's full sets
+   are compared in tiles again, so no link between different components is
+   lost to the star in step 2. A tile returns a spanning forest, never all its
+   pairs.
 
 A document without words has an empty set and no link. Rows with a null doc_id
 take part; a component's id is its smallest non-null doc_id (null if none).
@@ -26,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .components import components
-from .staging import staged
+from .components import Forest, components
+from .staging import staged, whole_row
 
 BANDS, ROWS, BITS = 28, 4, 4
 PERMS = BANDS * ROWS
@@ -111,40 +115,84 @@ def least_estimate(threshold: float) -> float:
     return threshold - MARGIN * sqrt(agree * (1 - agree) / PERMS) / (1 - chance)
 
 
-def _tile_pairs(least: float):
-    """Candidate pairs of classes in different components inside one tile."""
+def _agree(sig: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Number of minima whose low bits agree, from packed signatures."""
+    x = sig[others] ^ sig[i]
+    y = x.copy()
+    for s in range(1, BITS):
+        y |= x >> np.uint64(s)
+    ones = np.uint64(sum(1 << (BITS * k) for k in range(64 // BITS)))
+    return PERMS - np.bitwise_count(y & ones).sum(axis=1).astype(np.int64)
+
+
+def least_agreement(least: float) -> int:
     chance = 2.0 ** -BITS
-    most = int(np.floor(PERMS * (1 - (chance + (1 - chance) * least))))
-    ones = np.uint64(sum(1 << (BITS * i) for i in range(64 // BITS)))
+    return int(np.ceil(PERMS * (chance + (1 - chance) * least) - 1e-9))
 
-    def run(batches):
-        for pdf in batches:
-            for ti, tj, rows in zip(pdf["ti"], pdf["tj"], pdf["rows"]):
-                cls = np.array([r["cls"] for r in rows], object)
-                comp = np.unique(np.array([r["root"] for r in rows], object), return_inverse=True)[1]
-                sig = np.array([r["sig"] for r in rows], np.int64).view(np.uint64)
-                tile = np.array([r["tile"] for r in rows])
-                left = np.flatnonzero(tile == ti)
-                right = np.flatnonzero(tile == tj)
-                found = []
-                for i in left:
-                    cand = right[(comp[right] != comp[i]) & (cls[right] > cls[i] if ti == tj else True)]
-                    x = sig[cand] ^ sig[i]
-                    y = x.copy()
-                    for s in range(1, BITS):
-                        y |= x >> np.uint64(s)
-                    ok = cand[np.bitwise_count(y & ones).sum(axis=1) <= most]
-                    found += [(cls[i], cls[j]) for j in ok]
-                if found:
-                    yield pd.DataFrame(found, columns=["a", "b"])
+
+def _near_roots(least: float):
+    """Tiles of a bucket -> spanning forest over the components in it that
+    hold a pair of near signatures."""
+    least = least_agreement(least)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ti, tj = pdf["ti"].iloc[0], pdf["tj"].iloc[0]
+        names, root = np.unique(pdf["root"].to_numpy(), return_inverse=True)
+        sig = np.stack(pdf["sig"].to_numpy()).view(np.uint64)
+        tile = pdf["tile"].to_numpy()
+        forest, right = Forest(len(names)), np.flatnonzero(tile == tj)
+        for i in np.flatnonzero(tile == ti):
+            open_ = right[forest.up[root[right]] != forest.up[root[i]]]
+            j = open_[_agree(sig, i, open_) >= least]
+            forest.link(np.full(len(j), root[i]), root[j])
+        k = np.flatnonzero(forest.up != np.arange(len(names)))
+        return pd.DataFrame({"a": names[k], "b": names[forest.up[k]]})
+    return run
+
+
+def _confirm_tile(least: float, percent: int):
+    """Tiles of a cluster with full sets -> links that join components."""
+    least = least_agreement(least)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cid", ignore_index=True)
+        ti, tj = pdf["ti"].iloc[0], pdf["tj"].iloc[0]
+        names, root = np.unique(pdf["root"].to_numpy(), return_inverse=True)
+        sig = np.stack(pdf["sig"].to_numpy()).view(np.uint64)
+        sets, tile = pdf["shingles"].to_numpy(), pdf["tile"].to_numpy()
+        size = np.array([len(x) for x in sets])
+        forest, right, found = Forest(len(names)), np.flatnonzero(tile == tj), []
+        for i in np.flatnonzero(tile == ti):
+            j = right[forest.up[root[right]] != forest.up[root[i]]]
+            small, large = np.minimum(size[j], size[i]), np.maximum(size[j], size[i])
+            j = j[100 * small >= percent * large]
+            agree = _agree(sig, i, j)
+            j = j[np.argsort(-agree, kind="stable")][:int((agree >= least).sum())]
+            for k in j:
+                if forest.up[root[k]] == forest.up[root[i]]:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+                if 100 * both >= percent * (size[i] + size[k] - both):
+                    forest.link(root[[i]], root[[k]])
+                    found.append((names[root[i]], names[root[k]]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
     return run
 
 
+def _tiled(df: DataFrame, keys: list[str], tiles) -> DataFrame:
+    """Rows dealt to every pair of tiles of their group that holds theirs."""
+    return (df.withColumn("n", tiles.cast("int"))
+            .withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("n")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+            .withColumn("ti", F.least("tile", "other")).withColumn("tj", F.greatest("tile", "other"))
+            .drop("n", "other"))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with 100 * intersection >= percent * union of full sets."""
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return (pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b")
+    return (pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a")
+            .join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
             .withColumn("both", both)
             .where(F.col("both") * 100 >= percent * (F.size("sa") + F.size("sb") - F.col("both")))
             .select("a", "b"))
@@ -160,62 +208,62 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5, tile: int =
                                   "bands array<long>, sig array<long>")
                   .withColumn("doc_id", F.col("doc_id").cast(id_type)), "minhash-rows")
     cls = staged(rows.where("cls is not null").groupBy("cls")
-                 .agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"),
-                      F.min("tk").alias("tk"), F.min("doc_id").alias("min_id")), "minhash-classes")
-    member = cls.select("cls", F.explode("bands").alias("band"))
-    bucket = (member.groupBy("band").agg(F.min("cls").alias("lead"), F.count(F.lit(1)).alias("m"))
-              .where("m > 1"))
-    inside = staged(member.join(bucket, "band"), "minhash-buckets")
-    sig = cls.select("cls", "sig")
+                 .agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.max("n_shingles").alias("n_shingles"),
+                      F.min("tk").alias("tk"), F.min("doc_id").alias("min_id"))
+                 .withColumn("cid", F.monotonically_increasing_id()), "minhash-classes")
+    member = cls.select("cid", F.explode("bands").alias("band"))
+    shared = member.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    inside = staged(member.join(shared, "band"), "minhash-buckets")
+    company = inside.groupBy("cid").agg(F.sum("m").alias("company"))
+    lead = (inside.join(company, "cid").groupBy("band")
+            .agg(F.max(F.struct("company", (-F.col("cid")).alias("neg"))).alias("top"))
+            .select("band", (-F.col("top.neg")).alias("lead")))
+    star = (inside.join(lead, "band").where("cid <> lead")
+            .select(F.col("cid").alias("a"), F.col("lead").alias("b")).distinct())
+    sig = cls.select("cid", "sig")
     least = least_estimate(percent / 100)
-
-    def near(p: DataFrame) -> DataFrame:
-        return (p.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("ga")), "a")
-                .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("gb")), "b")
-                .where(estimate("ga", "gb") >= least).select("a", "b"))
-
-    star = staged(near(inside.where("cls <> lead").select(F.col("cls").alias("a"), F.col("lead").alias("b"))
-                       .distinct()), "minhash-star")
+    star = staged(star.join(sig.select(F.col("cid").alias("a"), F.col("sig").alias("ga")), "a")
+                  .join(sig.select(F.col("cid").alias("b"), F.col("sig").alias("gb")), "b")
+                  .where(estimate("ga", "gb") >= least).select("a", "b"), "minhash-star")
     texts = src.select("tk", "text")
 
-    def sets_of(p: DataFrame) -> DataFrame:
-        need = (p.select(F.col("a").alias("cls")).unionByName(p.select(F.col("b").alias("cls"))).distinct()
-                .join(cls.select("cls", "tk"), "cls"))
+    def sets_of(need: DataFrame) -> DataFrame:
+        need = need.join(cls.select("cid", "tk"), "cid")
         one = texts.join(need.select("tk"), "tk", "left_semi").groupBy("tk").agg(F.first("text").alias("text"))
-        return (one.mapInPandas(_setter(k), "tk long, shingles array<long>")
-                .join(need, "tk").select("cls", "shingles"))
+        return staged(one.mapInPandas(_setter(k), "tk long, shingles array<long>")
+                      .join(need, "tk").select("cid", "shingles"), "minhash-sets")
 
-    links = staged(confirmed(star, staged(sets_of(star), "minhash-sets"), percent), "minhash-links")
-    comp = components(links, "a", "b")
+    ends = star.select(F.col("a").alias("cid")).unionByName(star.select(F.col("b").alias("cid"))).distinct()
+    links = staged(confirmed(star, sets_of(ends), percent), "minhash-links")
+    comp = components(links, "a", "b").withColumnRenamed("node", "cid")
     # what the stars left open: buckets that span several components
-    root = F.coalesce("root", "cls")
-    here = inside.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "band", "cls", "m", root.alias("root"))
-    open_ = (here.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
-                                      F.max("m").alias("bm")).where("r0 <> r1 and bm > 2").select("band"))
-    rest = here.join(open_, "band", "left_semi").join(sig, "cls")
-    tiles = F.ceil(F.col("m") / tile).cast("int")
-    rest = (rest.withColumn("n", tiles).withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("n")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-            .withColumn("ti", F.least("tile", "other")).withColumn("tj", F.greatest("tile", "other")))
-    packed = rest.groupBy("band", "ti", "tj").agg(F.collect_list(F.struct("cls", "root", "sig", "tile")).alias("rows"))
-    more = staged(packed.select("ti", "tj", "rows").mapInPandas(_tile_pairs(least), "a binary, b binary")
-                  .distinct(), "minhash-rest")
-    if more.take(1):
-        late = staged(confirmed(more, staged(sets_of(more), "minhash-sets"), percent), "minhash-links")
-        links = links.unionByName(late)
-        comp = components(links, "a", "b")
+    here = inside.join(comp, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    open_ = (here.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+             .where("r0 <> r1").select("band"))
+    rest = here.where("m > 2").join(open_, "band", "left_semi").join(sig, "cid")
+    near = staged(_tiled(rest, ["band"], F.ceil(F.col("m") / tile))
+                  .groupBy("band", "ti", "tj").applyInPandas(_near_roots(least), "a long, b long").distinct(),
+                  "minhash-near")
+    if near.take(1):
+        cluster = components(near, "a", "b").select(F.col("node").alias("root"), F.col("root").alias("cluster"))
+        mine = staged(cls.select("cid", "sig", "n_shingles").join(comp, "cid", "left")
+                      .withColumn("root", F.coalesce("root", "cid")).join(cluster, "root"), "minhash-clusters")
+        many = mine.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("s"))
+        full = mine.join(many, "cluster").join(sets_of(mine.select("cid")), "cid")
+        late = (_tiled(full, ["cluster"], F.greatest(F.ceil(F.col("m") / tile), F.ceil(F.col("s") / (tile * 1024))))
+                .select("cluster", "ti", "tj", "tile", "cid", "root", "sig", "shingles")
+                .groupBy("cluster", "ti", "tj").applyInPandas(_confirm_tile(least, percent), "a long, b long"))
+        comp = components(late.unionByName(comp.select(F.col("cid").alias("a"), F.col("root").alias("b"))),
+                          "a", "b").withColumnRenamed("node", "cid")
     comp = staged(comp, "minhash-components")
-    ids = (comp.join(cls.select(F.col("cls").alias("node"), "min_id"), "node")
-           .groupBy("root").agg(F.min("min_id").alias("component_id")))
-    final = (cls.select("cls", "min_id").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-             .join(ids, "root", "left")
-             .select("cls", F.coalesce("component_id", "min_id").alias("component_id"), "root"))
+    ids = (comp.join(cls.select("cid", "min_id"), "cid").groupBy("root").agg(F.min("min_id").alias("component_id")))
+    final = (cls.select("cls", "cid", "min_id").join(comp, "cid", "left").join(ids, "root", "left")
+             .select("cls", F.coalesce("component_id", "min_id").alias("component_id"),
+                     F.coalesce("root", "cid").alias("group_key")))
     out = rows.select("doc_id", "tk", "n_shingles", "cls").join(final, "cls", "left")
     cid = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "tk", "n_shingles", cid.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == cid, cid.isNull()).alias("kept"),
-                      F.coalesce("root", "cls").alias("group_key"))
+                      F.coalesce(F.col("doc_id") == cid, cid.isNull()).alias("kept"), "group_key")
 
 
 def one_per_group(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
@@ -228,8 +276,7 @@ def one_per_group(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
             .select(F.col("p.doc_id").alias("_id"), F.col("p.tk").alias("_tk"))
             .unionByName(d.where("group_key is null").select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"))
                          .distinct()))
-    kept = docs.withColumn("_tk", F.xxhash64("text")).join(
-        pick.withColumnRenamed("_tk", "_k"),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tk") == F.col("_k")), "left_semi")
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("[^\\x20\\x09-\\x0D]")) > 0
-    return kept.where(words).dropDuplicates(["doc_id", "_tk"]).unionByName(kept.where(~words)).select(*docs.columns)
+    kept = docs.select(whole_row(docs).alias("row"), "doc_id", F.xxhash64("text").alias("tk"), words.alias("words")).join(
+        pick, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_tk")), "left_semi")
+    return kept.where("words").dropDuplicates(["doc_id", "tk"]).unionByName(kept.where("not words")).select("row.*")

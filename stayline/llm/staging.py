@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -25,3 +26,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def whole_row(df: DataFrame):
+    """All columns of ``df`` as one struct, so that columns added beside it
+    cannot clash with them."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
