@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .staging import staged
+from .staging import staged, whole_row
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 RANGE_ROWS = 20_000
@@ -142,18 +142,16 @@ def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
     text, source = kw.get("text", "text"), kw.get("source", "source")
     key = _order_key(kw.get("seed", 5), F.col(kw.get("doc_id", "doc_id")), F.col(text))
     m = (mix(docs, **kw).groupBy("ord", "source")
-         .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_twins"))
-         .where("_copies > 0").select(F.col("ord").alias("_ord"), F.col("source").alias("_source"),
-                                      "_copies", "_twins"))
-    hit = staged(docs.withColumn("_key", key)
-                 .join(m, (F.col("_key") == F.col("_ord")) & F.col(source).eqNullSafe(F.col("_source"))),
+         .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("twins"))
+         .where("copies > 0").select("ord", F.col("source").alias("m_source"), "copies", "twins"))
+    hit = staged(docs.select(whole_row(docs).alias("row"), key.alias("key"), F.col(source).alias("source"))
+                 .join(m, (F.col("key") == F.col("ord")) & F.col("source").eqNullSafe(F.col("m_source"))),
                  "mix-taken")
     # equal rows (same doc_id, source and text) share their copies
-    share = (F.floor(F.col("_copies") / F.col("_twins"))
-             + F.when(F.col("_twin") <= F.col("_copies") % F.col("_twins"), 1).otherwise(0))
-    twin = Window.partitionBy("_key", "_source").orderBy(F.lit(0))
-    parts = hit.where("_twins = 1").withColumn("_twin", F.lit(1)).unionByName(
-        hit.where("_twins > 1").withColumn("_twin", F.row_number().over(twin)))
-    return (parts.withColumn("_n", share.cast("int")).where("_n > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-            .select(*docs.columns))
+    share = (F.floor(F.col("copies") / F.col("twins"))
+             + F.when(F.col("twin") <= F.col("copies") % F.col("twins"), 1).otherwise(0))
+    twin = Window.partitionBy("key", "source").orderBy(F.lit(0))
+    parts = hit.where("twins = 1").withColumn("twin", F.lit(1)).unionByName(
+        hit.where("twins > 1").withColumn("twin", F.row_number().over(twin)))
+    return (parts.withColumn("n", share.cast("int")).where("n > 0")
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*"))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .staging import stage_path, staged
+from .staging import stage_path, staged, whole_row
 
 GRAM = 32
 HOT = 50_000
@@ -431,6 +431,8 @@ def without_repeats(docs: DataFrame, length: int = 200, **kw) -> DataFrame:
     character that are left over go too); all other columns as they are."""
     _, kept = repeats(docs, length, **kw)
     key = F.concat(F.hex(F.xxhash64("text")), F.hex(F.xxhash64(F.lit(7), "text")))
-    texts = kept.select(F.col("tk").alias("_k"), F.col("kept").alias("_left"))
-    d = docs.withColumn("_tk", key).join(texts, F.col("_tk") == F.col("_k"), "left")
-    return d.withColumn("text", F.coalesce("_left", "text")).select(*docs.columns)
+    d = (docs.select(whole_row(docs).alias("row"), key.alias("key"))
+         .join(kept, F.col("key") == F.col("tk"), "left"))
+    columns = [F.coalesce("kept", "row.text").alias("text") if c == "text" else F.col("row")[c].alias(c)
+               for c in docs.columns]
+    return d.select(*columns)
