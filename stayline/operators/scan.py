@@ -130,7 +130,8 @@ def _combine(func: str, local: Column, carry: Column) -> Column:
         return F.greatest(local, carry)
     if func == "min":
         return F.least(local, carry)
-    return F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
+    # like SUM itself: NULL only where neither part holds a value
+    return F.coalesce(local + carry, local, carry)
 
 
 def _limit(spark) -> int:

@@ -8,7 +8,8 @@ ordered by (ts, kind) with queries before points at the same instant, and
 one skew-safe ordered scan gives each query
 
 * ``next``: the earliest point at or after the query time (suffix MIN), and
-* ``count_before``: the number of points strictly before it (prefix SUM).
+* ``count_before``: the number of points strictly before it (prefix SUM; 0
+  where there is none).
 
 ``EXISTS(point in [a, b])`` is then ``next(a) <= b``; a count in a window
 ``[t0, t)`` is ``count_before(t) - count_before(t0)``. Work is one sort of
@@ -70,7 +71,9 @@ def sweep(keys: list[str], id_cols: list[str], queries: dict[str, DataFrame],
             raise ValueError(how)
     res = ordered_scan(u, keys, asc("ts", KIND), specs, plain=plain)
     return res.filter(F.col(KIND) == 0).select(*keys, QSET, *id_cols, "ts",
-                                                *[o for o, _, _ in ops])
+                                                *[F.coalesce(F.col(o), F.lit(0)).alias(o)
+                                                  if how == "count_before" else o
+                                                  for o, _, how in ops])
 
 
 def pick(qset: str, value) -> F.Column:

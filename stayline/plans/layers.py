@@ -37,5 +37,6 @@ def materialize_layers(m: Models, root: str) -> dict[str, str]:
         path = f"{root.rstrip('/')}/{schema_name(custom)}/{name}"
         df: DataFrame = m.ref(name)
         df.write.mode("overwrite").parquet(path)
+        m.use_tables({name: path})
         paths[name] = path
     return paths

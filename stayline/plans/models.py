@@ -27,6 +27,7 @@ from .features import (FEATURE_COLUMNS, disorder_rows, episode_features, feature
 class Models:
     def __init__(self, raw: Callable[[str], DataFrame]):
         self._raw = raw
+        self.tables: set[str] = set()  # models read from written tables
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Models":
@@ -149,7 +150,9 @@ class Models:
 
     @cached_property
     def episode_spans(self) -> DataFrame:
-        return episode_spans(self.encounters, self.stays)
+        """Written once: the death flags, both sweep queries and the checks
+        start from it."""
+        return materialize(episode_spans(self.encounters, self.stays))
 
     @cached_property
     def episode_features(self) -> DataFrame:
@@ -165,6 +168,7 @@ class Models:
         spark = self.encounters.sparkSession
         for name, path in paths.items():
             self.__dict__[name] = spark.read.parquet(path)
+            self.tables.add(name)
         return self
 
     def share(self, *names: str) -> "Models":

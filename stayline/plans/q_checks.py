@@ -194,10 +194,12 @@ def dq_row_count(spark, sf):
     return row_count_checks(models(spark, sf))
 
 
-def full_report(m) -> DataFrame:
-    """Q14: every check in one report (name, violations, status). Conditions
-    and procedures feed five checks each, so they are written once first."""
-    m.share("conditions", "procedures")
+def full_report(m, expected: int | None = None) -> DataFrame:
+    """Q14: every check in one report (name, violations, status).
+    ``expected``: the number of eligible episodes the row-count checks hold
+    the model against. Conditions and procedures feed five checks each; where
+    they are not tables already, they are written once first."""
+    m.share(*[t for t in ("conditions", "procedures") if t not in m.tables])
     nn = not_null_rows(m).select(F.concat_ws("_", F.lit("not_null"), "model", "column_name")
                                  .alias("check_name"), "violations")
     un = unique_rows(m).select(F.concat_ws("_", F.lit("unique"), "model", "column_name")
@@ -205,7 +207,7 @@ def full_report(m) -> DataFrame:
     rel = relationship_rows(m).select(
         F.concat_ws("_", F.lit("relationships"), "model", "column_name", "to_model")
         .alias("check_name"), "violations")
-    rc = row_count_checks(m).select("check_name", "violations")
+    rc = row_count_checks(m, expected).select("check_name", "violations")
     singles = [quality.count_rows(n, fn()) for n, fn in singular_checks(m).items()]
     return quality.report([nn, un, rel, rc] + singles)
 

@@ -172,9 +172,20 @@ def build_landing(spark, sf) -> str:
 
 
 def summarize(verdicts: DataFrame) -> DataFrame:
-    t = verdicts.withColumn("table_key", F.split("key", "/").getItem(0))
-    return t.groupBy("table_key", "status", "reason").agg(
-        F.count(F.lit(1)).cast("bigint").alias("files"))
+    """Distinct verdicts per table key (how many part files a table landed in
+    depends on the cluster, so they are not counted)."""
+    return verdicts.select(F.split("key", "/").getItem(0).alias("table_key"), "status", "reason").distinct()
+
+
+def _verdict_sql(missing: list[str]) -> str:
+    """The verdicts the landing folder above must get: (key, what was done)."""
+    rows = [("encounters.csv", "ACCEPTED", "15 columns, sample OK"),
+            ("observations.csv", "REJECTED", "missing columns: [VALUE]"),
+            ("patients.csv", "REJECTED", "missing columns: [Id]"),
+            ("procedures.csv", "REJECTED", "header present but no data rows"),
+            ("other.csv", "SKIPPED", "not a tracked file")]
+    rows += [(k, "REJECTED", "empty file, no header") for k in missing]
+    return "SELECT * FROM (VALUES " + ", ".join(map(str, rows)) + ") t(table_key, status, reason)"
 
 
 @q("file_gate")
@@ -185,6 +196,9 @@ def file_gate(spark, sf):
     return summarize(G.gate_batch(spark, root, expected=list(REQUIRED_COLUMNS)))
 
 
+SQL["file_gate"] = _verdict_sql(["conditions.csv", "medications.csv"])
+
+
 @q("file_gate_stream")
 def file_gate_stream(spark, sf):
     """The same gate as files arrive (Structured Streaming)."""
@@ -195,6 +209,9 @@ def file_gate_stream(spark, sf):
     return summarize(spark.read.parquet(f"{work}/audit"))
 
 
+SQL["file_gate_stream"] = _verdict_sql([])
+
+
 @q("quarantine_sink")
 def quarantine_sink(spark, sf):
     """K2: rejected files' lines land in the quarantine dataset with their
@@ -204,6 +221,13 @@ def quarantine_sink(spark, sf):
     dest = scratch_dir(spark, "quarantine")
     G.quarantine(spark, root, res, dest)
     qd = spark.read.parquet(dest).withColumn("table_key", F.split("key", "/").getItem(0))
+    # every part file has one header line
     return qd.groupBy("table_key", "reason").agg(
-        F.count_distinct("key").cast("bigint").alias("files"),
-        F.count(F.lit(1)).cast("bigint").alias("lines"))
+        (F.count(F.lit(1)) - F.count_distinct("key")).cast("bigint").alias("data_lines"))
+
+
+SQL["quarantine_sink"] = (
+    "SELECT 'observations.csv' AS table_key, 'missing columns: [VALUE]' AS reason, count(*) AS data_lines FROM ("
+    + O.landed("observations") + ") o UNION ALL SELECT 'patients.csv', 'missing columns: [Id]', count(*) FROM ("
+    + O.landed("patients") + ") p UNION ALL SELECT 'procedures.csv', 'header present but no data rows', 0"
+)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -67,7 +69,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf = spark.conf.get("spark.checkpoint.dir", None)
         if conf:
             spark.sparkContext.setCheckpointDir(conf)
-        elif spark.sparkContext.master.startswith("local"):
+        elif re.match(r"local(\[|$)", spark.sparkContext.master):
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stayline-ckpt-"))
         else:
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared, reliable "
@@ -77,12 +79,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Write ``df`` once to the reliable checkpoint directory and continue
-    from there: cuts the lineage (a lost executor re-reads the files instead
-    of recomputing the upstream) and lets several consumers share one
-    computation. Keeps the plan's partitioning. Never a local checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet under the shared folder and continue from
+    the files: cuts the lineage (a lost executor rereads them instead of
+    recomputing the upstream) and lets several consumers share one
+    computation, each reading only its columns. Never a local checkpoint."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shared_dir(spark: SparkSession, sub: str) -> str:
@@ -96,6 +100,4 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
 
 def scratch_dir(spark: SparkSession, prefix: str) -> str:
     """A new, unique folder under the shared directory (one per run)."""
-    import uuid
-
     return shared_dir(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")

@@ -3,8 +3,9 @@
 Every landed file gets one verdict row (key, status, reason):
 
 * SKIPPED  - the file does not belong to a tracked table;
-* REJECTED - empty file / no header, missing required columns (listed,
-  sorted; the check is case-sensitive), or a header with no data rows;
+* REJECTED - could not be read; empty file / no header; missing required
+  columns (listed, sorted; the check is case-sensitive); or a header with
+  nothing after it;
 * ACCEPTED - otherwise ("<n> columns, sample OK").
 
 Keys under ``quarantine/`` never get a row. A key is the file's path below
@@ -12,25 +13,33 @@ the landing root; its table key is the first path component, so both a
 single ``encounters.csv`` object and a ``encounters.csv/`` directory of
 part files belong to the tracked table ``encounters.csv``.
 
-Only the first bytes of each file are read: the file listing comes from the
-binaryFile source with its content column pruned, and a small Arrow-batched
-helper reads the head of each listed file (a filter on the text source's
-``_metadata.file_block_start`` would still scan every split). Zero-length
-files are not listed by Spark file sources, so tracked tables are checked
-against an expected-table list to report a table with no readable file.
+The root may be a plain path or a URI of any file system Spark reads. Files
+are listed by the binaryFile source with its content column pruned. Where
+Arrow knows the file system, tasks read each file just up to the line after
+its first CSV record (a record may hold quoted line breaks and be of any
+length). Elsewhere Spark's text reader supplies the lines: right for every
+file system, but it reads whole files. Zero-length files are not listed by
+Spark file sources, so tracked tables are checked against an expected-table
+list to report a table with no readable file.
 """
 
 from __future__ import annotations
 
+import re
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import split_csv_line
 from ..sources.schemas import REQUIRED_COLUMNS
 
 QUARANTINE = "quarantine/"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 VERDICT_COLUMNS = ["key", "status", "reason"]
+HEAD_SCHEMA = "path string, header array<string>, has_data boolean, error string"
+#: file systems Arrow opens, by Hadoop scheme
+ARROW_SCHEMES = {"": "file", "file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs"}
+SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):(//[^/]*)?"
 
 
 def _required_map() -> F.Column:
@@ -41,16 +50,13 @@ def _required_map() -> F.Column:
 
 
 def _rel_key(path: F.Column, root: str) -> F.Column:
-    root = root.rstrip("/") + "/"
-    rel = F.regexp_replace(path, r"^file:", "")
-    rel = F.regexp_replace(rel, r"^/+", "/")
-    prefix = root if root.startswith("/") else "/" + root
-    return F.when(F.startswith(rel, F.lit(prefix)), F.substring(rel, len(prefix) + 1, 1 << 30)) \
-        .otherwise(rel)
-
-
-HEAD_BYTES = 64 * 1024          # first read per file
-MAX_HEADER_BYTES = 1024 * 1024  # a header line is read whole up to this size
+    """Path below the root; scheme and authority of both are left out."""
+    base = re.sub(r"^/+", "/", re.sub(SCHEME, "", root)).rstrip("/") + "/"
+    rel = F.regexp_replace(F.regexp_replace(path, SCHEME, ""), r"^/+", "/")
+    if base.startswith("/"):
+        return F.when(F.startswith(rel, F.lit(base)), F.substring(rel, len(base) + 1, 1 << 30)).otherwise(rel)
+    # a relative root: the path below it follows its only or first mention
+    return F.when(F.contains(rel, F.lit("/" + base)), F.substring_index(rel, "/" + base, -1)).otherwise(rel)
 
 
 def listing(spark: SparkSession, root: str, stream: bool = False) -> DataFrame:
@@ -61,100 +67,185 @@ def listing(spark: SparkSession, root: str, stream: bool = False) -> DataFrame:
             .select("path", "length"))
 
 
-def file_heads(files: DataFrame, root: str) -> DataFrame:
-    """Per file: key (path below ``root``), header line and whether a data
-    line follows it. Work is spread over tasks by the listing's partitions;
-    each task reads only the first bytes of its files."""
-    head_bytes, max_header = HEAD_BYTES, MAX_HEADER_BYTES
+def _arrow_reader():
+    """Made here so that it is shipped to the workers by value: they need no
+    copy of this package."""
+    schemes, pattern = ARROW_SCHEMES, SCHEME
 
-    # defined here so it is shipped to the workers by value: they need no
-    # copy of this package
     def read_heads(batches):
-        """Per file: the first line (BOM stripped, bad bytes replaced) and
-        whether any line follows it, reading only the first bytes, through
-        the filesystem layer Arrow offers for local disks, HDFS and object
-        stores."""
+        import csv
+        import io
+        import re
+        import sys
+        from urllib.parse import quote
+
         import pandas as pd
         import pyarrow.fs as pafs
 
+        csv.field_size_limit(sys.maxsize)
         for pdf in batches:
             out = []
             for path in pdf["path"]:
-                fs, p = pafs.FileSystem.from_uri(path)
-                with fs.open_input_stream(p) as f:
-                    data = f.read(head_bytes)
-                    while b"\n" not in data and len(data) < max_header:
-                        more = f.read(head_bytes)
-                        if not more:
-                            break
-                        data += more
-                lines = data.decode("utf-8-sig", errors="replace").splitlines()
-                out.append((path, lines[0] if lines else None, len(lines) > 1))
-            yield pd.DataFrame(out, columns=["path", "header", "has_data"])
-
-    heads = files.select("path").mapInPandas(
-        read_heads, "path string, header string, has_data boolean")
-    return heads.select(_rel_key(F.col("path"), root).alias("key"), "header", "has_data")
+                try:
+                    m = re.match(pattern, path)
+                    scheme = schemes[m[1] if m else ""]
+                    rest = path[m.end():] if m else path
+                    host = (m[2] or "//") if m else "//"
+                    fs, p = pafs.FileSystem.from_uri(f"{scheme}:{host}{quote(rest)}")
+                    with fs.open_input_stream(p, compression=None) as f:
+                        text = io.TextIOWrapper(f, encoding="utf-8-sig", errors="replace", newline="")
+                        header = next(csv.reader(text), [])
+                        more = next(text, None) is not None
+                    out.append((path, header, more, None))
+                except Exception as e:  # noqa: BLE001  the verdict of this file, not of the job
+                    out.append((path, None, False, f"{type(e).__name__}: {e}"[:300]))
+            yield pd.DataFrame(out, columns=["path", "header", "has_data", "error"])
+    return read_heads
+
+
+def _line_reader():
+    """Heads from lines in file order (path, value): the first CSV record and
+    whether a line follows."""
+    def read_heads(batches):
+        import csv
+        import sys
+
+        import pandas as pd
+
+        csv.field_size_limit(sys.maxsize)
+        path, lines, quotes, closed, done = None, [], 0, False, True
+
+        def row():
+            return (path, next(csv.reader(lines), []), closed and done, None)
+
+        for pdf in batches:
+            out = []
+            for p, value in zip(pdf["path"], pdf["value"]):
+                if p != path:
+                    if path is not None:
+                        out.append(row())
+                    path, lines, quotes, closed, done = p, [], 0, False, False
+                    value = value.removeprefix("﻿")
+                if done:
+                    continue
+                if closed:
+                    done = True
+                    continue
+                lines.append(value + "\n")
+                quotes += value.count('"')
+                closed = quotes % 2 == 0
+            if out:
+                yield pd.DataFrame(out, columns=["path", "header", "has_data", "error"])
+        if path is not None:
+            yield pd.DataFrame([row()], columns=["path", "header", "has_data", "error"])
+    return read_heads
+
+
+def file_heads(files: DataFrame, root: str) -> DataFrame:
+    """Per file: key (path below ``root``), header fields, whether a line
+    follows the header, and why the file could not be read. Work is spread
+    over tasks by the listing's partitions."""
+    m = re.match(SCHEME, root)
+    if (m[1] if m else "") in ARROW_SCHEMES or files.isStreaming:
+        heads = files.select("path").mapInPandas(_arrow_reader(), HEAD_SCHEMA)
+    else:
+        # every file's first split starts at 0 and lies in one task, in order
+        lines = (files.sparkSession.read.option("recursiveFileLookup", "true").text(root)
+                 .where("_metadata.file_block_start = 0")
+                 .select(F.url_decode("_metadata.file_path").alias("path"), "value"))
+        heads = lines.mapInPandas(_line_reader(), HEAD_SCHEMA)
+    return heads.select(_rel_key(F.col("path"), root).alias("key"), "header", "has_data", "error")
 
 
 def verdicts(heads: DataFrame, expected: list[str] | None = None) -> DataFrame:
-    """The decision ladder over per-file heads (key, header, has_data)."""
+    """The decision ladder over per-file heads (key, header, has_data, error)."""
     h = heads.filter(~F.startswith(F.col("key"), F.lit(QUARANTINE)))
     h = h.withColumn("table_key", F.split(F.col("key"), "/").getItem(0))
     required = _required_map()[F.col("table_key")]
-    cols = split_csv_line(F.col("header"))
-    hdr = F.filter(cols, lambda c: c != F.lit(""))
-    missing = F.array_sort(F.array_except(required, cols))
-    status = (F.when(required.isNull(), "SKIPPED")
-              .when(F.col("header").isNull() | (F.size(hdr) == 0), "REJECTED")
-              .when(F.size(missing) > 0, "REJECTED")
-              .when(~F.col("has_data"), "REJECTED")
-              .otherwise("ACCEPTED"))
-    reason = (F.when(required.isNull(), "not a tracked file")
-              .when(F.col("header").isNull() | (F.size(hdr) == 0), "empty file, no header")
-              .when(F.size(missing) > 0,
-                    F.concat(F.lit("missing columns: ["), F.array_join(missing, ", "), F.lit("]")))
-              .when(~F.col("has_data"), "header present but no data rows")
-              .otherwise(F.concat(F.size(cols).cast("string"), F.lit(" columns, sample OK"))))
-    out = h.select("key", "table_key", status.alias("status"), reason.alias("reason"))
+    missing = F.array_sort(F.array_except(required, F.col("header")))
+    ladder = [
+        (required.isNull(), "SKIPPED", F.lit("not a tracked file")),
+        (F.col("error").isNotNull(), "REJECTED", F.concat(F.lit("could not read: "), F.col("error"))),
+        (F.col("header").isNull() | (F.size("header") == 0), "REJECTED", F.lit("empty file, no header")),
+        (F.size(missing) > 0, "REJECTED",
+         F.concat(F.lit("missing columns: ["), F.array_join(missing, ", "), F.lit("]"))),
+        (~F.col("has_data"), "REJECTED", F.lit("header present but no data rows")),
+        (F.lit(True), "ACCEPTED", F.concat(F.size("header").cast("string"), F.lit(" columns, sample OK"))),
+    ]
+    verdict = F.coalesce(*[F.when(c, F.struct(F.lit(s).alias("status"), r.alias("reason"))) for c, s, r in ladder])
+    out = h.select("key", "table_key", verdict.alias("v")).select("key", "table_key", "v.status", "v.reason")
     if expected is not None:
-        spark = heads.sparkSession
-        exp = spark.createDataFrame([(k,) for k in expected], "table_key string")
-        seen = out.select("table_key").distinct()
-        gone = exp.join(seen, "table_key", "left_anti").select(
-            F.col("table_key").alias("key"), "table_key",
-            F.lit("REJECTED").alias("status"), F.lit("empty file, no header").alias("reason"))
-        out = out.unionByName(gone)
+        out = out.unionByName(missing_tables(out, expected))
     return out.select(*VERDICT_COLUMNS)
 
 
+def missing_tables(results: DataFrame, expected: list[str]) -> DataFrame:
+    """A REJECTED row for every expected table that has no row in ``results``
+    (verdicts of a batch, or the audit of a stream so far)."""
+    spark = results.sparkSession
+    exp = spark.createDataFrame([(k,) for k in expected], "table_key string")
+    seen = results.select(F.split("key", "/").getItem(0).alias("table_key")).distinct()
+    return exp.join(seen, "table_key", "left_anti").select(
+        F.col("table_key").alias("key"), "table_key",
+        F.lit("REJECTED").alias("status"), F.lit("empty file, no header").alias("reason"))
+
+
 def gate_batch(spark: SparkSession, root: str, expected: list[str] | None = None) -> DataFrame:
     """Q13 over everything currently under ``root``."""
     return verdicts(file_heads(listing(spark, root), root), expected)
 
 
-def quarantine(spark: SparkSession, root: str, results: DataFrame, dest: str) -> DataFrame:
+def _remover(root: str):
+    def remove(batches):
+        import re
+        from urllib.parse import quote
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            for key in pdf["key"]:
+                m = re.match(SCHEME, root)
+                rest = (root[m.end():] if m else root).rstrip("/") + "/" + key
+                scheme = ARROW_SCHEMES[m[1] if m else ""]
+                fs, p = pafs.FileSystem.from_uri(f"{scheme}:{(m[2] or '//') if m else '//'}{quote(rest)}")
+                if fs.get_file_info(p).type != pafs.FileType.NotFound:
+                    fs.delete_file(p)
+            yield pd.DataFrame({"key": pdf["key"]})
+    return remove
+
+
+def quarantine(spark: SparkSession, root: str, results: DataFrame, dest: str, remove: bool = False,
+               slice_files: int = 1000) -> DataFrame:
     """K2: rejected files' lines go to a quarantine dataset (partitioned by
-    the file key, with the reason); the landing files are left in place and
-    excluded downstream by :func:`accepted_paths`. Only the rejected files
-    are read: their keys (file names, one per file - not data) are collected
-    and read directly."""
-    rej = results.filter((F.col("status") == "REJECTED")).select("key", "reason")
+    the file key, with the reason). Only the rejected files are read, in
+    slices of ``slice_files`` names, so the driver never holds them all.
+    ``remove`` then takes them out of the landing area, as a move would;
+    otherwise they stay and :func:`accepted_paths` leaves them out
+    downstream. Re-running replaces just these files' partitions."""
+    rej = results.filter(F.col("status") == "REJECTED").select("key", "reason")
     base = root.rstrip("/")
     files = listing(spark, root).select(_rel_key(F.col("path"), root).alias("key"))
-    # rejected keys that are files (an absent table has none); only their
-    # names reach the driver
-    keys = [r["key"] for r in rej.join(files, "key", "left_semi").select("key")
-            .distinct().collect()]
-    if not keys:
-        return spark.createDataFrame([], "key string, value string, reason string")
-    lines = spark.read.text([f"{base}/{k}" for k in keys]).select(
-        _rel_key(F.col("_metadata.file_path"), root).alias("key"), "value")
-    q = lines.join(rej, "key")
-    # re-running replaces just these files' partitions (idempotent)
-    (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("key").parquet(dest))
-    return q
+    # rejected keys that are files (an absent table has none)
+    held = rej.join(files, "key", "left_semi")
+    names = (r["key"] for r in held.select("key").distinct().toLocalIterator())
+    while keys := list(islice(names, slice_files)):
+        part = spark.createDataFrame([(k,) for k in keys], "key string")
+        lines = spark.read.text([_glob_literal(f"{base}/{k}") for k in keys]).select(
+            _rel_key(F.url_decode("_metadata.file_path"), root).alias("key"), "value")
+        (lines.join(rej.join(part, "key", "left_semi"), "key").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("key").parquet(dest))
+        if remove:
+            part.mapInPandas(_remover(root), "key string").write.format("noop").mode("overwrite").save()
+    try:
+        return spark.read.schema("value string, reason string, key string").parquet(dest)
+    except Exception:  # noqa: BLE001  nothing was ever quarantined there
+        return spark.createDataFrame([], "value string, reason string, key string")
+
+
+def _glob_literal(path: str) -> str:
+    """A path whose glob signs stand for themselves."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
 
 
 def accepted_paths(results: DataFrame) -> DataFrame:
@@ -169,7 +260,8 @@ def gate_stream(spark: SparkSession, root: str, audit: str, checkpoint: str,
     file sink, which commits each micro-batch exactly once (its metadata log)
     even when a batch is replayed after a failure. ``available_now`` runs what
     has landed and stops; otherwise the query keeps running on ``interval``
-    and is returned."""
+    and is returned. :func:`missing_tables` over the audit tells which
+    expected tables have not arrived."""
     v = verdicts(file_heads(listing(spark, root, stream=True), root))
     w = (v.writeStream.format("parquet").option("path", audit)
          .option("checkpointLocation", checkpoint).outputMode("append"))

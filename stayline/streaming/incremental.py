@@ -8,7 +8,9 @@ deliberate reload uses a fresh checkpoint and overwrites the target.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -17,12 +19,23 @@ def load_new_files(spark: SparkSession, src: str, schema: StructType, target: st
     """Append the rows of files not loaded yet, through Spark's Parquet file
     sink (exactly-once: a replayed micro-batch is not committed twice).
     Returns the number of micro-batches that ran."""
+    before = _last_batch(spark, checkpoint)
     q = (spark.readStream.format(fmt).schema(schema).load(src)
          .writeStream.format("parquet").option("path", target)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
+    return _last_batch(spark, checkpoint) - before
+
+
+def _last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last committed micro-batch (-1: none); the checkpoint has
+    them all, progress reports only the latest."""
+    try:
+        done = spark.read.text(f"{checkpoint}/commits").select("_metadata.file_name").distinct()
+        return done.agg(F.max(F.col("file_name").try_cast("long"))).first()[0]
+    except AnalysisException:
+        return -1
 
 
 def reload_all(spark: SparkSession, src: str, schema: StructType, target: str,

@@ -30,8 +30,8 @@ def test_cli_lists_every_key():
     assert out.returncode == 0
     keys = [ln.split()[0] for ln in out.stdout.splitlines() if ln.strip()]
     sys.path.insert(0, ROOT)
-    import __spark_entry__ as E
-    assert sorted(keys) == sorted(E.queries())
+    from stayline import catalog
+    assert sorted(keys) == sorted(catalog.queries())
 
 
 def test_entry_schema_is_stable(spark):

@@ -65,3 +65,68 @@ def test_quarantine_is_idempotent(spark, tmp_path):
     q = spark.read.parquet(dest)
     assert q.count() == 3                               # header + two rows, once
     assert {r["key"] for r in q.select("key").distinct().collect()} == {"patients.csv"}
+
+
+def test_gate_reads_records_not_prefixes(spark, tmp_path):
+    """Long headers, quoted line breaks, blanks in names, URI roots."""
+    root = str(tmp_path / "land ing")
+    edge = "START,PATIENT,CODE,DESCRIPTION"
+    edge += "," + "x" * (64 * 1024 - len(edge) - 2)     # the line ends on a 64 KiB edge
+    _write(root, "medications.csv", edge + "\n" + "1,2,3,4,5\n")
+    wide = ENC_HEADER + "".join(f",c{i}" for i in range(150_000))  # over 1 MiB
+    _write(root, "encounters.csv/part a%20b.csv", wide + "\n" + ENC_ROW + "\n")
+    _write(root, "encounters.csv/part two.csv", '"a\nb",' + ENC_HEADER + "\nx," + ENC_ROW + "\n")
+    _write(root, "procedures.csv", ",,\n1,2,3\n")
+    for r in (root, "file:" + root, "file://" + root):
+        res = {x["key"]: (x["status"], x["reason"]) for x in G.gate_batch(spark, r).collect()}
+        assert res == {
+            "medications.csv": ("ACCEPTED", "5 columns, sample OK"),
+            "encounters.csv/part a%20b.csv": ("ACCEPTED", "150015 columns, sample OK"),
+            "encounters.csv/part two.csv": ("ACCEPTED", "16 columns, sample OK"),
+            "procedures.csv": ("REJECTED", "missing columns: [CODE, DESCRIPTION, PATIENT, START]"),
+        }
+
+
+def test_gate_by_text_reader_agrees(spark, tmp_path):
+    """File systems Arrow does not know are read through Spark's text reader."""
+    root = str(tmp_path / "landing")
+    _write(root, "encounters.csv", '"a\nb",' + ENC_HEADER + "\nx," + ENC_ROW + "\n", bom=True)
+    _write(root, "patients.csv", "Id,BIRTHDATE,GENDER\n")
+    _write(root, "observations.csv", "DATE,PATIENT,CODE\n1,2,3\n")
+    lines = spark.read.option("recursiveFileLookup", "true").text(root).where(
+        "_metadata.file_block_start = 0").selectExpr("url_decode(_metadata.file_path) AS path", "value")
+    heads = lines.mapInPandas(G._line_reader(), G.HEAD_SCHEMA).withColumn("key", G._rel_key(G.F.col("path"), root))
+    assert sorted(G.verdicts(heads).collect()) == sorted(G.gate_batch(spark, root).collect())
+
+
+def test_unreadable_file_is_a_verdict(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    _write(root, "encounters.csv", ENC_HEADER + "\n" + ENC_ROW + "\n")
+    files = G.listing(spark, root).unionByName(
+        spark.createDataFrame([(f"file:{root}/patients.csv", 1)], "path string, length long"))
+    res = {r["key"]: r for r in G.verdicts(G.file_heads(files, root)).collect()}
+    assert res["encounters.csv"]["status"] == "ACCEPTED"
+    assert res["patients.csv"]["status"] == "REJECTED"
+    assert res["patients.csv"]["reason"].startswith("could not read: FileNotFoundError")
+
+
+def test_quarantine_takes_files_out_of_landing(spark, tmp_path):
+    root, dest = str(tmp_path / "landing"), str(tmp_path / "quarantine")
+    _write(root, "encounters.csv", ENC_HEADER + "\n" + ENC_ROW + "\n")
+    _write(root, "patients.csv/part [1] a.csv", "ID,BIRTHDATE,GENDER\nx,2000-01-01,F\n")
+    _write(root, "conditions.csv", "START\n2000-01-01\n")
+    res = spark.createDataFrame(G.gate_batch(spark, root).collect(), "key string, status string, reason string")
+    q = G.quarantine(spark, root, res, dest, remove=True, slice_files=1)
+    assert sorted((r["key"], r["value"]) for r in q.collect()) == [
+        ("conditions.csv", "2000-01-01"), ("conditions.csv", "START"),
+        ("patients.csv/part [1] a.csv", "ID,BIRTHDATE,GENDER"), ("patients.csv/part [1] a.csv", "x,2000-01-01,F")]
+    left = [r["key"] for r in G.gate_batch(spark, root).collect()]
+    assert left == ["encounters.csv"]
+
+
+def test_missing_tables_of_a_stream(spark, tmp_path):
+    root, work = str(tmp_path / "landing"), str(tmp_path / "work")
+    _write(root, "encounters.csv", ENC_HEADER + "\n" + ENC_ROW + "\n")
+    G.gate_stream(spark, root, work + "/audit", work + "/ckpt")
+    gone = G.missing_tables(spark.read.parquet(work + "/audit"), list(G.REQUIRED_COLUMNS))
+    assert sorted(r["key"] for r in gone.collect()) == sorted(set(G.REQUIRED_COLUMNS) - {"encounters.csv"})

@@ -41,9 +41,9 @@ def test_blocked_scan_matches_window(spark, blocked):
     for r in exp.collect():
         a = g[r["id"]]
         assert a["mx_before"] == r["mx_before"]
-        assert (a["sum_upto"] or 0) == (r["sum_upto"] or 0)
+        assert a["sum_upto"] == r["sum_upto"]
         assert a["mn_after"] == r["mn_after"]
-        assert (a["sum_from"] or 0) == (r["sum_from"] or 0)
+        assert a["sum_from"] == r["sum_from"]
 
 
 def test_scan_plan_keeps_big_side_in_place(spark, blocked):

@@ -56,5 +56,5 @@ def test_sweep_matches_brute_force(spark, mode):
         nxt, before = want[r["i"]]
         assert r["nxt"] == nxt, (r, nxt)
         if r["ts"] is not None:
-            assert (r["before"] or 0) == before, (r, before)
+            assert r["before"] == before, (r, before)
     assert len(got) == len(q)
