@@ -30,14 +30,14 @@ def number_islands(df: DataFrame, key: str, start: str, end: str, tiebreak: str,
     if plain is None:
         plain = small_keys(p, [c for c in p.columns if c.startswith(KEY)])
     s1 = scan(p, order, [Spec("prev_max_end", "max", end, "before")], materialize=False,
-              plain=plain)
+              plain=plain, by=[key])
     s1 = s1.withColumn(
         "new_island",
         F.when(F.col("prev_max_end").isNull() | (day_diff("prev_max_end", start) > 0), F.lit(1))
         .otherwise(F.lit(0)))
     s2 = scan(s1, order, [Spec("island_number", "sum", "new_island", "upto"),
                           Spec("seq", "sum", F.lit(1), "upto")], materialize=not plain,
-              plain=plain)
+              plain=plain, by=[key])
     return finish(s2)
 
 
@@ -60,7 +60,7 @@ def island_events(df: DataFrame, keys: list[str], start: str, stop: str,
          .select(*keys, F.col(start).alias("s"), F.coalesce(F.col(stop), open_end).alias("e")))
     p = prepare(d, keys, "s")
     s1 = finish(scan(p, asc("s", "e"), [Spec("prev_e", "max", "e", "before")],
-                     materialize=plain is not True, plain=plain))
+                     materialize=plain is not True, plain=plain, by=keys))
     opens = s1.filter(F.col("prev_e").isNull() | (F.col("s") > F.col("prev_e")))
     up = opens.select(F.col(keys[0]), F.col("s").alias("day"), F.lit(1).alias("delta"))
     closes = opens.filter(F.col("prev_e").isNotNull()).select(

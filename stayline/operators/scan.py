@@ -174,7 +174,8 @@ def choose_width(d: DataFrame, keys: list[str]) -> int:
 
 
 def scan(df: DataFrame, order: list[str], specs: list[Spec],
-         materialize: bool = True, plain: bool | None = None) -> DataFrame:
+         materialize: bool = True, plain: bool | None = None,
+         by: list[str] | None = None) -> DataFrame:
     """Run ``specs`` over a frame prepared by :func:`prepare`.
 
     ``order``: column names giving a total order within the key (ascending,
@@ -183,7 +184,9 @@ def scan(df: DataFrame, order: list[str], specs: list[Spec],
     and the window); unless it is a cheap scan (``materialize=False``) it is
     written once to the checkpoint directory so that neither recomputes the
     upstream. ``plain``: the caller already proved (True) or disproved
-    (False) the per-key size bound.
+    (False) the per-key size bound. ``by``: the key columns themselves; the
+    single window partitions by them, so a later grouping or join on them
+    finds the rows already in place.
     """
     vals = {s.name: (F.col(s.value) if isinstance(s.value, str) else s.value) for s in specs}
     d = df.select("*", *[vals[s.name].alias(f"__v_{s.name}") for s in specs])
@@ -196,7 +199,7 @@ def scan(df: DataFrame, order: list[str], specs: list[Spec],
             d, done = _materialize(d), True
         plain = small_keys(d, keys)
     if plain:
-        return _window_scan(df, d, keys, fwd, bwd, specs)
+        return _window_scan(df, d, by or keys, fwd, bwd, specs)
     if materialize and not done:
         d = _materialize(d)
     out_cols = list(df.columns)
@@ -265,7 +268,7 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[str], specs: list[S
                  width: int | None = None) -> DataFrame:
     """prepare + scan + drop helper columns."""
     return finish(scan(prepare(df, keys, order[0], width), order, specs,
-                       materialize and plain is not True, plain))
+                       materialize and plain is not True, plain, by=keys))
 
 
 def finish(df: DataFrame) -> DataFrame:

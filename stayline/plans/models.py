@@ -124,7 +124,7 @@ class Models:
     @cached_property
     def inpatient_episodes(self) -> DataFrame:
         e = inpatient_episodes(self.patients, self.encounters, None, spans=self.episode_spans,
-                               hc=self.hospice_chemo)
+                               hc=self.hospice_chemo, plain=self._plain(self._encounter_rows["encounters"]))
         # materialized like a model table: every feature branch reads it
         return materialize(e.select(*EPISODE_COLUMNS))
 

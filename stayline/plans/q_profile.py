@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import oracle as O
@@ -35,9 +35,13 @@ def q(name):
 
 
 def stays_with_next(m) -> DataFrame:
-    """Each inpatient stay with the next stay's admission (LEAD over the
-    patient's stays) via an equi-join on (patient, position + 1)."""
+    """Each inpatient stay with the next stay's admission: LEAD over the
+    patient's stays, in place where every patient is known to fit one task,
+    else an equi-join on (patient, position + 1)."""
     s = m.stays
+    if m._plain(m._encounter_rows["encounters"]):
+        w = Window.partitionBy("patient_id").orderBy("stay_seq")
+        return s.withColumn("next_admitted_at", F.lead("admitted_at").over(w))
     nxt = s.select(F.col("patient_id").alias("__p"), (F.col("stay_seq") - 1).alias("__n"),
                    F.col("admitted_at").alias("next_admitted_at"))
     # NULL-safe on the patient: a window groups NULL patients together
@@ -834,20 +838,42 @@ SQL["ordered_array_agg"] = O.with_models(_template_sql())
 SAMPLE_HEAD = 200_000
 
 
+def _before(columns: list[str], row) -> F.Column:
+    """Whether a row sorts before ``row`` by ``columns`` (NULLs last)."""
+    less, same = F.lit(False), F.lit(True)
+    for c in columns:
+        v, x = F.col(c), F.lit(row[c])
+        first = v.isNotNull() if row[c] is None else F.coalesce(v < x, F.lit(False))
+        less = less | (same & first)
+        same = same & v.eqNullSafe(x)
+    return less
+
+
+def head_sample(o: DataFrame, order: list[str], kinds: dict[str, F.Column], head: int, n: int = 3) -> DataFrame:
+    """The first ``n`` rows of each kind among the first ``head`` rows by
+    ``order``. The first rows of each kind are taken from the whole table (a
+    top-n), then one aggregate counts how many rows precede each of them, so
+    the head itself is never gathered."""
+    spark = o.sparkSession
+    tops = reduce(DataFrame.unionByName, [
+        o.filter(cond).orderBy(*asc_nulls_last(*order)).limit(n).withColumn("sample", F.lit(name))
+        for name, cond in kinds.items()])
+    rows = tops.collect()  # at most n rows a kind
+    if rows:
+        ahead = o.agg(*[F.count_if(_before(order, r)) for r in rows]).first()
+        rows = [r for r, k in zip(rows, ahead) if k < head]
+    return spark.createDataFrame(rows, tops.schema)
+
+
 @q("sample_rows_by_type")
 def sample_rows_by_type(spark, sf):
-    """S10 + O5: a head sample of the observations (the first 200,000 rows in
-    (DATE, ENCOUNTER) order, five columns), then the first three numeric and
-    the first three text rows of that sample. Both limits are the feature
-    (a top-k per partition, merged; never a full sort)."""
+    """S10 + O5: of the first 200,000 observations in (DATE, ENCOUNTER) order,
+    the first three numeric and the first three text rows. Both limits are
+    the feature."""
     o = models(spark, sf).source("observations").select(
         "DATE", "ENCOUNTER", "TYPE", "VALUE", "VALUE_NUM", "UNITS")
-    head = o.orderBy(*asc_nulls_last("DATE", "ENCOUNTER")).limit(SAMPLE_HEAD)
-    parts = [head.filter(cond).orderBy(*asc_nulls_last("DATE", "ENCOUNTER")).limit(3)
-             .withColumn("sample", F.lit(name))
-             for name, cond in [("numeric", F.col("TYPE") == "numeric"),
-                                ("text", F.col("TYPE") != "numeric")]]
-    return reduce(DataFrame.unionByName, parts)
+    return head_sample(o, ["DATE", "ENCOUNTER"], {"numeric": F.col("TYPE") == "numeric",
+                                                  "text": F.col("TYPE") != "numeric"}, SAMPLE_HEAD)
 
 
 SQL["sample_rows_by_type"] = O.with_models(

@@ -203,3 +203,19 @@ def test_history_boundary_365_366(spark):
     m, _ = _episodes(spark, enc)
     f = by_key(m.episode_features)
     assert f["p1-3"]["prior_episodes"] == 2 and f["p1-3"]["prior_episodes_365d"] == 1
+
+
+def test_head_sample_stays_in_the_head(spark):
+    from pyspark.sql import functions as F
+
+    from stayline.plans.q_profile import head_sample
+
+    rows = [(d, e, "a" if (3 * i) % 7 < 5 else "b") for i, (d, e) in
+            enumerate((d, e) for d in (1, 2, None) for e in ("x", "y", None, "z"))]
+    df = spark.createDataFrame(rows, "d int, e string, k string")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
+    for head in (0, 1, 4, 7, 100):
+        first = sorted(rows, key=key)[:head]
+        want = [r for k in "ab" for r in [x for x in first if x[2] == k][:3]]
+        got = head_sample(df, ["d", "e"], {k: F.col("k") == k for k in "ab"}, head)
+        assert [tuple(r)[:3] for r in got.collect()] == want
