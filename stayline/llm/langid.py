@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
@@ -72,6 +72,11 @@ def _count(langs: list[str]):
     return run
 
 
+def unit_hash(*columns: str):
+    """A hash of the columns, even over [0, 1)."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 33) / F.lit(float(1 << 31))
+
+
 def train(labelled: DataFrame, max_rows: int | None = MAX_ROWS):
     """(languages, log likelihood per n-gram code and language). The driver
     holds one count table of 2**16 codes per language, whatever the input."""
@@ -80,11 +85,9 @@ def train(labelled: DataFrame, max_rows: int | None = MAX_ROWS):
     if not langs:
         return [], np.zeros((1 << BITS, 0), np.float32)
     if max_rows is not None:
-        by = Window.partitionBy("lang").orderBy("k")
-        pick = (d.select("lang", F.xxhash64("doc_id", "text").alias("k"))
-                .withColumn("r", F.row_number().over(by)).where(F.col("r") <= max_rows))
-        top = pick.groupBy("lang").agg(F.max("k").alias("last"))
-        d = d.join(F.broadcast(top), "lang").where(F.xxhash64("doc_id", "text") <= F.col("last"))  # a row per label
+        # a row per label; no label's rows meet in one task
+        share = d.groupBy("lang").agg(F.least(F.lit(1.0), max_rows / F.count(F.lit(1))).alias("share"))
+        d = d.join(F.broadcast(share), "lang").where(unit_hash("doc_id", "text") < F.col("share"))
     counts = np.zeros((len(langs), 1 << BITS), np.float64)
     parts = (d.select("text", "lang").mapInPandas(_count(langs), "lang string, n array<long>")
              .select("lang", F.posexplode("n").alias("code", "n")).where("n > 0")

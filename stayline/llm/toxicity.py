@@ -6,8 +6,9 @@ its sentences is (noisy-or: 1 - prod(1 - p)). The weights are fitted so that
 the noisy-or explains the document labels, which leaves the sentence scores to
 say which sentences offend.
 
-Training takes at most ``per_class`` labelled documents of each class (the
-ones with the smallest hash of their id), reweighted to the true class ratio.
+Training takes about ``per_class`` labelled documents of each class at most
+(the share with the smallest hashes of their ids), reweighted to the true
+class ratio.
 Scoring reads every whole text once and needs no shuffle.
 
 Defined results: null and empty texts score 0; rows that repeat a doc_id are
@@ -19,10 +20,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
+from .langid import unit_hash
 
 BITS = 18
 BEGINNINGS = (4, 5, 6)
@@ -97,13 +99,14 @@ def _features(batches):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """text, y and the size of its class, at most ``per_class`` rows a class."""
+    """text, y and the size of its class, about ``per_class`` rows a class at
+    most: the share of its ids with the smallest hashes."""
     y = (labels.where("toxic is not null and doc_id is not null").groupBy("doc_id")
          .agg(F.max("toxic").cast("int").alias("y")))
-    size = y.groupBy("y").agg(F.count(F.lit(1)).alias("of"))
-    pick = y.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")))
-    pick = pick.where(F.col("r") <= per_class).join(F.broadcast(size), "y").drop("r")  # two rows
-    # at most 2 * per_class ids
+    size = y.groupBy("y").agg(F.count(F.lit(1)).alias("of"))  # two rows
+    pick = (y.join(F.broadcast(size), "y")
+            .where(unit_hash("doc_id") < F.least(F.lit(1.0), per_class / F.col("of"))))
+    # about 2 * per_class ids at most
     return docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id").select("text", "y", "of")
 
 

@@ -54,7 +54,8 @@ def test_held_out_documents_and_sentences(tables):
 
 def test_bounded_sample_and_no_labels(spark, tables):
     docs, labels, _, _ = tables
-    assert T.training_rows(docs, labels, 10).count() == 20
+    sizes = {r.y: (r["count"], r.of) for r in T.training_rows(docs, labels, 20).groupBy("y", "of").count().collect()}
+    assert {y: of for y, (_, of) in sizes.items()} == {0: 320, 1: 80} and all(5 <= n <= 40 for n, _ in sizes.values())
     none = T.score(docs, labels.where("toxic = 0")).agg(F.max("score")).first()[0]
     assert none == 0
     empty = spark.createDataFrame([], docs.schema)
