@@ -120,6 +120,23 @@ def load_by_name(spark, sf):
 SQL["load_by_name"] = O.with_models("SELECT * FROM raw_conditions")
 
 
+@q("load_append_report")
+def load_append_report(spark, sf):
+    """Procedures loaded by name into a new target and once more into the
+    target that now holds them; one report row per load."""
+    src = curated(spark, sf, "procedures")
+    root = scratch_dir(spark, "append")
+    src.select(*[F.col(c).alias(c.lower()) for c in reversed(src.columns)]).write.parquet(f"{root}/src")
+    first = I.append_by_name(spark, f"{root}/src", f"{root}/target", src.dtypes)
+    again = I.append_by_name(spark, f"{root}/src", f"{root}/target", src.dtypes)
+    return first.withColumn("load_no", F.lit(1)).unionByName(again.withColumn("load_no", F.lit(2)))
+
+
+SQL["load_append_report"] = O.with_models(
+    "SELECT i AS load_no, CAST((i - 1) * n AS BIGINT) AS rows_before, n AS rows_parsed, n AS rows_loaded, "
+    "'LOADED' AS status FROM (SELECT count(*) AS n FROM raw_procedures) p, (VALUES (1), (2)) v(i)")
+
+
 @q("incremental_load_once")
 def incremental_load_once(spark, sf):
     """Loading the same files twice adds them once."""

@@ -86,10 +86,14 @@ SQL["validate_patients_load"] = O.with_models(
 
 @q("point_lookup_encounter")
 def point_lookup_encounter(spark, sf):
-    """V2: one encounter by key (the smallest id), to check the timestamps."""
-    e = models(spark, sf).encounters
-    key = e.agg(F.min("encounter_id").alias("k"))  # one row: a proven size bound
-    return e.join(F.broadcast(key), e.encounter_id == key.k).select(
+    """V2: one encounter by key (here the smallest id), to check the timestamps."""
+    m = models(spark, sf)
+    return encounter_by_id(m, m.encounters.agg(F.min("encounter_id")).first()[0])
+
+
+def encounter_by_id(m, encounter_id: str) -> DataFrame:
+    """The encounter with a given id; the equality reaches the scan."""
+    return m.encounters.where(F.col("encounter_id") == F.lit(encounter_id)).select(
         "encounter_id", "start_ts", "stop_ts", "encounter_class", "total_claim_cost",
         "length_of_stay_hours")
 
@@ -518,27 +522,34 @@ SQL["signal_prior_episodes"] = O.with_models(
 def _labelled(m) -> DataFrame:
     s = m.stays
     g = day_diff("prev_max_discharge", "admitted_at")
-    return s.select("patient_id", "admitted_at", "discharged_at", "prev_max_discharge",
-                    g.alias("gap_days"), "new_episode")
+    return s.select("patient_id", "encounter_id", "admitted_at", "discharged_at", "prev_max_discharge",
+                    g.alias("gap_days"), "new_episode", "episode_number")
+
+
+def stay_type():
+    g = F.col("gap_days")
+    return (F.when(F.col("prev_max_discharge").isNull(), "1: first stay")
+            .when(g < 0, "2: overlap (same episode)")
+            .when(g == 0, "3: same-day transfer (same episode)").otherwise("4: new episode"))
+
+
+STAY_TYPE = (
+    "CASE WHEN prev_max_discharge IS NULL THEN '1: first stay' "
+    "WHEN date_diff('day', prev_max_discharge, admitted_at) < 0 THEN '2: overlap (same episode)' "
+    "WHEN date_diff('day', prev_max_discharge, admitted_at) = 0 "
+    "THEN '3: same-day transfer (same episode)' ELSE '4: new episode' END")
 
 
 @q("stay_type_classification")
 def stay_type_classification(spark, sf):
     s = _labelled(models(spark, sf))
-    g = F.col("gap_days")
-    t = (F.when(F.col("prev_max_discharge").isNull(), "1: first stay")
-         .when(g < 0, "2: overlap (same episode)")
-         .when(g == 0, "3: same-day transfer (same episode)").otherwise("4: new episode"))
-    return (s.withColumn("stay_type", t).groupBy("stay_type")
+    return (s.withColumn("stay_type", stay_type()).groupBy("stay_type")
             .agg(cnt().alias("stays"), F.sum("new_episode").cast("bigint").alias("new_episode_flags"))
             .orderBy("stay_type"))
 
 
 SQL["stay_type_classification"] = O.with_models(
-    "SELECT CASE WHEN prev_max_discharge IS NULL THEN '1: first stay' "
-    "WHEN date_diff('day', prev_max_discharge, admitted_at) < 0 THEN '2: overlap (same episode)' "
-    "WHEN date_diff('day', prev_max_discharge, admitted_at) = 0 "
-    "THEN '3: same-day transfer (same episode)' ELSE '4: new episode' END AS stay_type, "
+    f"SELECT {STAY_TYPE} AS stay_type, "
     "CAST(COUNT(*) AS BIGINT) AS stays, CAST(SUM(new_episode) AS BIGINT) AS new_episode_flags "
     "FROM stays_numbered GROUP BY 1 ORDER BY 1")
 
@@ -807,6 +818,44 @@ RAW_TYPES = {
     "conditions": [("START", "date"), ("STOP", "date"), ("PATIENT", "string"),
                    ("ENCOUNTER", "string"), ("SYSTEM", "string"), ("CODE", "string"),
                    ("DESCRIPTION", "string")],
+    "encounters": [("Id", "string"), ("START", "timestamp_ntz"), ("STOP", "timestamp_ntz"),
+                   ("PATIENT", "string"), ("ORGANIZATION", "string"), ("PROVIDER", "string"),
+                   ("PAYER", "string"), ("ENCOUNTERCLASS", "string"), ("CODE", "string"),
+                   ("DESCRIPTION", "string"), ("BASE_ENCOUNTER_COST", "decimal(14,2)"),
+                   ("TOTAL_CLAIM_COST", "decimal(14,2)"), ("PAYER_COVERAGE", "decimal(14,2)"),
+                   ("REASONCODE", "string"), ("REASONDESCRIPTION", "string")],
+    "medications": [("START", "timestamp_ntz"), ("STOP", "timestamp_ntz"), ("PATIENT", "string"),
+                    ("PAYER", "string"), ("ENCOUNTER", "string"), ("CODE", "string"),
+                    ("DESCRIPTION", "string"), ("BASE_COST", "decimal(14,2)"),
+                    ("PAYER_COVERAGE", "decimal(14,2)"), ("DISPENSES", "int"),
+                    ("TOTALCOST", "decimal(14,2)"), ("REASONCODE", "string"),
+                    ("REASONDESCRIPTION", "string")],
+    "procedures": [("START", "timestamp_ntz"), ("STOP", "timestamp_ntz"), ("PATIENT", "string"),
+                   ("ENCOUNTER", "string"), ("SYSTEM", "string"), ("CODE", "string"),
+                   ("DESCRIPTION", "string"), ("BASE_COST", "decimal(14,2)"),
+                   ("REASONCODE", "string"), ("REASONDESCRIPTION", "string")],
+    "observations": [("DATE", "timestamp_ntz"), ("PATIENT", "string"), ("ENCOUNTER", "string"),
+                     ("CATEGORY", "string"), ("CODE", "string"), ("DESCRIPTION", "string"),
+                     ("VALUE", "string"), ("UNITS", "string"), ("TYPE", "string"),
+                     ("VALUE_NUM", "double")],
+}
+CORE_TYPES = {
+    "patients": [("patient_id", "string"), ("birth_date", "date"), ("death_date", "date"),
+                 ("gender", "string"), ("race", "string"), ("ethnicity", "string"),
+                 ("marital_status", "string"), ("state", "string"), ("county", "string"),
+                 ("fips", "string"), ("zip3", "string"), ("geo_known", "boolean"),
+                 ("healthcare_expenses", "decimal(14,2)"), ("healthcare_coverage", "decimal(14,2)"),
+                 ("income", "int")],
+    "encounters": ENCOUNTER_TYPES,
+    "conditions": [("start_date", "date"), ("stop_date", "date"), ("patient_id", "string"),
+                   ("encounter_id", "string"), ("code_system", "string"),
+                   ("condition_code", "string"), ("description", "string"),
+                   ("is_disorder", "boolean")],
+    "procedures": [("start_ts", "timestamp_ntz"), ("stop_ts", "timestamp_ntz"),
+                   ("patient_id", "string"), ("encounter_id", "string"), ("code_system", "string"),
+                   ("procedure_code", "string"), ("description", "string"),
+                   ("base_cost", "decimal(14,2)"), ("reason_code", "string"),
+                   ("reason_description", "string"), ("is_chemotherapy", "boolean")],
 }
 
 
@@ -833,6 +882,55 @@ def _template_sql() -> str:
 SQL["ordered_array_agg"] = O.with_models(_template_sql())
 
 
+@q("column_inventory")
+def column_inventory(spark, sf):
+    """Raw and core columns of each table side by side, with the NULLs
+    counted in either."""
+    m = models(spark, sf)
+
+    def nulls(df, side):
+        counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
+        cols = ", ".join(f"{i + 1}, '{c}', '{t}', n{i}" for i, (c, t) in enumerate(df.dtypes))
+        return counts.selectExpr(f"stack({len(df.columns)}, {cols}) AS "
+                                 f"(ordinal, {side}_column, {side}_type, {side}_nulls)")
+    parts = [nulls(m.source(t), "raw").join(nulls(m.ref(t), "core"), "ordinal", "full")
+             .withColumn("table_name", F.lit(t)) for t in CORE_TYPES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _inventory_sql() -> str:
+    def side(table, cols, name):
+        return "(" + " UNION ALL ".join(
+            f"SELECT {i + 1} AS ordinal, '{c}' AS {name}_column, '{t}' AS {name}_type, "
+            f"count(*) FILTER (\"{c}\" IS NULL) AS {name}_nulls FROM {table}"
+            for i, (c, t) in enumerate(cols)) + ")"
+    return " UNION ALL ".join(
+        f"SELECT *, '{t}' AS table_name FROM {side('raw_' + t, RAW_TYPES[t], 'raw')} r "
+        f"FULL JOIN {side(t, CORE_TYPES[t], 'core')} c USING (ordinal)" for t in CORE_TYPES)
+
+
+SQL["column_inventory"] = O.with_models(_inventory_sql())
+
+
+@q("patient_stay_trace")
+def patient_stay_trace(spark, sf):
+    """Stay by stay, one patient (the one with most stays, the smallest
+    id among equals): gap to what came before, type and episode."""
+    s = _labelled(models(spark, sf))
+    top = (s.groupBy("patient_id").agg(cnt().alias("n")).orderBy(F.desc("n"), "patient_id").limit(1)
+           .select(F.col("patient_id").alias("p")))
+    return (s.join(F.broadcast(top), F.col("patient_id") == F.col("p"))  # one row
+            .select("patient_id", "encounter_id", "admitted_at", "discharged_at", "prev_max_discharge",
+                    "gap_days", stay_type().alias("stay_type"), "new_episode", "episode_number"))
+
+
+SQL["patient_stay_trace"] = O.with_models(
+    "SELECT patient_id, encounter_id, admitted_at, discharged_at, prev_max_discharge, "
+    "CAST(date_diff('day', prev_max_discharge, admitted_at) AS INTEGER) AS gap_days, "
+    f"{STAY_TYPE} AS stay_type, new_episode, episode_number FROM stays_numbered WHERE patient_id = "
+    "(SELECT patient_id FROM stays_numbered GROUP BY patient_id ORDER BY COUNT(*) DESC, patient_id LIMIT 1)")
+
+
 # --- samples (S10, O4, O5) ---------------------------------------------------------
 
 SAMPLE_HEAD = 200_000

@@ -9,6 +9,7 @@ scan's parallelism, and file sizes follow the input splits.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
@@ -91,6 +92,28 @@ def load_by_name(target: DataFrame | None, incoming: DataFrame,
     return align_to(target, target_columns).unionByName(aligned, allowMissingColumns=True)
 
 
+def append_by_name(spark: SparkSession, src: str, dst: str,
+                   target_columns: list[tuple[str, str]]) -> DataFrame:
+    """S7 as a running load: append the Parquet files under ``src`` to the
+    dataset at ``dst`` by column name. A value that does not fit the target's
+    type aborts the load before anything is committed (ANSI casts). Returns
+    the report: rows_before, rows_parsed, rows_loaded, status."""
+    def rows() -> int:
+        try:
+            return spark.read.parquet(dst).count()
+        except AnalysisException:  # no target yet
+            return 0
+
+    before = rows()
+    incoming = spark.read.parquet(src)
+    aligned = align_to(incoming, target_columns)
+    aligned.write.mode("append").parquet(dst)
+    parsed, loaded = incoming.count(), rows() - before
+    return spark.createDataFrame(
+        [(before, parsed, loaded, "LOADED" if parsed == loaded else "PARTIALLY_LOADED")],
+        "rows_before long, rows_parsed long, rows_loaded long, status string")
+
+
 def load_report(incoming: DataFrame, loaded: DataFrame, file_col: str = "file") -> DataFrame:
     """Rows parsed vs rows loaded per input file."""
     parsed = incoming.groupBy(F.col("_metadata.file_path").alias(file_col)).agg(

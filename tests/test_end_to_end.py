@@ -83,3 +83,30 @@ def test_pipeline_runs_end_to_end(spark, sf_small, tmp_path):
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
+
+
+def test_append_by_name_aborts_on_a_bad_value(spark, tmp_path):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    cols = [("Id", "string"), ("N", "int")]
+    spark.createDataFrame([("1", "a"), ("2", "b")], "n string, id string").write.parquet(src)
+    assert I.append_by_name(spark, src, dst, cols).first().asDict() == {
+        "rows_before": 0, "rows_parsed": 2, "rows_loaded": 2, "status": "LOADED"}
+    spark.createDataFrame([("x", "c")], "n string, id string").write.mode("overwrite").parquet(src)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        I.append_by_name(spark, src, dst, cols)
+    assert spark.read.parquet(dst).count() == 2
+
+
+def test_lookup_of_a_given_encounter_is_pushed_down(spark, sf_small, tmp_path):
+    from stayline.plans.models import Models
+    from stayline.plans.q_profile import encounter_by_id
+
+    driver = Models.from_driver(spark, sf_small)
+    path = str(tmp_path / "encounters")
+    driver.source("encounters").write.parquet(path)
+    m = Models(lambda t: spark.read.parquet(path))
+    some = driver.encounters.select(F.max("encounter_id")).first()[0]
+    got = encounter_by_id(m, some)
+    assert [r.encounter_id for r in got.collect()] == [some]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(Id,{some})" in plan
