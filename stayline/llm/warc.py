@@ -122,10 +122,12 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT, least_by
     row = ["sha", "n", "pid", "uk"]
     small = pages.select(F.col("page_id").alias("pid"), sha.alias("sha"), F.length(html).alias("n"),
                          F.xxhash64("url").alias("uk")).groupBy(*row).agg(F.count(F.lit(1)).alias("c"))
-    # equal payloads: the largest page_id stays; one row per payload seen twice
-    keep = (small.groupBy("sha", "n").agg(F.max(F.struct("pid", "uk")).alias("top"), F.sum("c").alias("times"),
-                                          F.max("c").alias("most"))
-            .where("times > 1").select(F.col("sha").alias("k_sha"), "top", "most"))
+    # equal payloads: the largest page_id stays; one row per payload seen
+    # twice. Written first, so that the planner knows its size: where few
+    # payloads repeat, the pages themselves need not move
+    keep = staged(small.groupBy("sha", "n").agg(F.max(F.struct("pid", "uk")).alias("top"), F.sum("c").alias("times"),
+                                                F.max("c").alias("most"))
+                  .where("times > 1").select(F.col("sha").alias("k_sha"), "top", "most"), "warc-repeated")
     uid = lambda *c: F.md5(F.concat_ws("/", *[x.cast("string") for x in c]))
     d = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("page_id").alias("pid"), "url", "html",
                      sha.alias("sha"), F.length(html).alias("n"), F.xxhash64("url").alias("uk"))
