@@ -50,7 +50,7 @@ def test_columns_and_whole_tables(spark, sf_small, con, key):
     assert COLUMNS[key].items() <= types.items()
     if key != "op6_hnsw_search":
         table = {"op4_warc_segments": "pages", "op8_embedding_dedup": "embeddings"}.get(key, "documents")
-        assert df.count() == con.sql(f"SELECT count(*) FROM {table}").fetchone()[0]
+        assert df.count() == con.sql(f"SELECT count(*) FROM {table}").fetchall()[0][0]
 
 
 @pytest.mark.parametrize("key,mod,rest", [("op1_toxicity", 4, 2), ("op10_language_mixture", 3, 1)])
