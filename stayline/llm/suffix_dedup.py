@@ -87,23 +87,26 @@ def anchors(raw: list[bytes], length: int, gram: int):
 
 
 def _grams(length: int, gram: int):
-    """Per text: hashes of its anchors' grams, and one gram's bytes as a sample."""
+    """Per text: hashes of its anchors' grams with their counts (a line that is
+    repeated inside a text is one row), and one gram's bytes as a sample."""
     def run(batches):
         for pdf in batches:
             raw = tb.encode(pdf["text"])
             for lo, hi in tb.chunks([len(r) for r in raw]):
                 text, at, _, _, g, _ = anchors(raw[lo:hi], length, gram)
                 cut = np.searchsorted(text, np.arange(hi - lo + 1))
-                hs, sample = [], []
+                hs, times, sample = [], [], []
                 for i in range(hi - lo):
                     h = g[cut[i]:cut[i + 1]]
-                    hs.append(h.view(np.int64))
+                    kinds, n = np.unique(h.view(np.int64), return_counts=True)
+                    hs.append(kinds)
+                    times.append(n.astype(np.int32))
                     p = at[cut[i] + int(np.argmin(tb.mix64(h)))] if len(h) else 0
                     sample.append(raw[lo + i][p:p + gram] if len(h) else None)
                 yield pd.DataFrame({"tk": pdf["tk"].iloc[lo:hi].to_numpy(),
                                     "n_bytes": [len(r) for r in raw[lo:hi]],
                                     "sha": [hashlib.sha256(r).hexdigest() for r in raw[lo:hi]],
-                                    "h": hs, "sample": sample,
+                                    "h": hs, "times": times, "sample": sample,
                                     "doc_id": pdf["doc_id"].iloc[lo:hi].to_numpy()})
     return run
 
@@ -374,13 +377,14 @@ def repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, hot: int = HOT
                       F.xxhash64("text").alias("tk0"), F.xxhash64(F.lit(7), "text").alias("tk1"))
     src = src.select("doc_id", "text", F.concat(F.hex("tk0"), F.hex("tk1")).alias("tk"))
     id_type = docs.schema["doc_id"].dataType
-    rows = staged(src.mapInPandas(_grams(length, gram), "tk string, n_bytes long, sha string, h array<long>, "
+    rows = staged(src.mapInPandas(_grams(length, gram), "tk string, n_bytes long, sha string, h array<long>, times array<int>, "
                                   "sample binary, doc_id string")
                   .withColumn("doc_id", F.col("doc_id").cast(id_type)), "suffix-grams")
     each = rows.groupBy("tk").agg(F.count(F.lit(1)).alias("mult"))
-    gram_rows = rows.select("tk", F.explode("h").alias("h"))
-    dup = gram_rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    need = staged(gram_rows.join(dup, "h", "left_semi").groupBy("tk").agg(F.collect_set("h").alias("hs"))
+    gram_rows = rows.select("tk", F.inline(F.arrays_zip("h", "times")))
+    dup = staged(gram_rows.groupBy("h").agg(F.sum("times").alias("n")).where("n > 1").select("h"), "suffix-twice")
+    need = staged(gram_rows.select("tk", "h").join(dup, "h", "left_semi").groupBy("tk")
+                  .agg(F.collect_set("h").alias("hs"))
                   .join(each, "tk"), "suffix-need")
     texts = _bucketed(src.select("tk", "text").join(need.select("tk"), "tk", "left_semi")
                       .groupBy("tk").agg(F.first("text").alias("text")), "tk")
