@@ -51,6 +51,11 @@ def op7_license_scan(spark, sf_dir):
     return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op7_license_grants(spark, sf_dir):
+    """License phrases, and grants by the words that tell licenses apart."""
+    return license_scan.digest(license_scan.grants(table(spark, sf_dir, "documents")))
+
+
 def op8_embedding_dedup(spark, sf_dir):
     """Cosine 0.9, all rows of the table."""
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
@@ -77,6 +82,7 @@ Q = {
     "op5_mix_sources": op5_mix_sources,
     "op6_hnsw_search": op6_hnsw_search,
     "op7_license_scan": op7_license_scan,
+    "op7_license_grants": op7_license_grants,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op10_language_mixture": op10_language_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,
