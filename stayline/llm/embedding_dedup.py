@@ -133,7 +133,8 @@ def linked(classes: DataFrame, threshold: float = 0.9, tile: int = TILE) -> Data
                    for d, v in zip(pdf["dim"], pdf["v"])]
             yield pdf.assign(cell=out)
     c = staged(classes.select("cid", "dim", "v", "copies").mapInPandas(
-        cells, "cid long, dim int, v array<float>, copies long, cell int"), "vector-cells")
+        cells, f"cid long, dim int, v {classes.schema['v'].dataType.simpleString()}, copies long, cell int"),
+        "vector-cells")
     # at most 2 / width + 2 cells per vector length
     sizes = {(r["dim"], r["cell"]): r["n"] for r in c.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:

@@ -55,3 +55,13 @@ def test_matches_brute_force(spark, seed, dim, threshold, tile):
 def test_empty_table(spark):
     t = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert E.near_duplicates(t).count() == 0
+
+
+def test_double_vectors_are_decided_in_double(spark):
+    # cosines of 0.9 +- 1e-10 with (1, 0), which single precision cannot tell apart
+    rows = [(0, [1.0, 0.0])]
+    for i, c in enumerate((0.9 + 1e-10, 0.9 - 1e-10), 1):
+        rows.append((i, [c, float(np.sqrt(1 - c * c)) * (1 if i == 1 else -1)]))
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in E.near_duplicates(t, 0.9).collect())
+    assert got == [(0, 1, 0), (1, 1, 0), (2, 0, 2)]
