@@ -7,9 +7,10 @@ node is linked to near earlier ones that are nearer to it than to each other,
 and links are mutual up to a fixed degree. A node reaches layer l with
 probability ``DEGREE`` ** -l. A layer is one flat array of neighbour numbers
 with a fixed row length (-1: none), so an index row is a few plain arrays.
-Queries go in blocks to every shard: greedy descent through the layers, then a
-beam of ``beam`` nodes on the lowest, all queries of a block in lockstep. The
-shards' best are merged and ranked by exact double-precision distance.
+The index moves once; queries go to every shard and are read as a stream, in
+blocks: greedy descent through the layers, then a beam of ``beam`` nodes on the
+lowest, all queries of a block in lockstep. The shards' best are merged and
+ranked by exact double-precision distance.
 
 Copies of a vector are one node; the merge gives each its smallest ids back.
 
@@ -172,25 +173,34 @@ def _build(degree: int):
     return run
 
 
-def _search(k: int, degree: int, beam: int):
-    def run(index: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "cid": [], "score": []}).astype(
-            {"query_id": "int64", "cid": "int64", "score": "float64"})
-        if len(index) == 0 or len(block) == 0:
-            return empty
-        x = index.iloc[0]
-        v = np.asarray(x["v"], np.float64).reshape(-1, int(x["dim"]))
-        q = np.stack(block["v"].to_numpy()).astype(np.float64)
-        found, _ = search(v, list(x["nodes"]), np.asarray(x["links"]), degree, q, max(beam, k))
+def _search(k: int, degree: int, beam: int, block: int):
+    def answer(x, part: pd.DataFrame) -> pd.DataFrame:
+        cid, v, nodes, flat = x
+        q = np.stack(part["v"].to_numpy()).astype(np.float64)
+        found, _ = search(v, nodes, flat, degree, q, max(beam, k))
         i, r = np.nonzero(found >= 0)
         at = found[i, r]
         # exact distances on the original vectors
         d = np.sqrt(((v[at] - q[i]) ** 2).sum(axis=1))
-        out = pd.DataFrame({"query_id": block["query_id"].to_numpy()[i], "cid": np.asarray(x["cid"])[at], "score": d})
+        out = pd.DataFrame({"query_id": part["query_id"].to_numpy()[i], "cid": cid[at], "score": d})
         out = out.sort_values(["query_id", "score"], kind="stable")
         # ties with the last place stay: the merge ranks them by id
         last = out.groupby("query_id")["score"].transform(lambda s: s.iloc[min(k, len(s)) - 1])
         return out[out["score"] <= last]
+
+    def run(batches):
+        x = None
+        for pdf in batches:
+            # an index row comes before the queries of its shard
+            starts = np.flatnonzero(~pdf["is_query"].to_numpy().astype(bool)).tolist()
+            for lo, hi in zip([0, *starts], [*starts, len(pdf)]):
+                if lo in starts and hi > lo:
+                    r = pdf.iloc[lo]
+                    x = (np.asarray(r["cid"]), np.asarray(r["v"], np.float64).reshape(-1, int(r["dim"])),
+                         list(r["nodes"]), np.asarray(r["links"]))
+                    lo += 1
+                for at in range(lo, hi, block):
+                    yield answer(x, pdf.iloc[at:min(at + block, hi)])
     return run
 
 
@@ -216,13 +226,16 @@ def nearest(table: DataFrame, is_query, k: int = 10, shard_rows: int = SHARD_ROW
     queries = (rows.where(is_query).select(F.col("vec_id").alias("query_id"), "cid").distinct()
                .join(classes.select("cid", "dim", "v"), "cid"))
     # two rows of one vec_id and different vectors are two searches merged
-    blocks = max(1, ceil(queries.count() / BLOCK))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    asked = (queries.select("query_id", F.col("dim").alias("d"), "v", F.col("block").alias("q_block"))
-             .join(shards, F.col("d") == F.col("q_dim")).select("query_id", "v", "q_dim", "q_shard", "q_block"))
-    spread_index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = (spread_index.groupBy("dim", "shard", "block").cogroup(asked.groupBy("q_dim", "q_shard", "q_block"))
-             .applyInPandas(_search(k + 1, degree, beam), "query_id long, cid long, score double"))
+    asked = (queries.select("query_id", F.col("dim").alias("d"), "v").join(shards, F.col("d") == F.col("q_dim"))
+             .select(F.col("q_dim").alias("dim"), F.col("q_shard").alias("shard"), F.lit(True).alias("is_query"),
+                     F.col("query_id").cast("long").alias("query_id"), F.col("v").cast("array<double>").alias("v"),
+                     *[F.lit(None).cast(index.schema[c].dataType).alias(c) for c in ("cid", "nodes", "links")]))
+    # the index moves once, its row before the queries of its shard
+    kept = index.select("dim", "shard", F.lit(False).alias("is_query"), F.lit(0).cast("long").alias("query_id"),
+                        "v", "cid", "nodes", "links")
+    found = (kept.unionByName(asked).repartition(max(1, index.count()), "dim", "shard")
+             .sortWithinPartitions("dim", "shard", "is_query")
+             .mapInPandas(_search(k + 1, degree, beam, BLOCK), "query_id long, cid long, score double"))
     # k + 1 ids of a class are enough: one may be the query itself
     by_id = Window.partitionBy("cid").orderBy("vec_id")
     ids = rows.withColumn("i", F.row_number().over(by_id)).where(F.col("i") <= k + 1).select("cid", "vec_id")

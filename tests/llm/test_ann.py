@@ -61,3 +61,22 @@ def test_recall_on_the_table(spark, sf):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     hit = sum(len(got[q] & {i for _, i in near}) for q, near in want.items())
     assert hit >= 0.9 * sum(map(len, want.values()))
+
+
+def test_index_moves_once_whatever_the_number_of_queries(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i + 2 ** 60, [float(x) for x in rng.normal(size=8 if i % 3 else 5)]) for i in range(400)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+
+    def near():
+        df = ann.nearest(t, F.col("vec_id") % 4 == 0, k=5, shard_rows=60)
+        return df, sorted(map(tuple, df.collect()))
+    _, want = near()
+    monkeypatch.setattr(ann, "BLOCK", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df, got = near()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want and len({r[0] for r in got}) == 100
+    assert "explode" not in df._jdf.queryExecution().optimizedPlan().toString()
