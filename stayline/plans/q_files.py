@@ -188,10 +188,22 @@ def build_landing(spark, sf) -> str:
     return root
 
 
-def summarize(verdicts: DataFrame) -> DataFrame:
+def landed_keys(spark, root: str) -> DataFrame:
+    """(key, landed) of the files the gate must judge, from the listing."""
+    keys = G.listing(spark, root).select(G._rel_key(F.col("path"), root).alias("key"))
+    return keys.where(~F.startswith("key", F.lit(G.QUARANTINE))).distinct().withColumn("landed", F.lit(True))
+
+
+def summarize(verdicts: DataFrame, files: DataFrame) -> DataFrame:
     """Distinct verdicts per table key (how many part files a table landed in
-    depends on the cluster, so they are not counted)."""
-    return verdicts.select(F.split("key", "/").getItem(0).alias("table_key"), "status", "reason").distinct()
+    depends on the cluster, so they are not counted). A landed file without a
+    verdict gives its table a LOST row, one judged twice a REPEATED row."""
+    v = verdicts.groupBy("key", "status", "reason").agg(F.count(F.lit(1)).alias("n"))
+    v = v.join(files, "key", "full_outer")
+    status = F.when(F.col("n").isNull(), "LOST").when(F.col("landed") & (F.col("n") > 1), "REPEATED")
+    return v.select(F.split("key", "/").getItem(0).alias("table_key"),
+                    F.coalesce(status, "status").alias("status"),
+                    F.coalesce("reason", F.lit("landed without a verdict")).alias("reason")).distinct()
 
 
 def _verdict_sql(missing: list[str]) -> str:
@@ -210,7 +222,7 @@ def file_gate(spark, sf):
     """Verdict per landed file, summarised per
     table key."""
     root = build_landing(spark, sf)
-    return summarize(G.gate_batch(spark, root, expected=list(REQUIRED_COLUMNS)))
+    return summarize(G.gate_batch(spark, root, expected=list(REQUIRED_COLUMNS)), landed_keys(spark, root))
 
 
 SQL["file_gate"] = _verdict_sql(["conditions.csv", "medications.csv"])
@@ -223,7 +235,7 @@ def file_gate_stream(spark, sf):
     work = scratch_dir(spark, "gate-stream")
     G.gate_stream(spark, root, f"{work}/audit", f"{work}/_checkpoint")
     G.gate_stream(spark, root, f"{work}/audit", f"{work}/_checkpoint")  # nothing new
-    return summarize(spark.read.parquet(f"{work}/audit"))
+    return summarize(spark.read.parquet(f"{work}/audit"), landed_keys(spark, root))
 
 
 SQL["file_gate_stream"] = _verdict_sql([])

@@ -130,3 +130,17 @@ def test_missing_tables_of_a_stream(spark, tmp_path):
     G.gate_stream(spark, root, work + "/audit", work + "/ckpt")
     gone = G.missing_tables(spark.read.parquet(work + "/audit"), list(G.REQUIRED_COLUMNS))
     assert sorted(r["key"] for r in gone.collect()) == sorted(set(G.REQUIRED_COLUMNS) - {"encounters.csv"})
+
+
+def test_summary_shows_a_lost_or_repeated_part_file(spark):
+    from stayline.plans.q_files import summarize
+    cols = "key string, table_key string, status string, reason string"
+    v = [(f"a.csv/part-{i}", "a.csv", "ACCEPTED", "ok") for i in range(3)] + [("b.csv", "b.csv", "REJECTED", "absent")]
+    files = spark.createDataFrame([(f"a.csv/part-{i}", True) for i in range(3)], "key string, landed boolean")
+
+    def rows(judged):
+        return sorted(map(tuple, summarize(spark.createDataFrame(judged, cols), files).collect()))
+    whole = [("a.csv", "ACCEPTED", "ok"), ("b.csv", "REJECTED", "absent")]
+    assert rows(v) == whole
+    assert rows(v[1:]) == [whole[0], ("a.csv", "LOST", "landed without a verdict"), whole[1]]
+    assert rows([v[0], *v]) == [whole[0], ("a.csv", "REPEATED", "ok"), whole[1]]
