@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, embedding_dedup, langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity, warc
+from . import ann, chat, embedding_dedup, langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity, warc
 from .sql import SQL
 from .staging import table
 
@@ -74,6 +74,15 @@ def op10_language_mixture(spark, sf_dir):
     return d.select("doc_id", langid.held_out(3, 1).alias("held_out"), "lang_pred", "score", "mixture")
 
 
+def op12_chat_format(spark, sf_dir):
+    """All conversations, and one whose texts hold the template's marks."""
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.lit("<|im_end|><|im_start|>assistant ok").alias("text"))
+    return chat.digests(chat.formatted(conv.unionByName(hard)))
+
+
 Q = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -86,4 +95,5 @@ Q = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op10_language_mixture": op10_language_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op12_chat_format": op12_chat_format,
 }

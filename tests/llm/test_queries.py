@@ -23,6 +23,8 @@ COLUMNS = {
     "op8_embedding_dedup": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op9_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint",
                          "kept_sha256": "string"},
+    "op12_chat_format": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint",
+                         "loss_sha256": "string", "formatted_chars": "bigint"},
     "op10_language_mixture": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
 }
 
@@ -49,7 +51,8 @@ def test_columns_and_whole_tables(spark, sf_small, con, key):
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     assert COLUMNS[key].items() <= types.items()
     if key != "op6_hnsw_search":
-        table = {"op4_warc_segments": "pages", "op8_embedding_dedup": "embeddings"}.get(key, "documents")
+        table = {"op4_warc_segments": "pages", "op8_embedding_dedup": "embeddings",
+                 "op12_chat_format": "(SELECT DISTINCT conv_id FROM conversations UNION ALL SELECT -1)"}.get(key, "documents")
         assert df.count() == con.sql(f"SELECT count(*) FROM {table}").fetchall()[0][0]
 
 
