@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, chat, embedding_dedup, langid, license_scan, minhash_dedup, mixing, packing, suffix_dedup, toxicity, warc
+from . import (ann, chat, embedding_dedup, langid, license_scan, merkle, minhash_dedup, mixing, packing, suffix_dedup,
+               toxicity, warc)
 from .sql import SQL
 from .staging import table
 
@@ -83,6 +84,13 @@ def op12_chat_format(spark, sf_dir):
     return chat.digests(chat.formatted(conv.unionByName(hard)))
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    """All documents as leaves; where 5 divides crc32(doc_id), the text is lower-cased before the check."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return merkle.verified(table(spark, sf_dir, "documents"), langid.held_out(5, 0),
+                           {"text": F.translate("text", upper, lower)})
+
+
 Q = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -96,4 +104,5 @@ Q = {
     "op10_language_mixture": op10_language_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op12_chat_format": op12_chat_format,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

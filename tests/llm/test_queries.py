@@ -25,6 +25,8 @@ COLUMNS = {
                          "kept_sha256": "string"},
     "op12_chat_format": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint",
                          "loss_sha256": "string", "formatted_chars": "bigint"},
+    "op13_merkle_manifest": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string",
+                             "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
     "op10_language_mixture": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
 }
 
