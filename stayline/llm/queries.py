@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (ann, chat, embedding_dedup, langid, license_scan, merkle, minhash_dedup, mixing, packing, suffix_dedup,
-               toxicity, warc)
+from . import (ann, chat, embedding_dedup, langid, license_scan, merkle, minhash_dedup, mixing, packing, periodic,
+               suffix_dedup, toxicity, warc)
 from .sql import SQL
 from .staging import table
 
@@ -75,6 +75,11 @@ def op10_language_mixture(spark, sf_dir):
     return d.select("doc_id", langid.held_out(3, 1).alias("held_out"), "lang_pred", "score", "mixture")
 
 
+def op11_periodic_runs(spark, sf_dir):
+    """All runs of all whole texts, a tenth of which is made periodic."""
+    return periodic.digests(periodic.periodic(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
 def op12_chat_format(spark, sf_dir):
     """All conversations, and one whose texts hold the template's marks."""
     conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -103,6 +108,7 @@ Q = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op10_language_mixture": op10_language_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_chat_format": op12_chat_format,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -23,6 +23,8 @@ COLUMNS = {
     "op8_embedding_dedup": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op9_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint",
                          "kept_sha256": "string"},
+    "op11_periodic_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint",
+                           "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
     "op12_chat_format": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint",
                          "loss_sha256": "string", "formatted_chars": "bigint"},
     "op13_merkle_manifest": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string",
