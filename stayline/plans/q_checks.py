@@ -126,8 +126,8 @@ def prior_mismatches(m) -> DataFrame:
                  [("earlier", "e", "count_before")])
     j = f.select("episode_id", "prior_episodes").join(
         hits.select("episode_id", F.coalesce("earlier", F.lit(0)).cast("bigint")
-                    .alias("earlier_episodes_counted")), "episode_id", "left")
-    return j.filter(F.coalesce(F.col("earlier_episodes_counted"), F.lit(0)) != F.col("prior_episodes"))
+                    .alias("recounted")), "episode_id", "left")
+    return j.filter(F.coalesce(F.col("recounted"), F.lit(0)) != F.col("prior_episodes"))
 
 
 def row_count_checks(m, expected: int | None = None) -> DataFrame:
@@ -241,29 +241,27 @@ def _sql_rel() -> str:
         f"WHERE pa.{pc} = ch.{c})" for t, c, pt, pc in RELATIONSHIPS)
 
 
+#: rows that break a rule, each said in another way than the checks above
 SINGULAR_SQL = {
     "encounters_no_negative_stay":
-        "SELECT encounter_id FROM encounters WHERE length_of_stay_hours < 0",
-    "episodes_planned_unplanned_split":
-        "SELECT episode_id FROM inpatient_episodes WHERE (readmitted_30d <> "
-        "(is_planned_readmission OR unplanned_readmitted_30d)) OR "
-        "(is_planned_readmission AND unplanned_readmitted_30d)",
+        "SELECT encounter_id FROM encounters "
+        "WHERE date_trunc('minute', stop_ts) < date_trunc('minute', start_ts)",
+    "episodes_planned_unplanned_split":  # a readmission is of one kind, no readmission of none
+        "SELECT episode_id FROM inpatient_episodes WHERE CAST(readmitted_30d AS INTEGER) <> "
+        "CAST(is_planned_readmission AS INTEGER) + CAST(unplanned_readmitted_30d AS INTEGER)",
     "episodes_readmission_window":
-        "SELECT episode_id FROM inpatient_episodes WHERE readmitted_30d = TRUE "
-        "AND days_to_next_admission NOT BETWEEN 1 AND 30",
+        "SELECT episode_id FROM inpatient_episodes WHERE readmitted_30d AND "
+        "(days_to_next_admission > 30 OR days_to_next_admission < 1)",
     "patients_geo_consistency":
-        "SELECT patient_id FROM patients WHERE (zip3 IS NULL AND geo_known = TRUE) "
-        "OR (zip3 IS NOT NULL AND geo_known = FALSE)",
+        "SELECT patient_id FROM patients WHERE geo_known = (zip3 IS NULL)",
     "features_365d_within_all_time":
-        "SELECT * FROM episode_features WHERE prior_episodes_365d > prior_episodes",
+        "SELECT episode_id FROM episode_features WHERE prior_episodes - prior_episodes_365d < 0",
     "features_prior_episodes_match":
-        "SELECT f.episode_id, f.prior_episodes, COUNT(i.episode_id) AS earlier_episodes_counted "
-        "FROM episode_features f LEFT JOIN inpatient_episodes i ON i.patient_id = f.patient_id "
-        "AND i.admitted_at < f.admitted_at GROUP BY f.episode_id, f.prior_episodes "
-        "HAVING COUNT(i.episode_id) <> f.prior_episodes",
+        "SELECT episode_id FROM episode_features f WHERE prior_episodes <> (SELECT count(*) "
+        "FROM span s WHERE s.patient_id = f.patient_id AND s.admitted_at < f.admitted_at)",
     "features_valid_ranges":
-        "SELECT episode_id FROM episode_features WHERE (age_at_admission < 0 OR "
-        "age_at_admission > 120) OR length_of_stay_days < 0 OR prior_episodes < 0",
+        "SELECT episode_id FROM episode_features WHERE NOT (age_at_admission BETWEEN 0 AND 120 "
+        "AND least(length_of_stay_days, prior_episodes) >= 0)",
 }
 
 SQL_ROW_COUNT = (

@@ -103,7 +103,7 @@ def gaps_and_islands_merge(spark, sf):
 
 
 SQL["gaps_and_islands_merge"] = O.with_models(
-    "SELECT patient_id, episode_number, admitted_at, discharged_at, stay_in_episode FROM ie_span")
+    "SELECT patient_id, episode_number, admitted_at, discharged_at, stay_in_episode FROM span")
 
 
 @q("lead_next_admission")
@@ -165,7 +165,7 @@ def exists_hospice(spark, sf):
 
 
 SQL["exists_hospice"] = O.with_models(
-    "SELECT patient_id, episode_number, discharged_at, discharged_to_hospice FROM ie_hospice")
+    "SELECT patient_id, episode_number, discharged_at, discharged_to_hospice FROM inpatient_episodes")
 
 
 @q("exists_chemotherapy")
@@ -178,7 +178,7 @@ def exists_chemotherapy(spark, sf):
 
 
 SQL["exists_chemotherapy"] = O.with_models(
-    "SELECT patient_id, episode_number, admitted_at, discharged_at, has_chemotherapy FROM ie_chemo")
+    "SELECT patient_id, episode_number, admitted_at, discharged_at, has_chemotherapy FROM inpatient_episodes")
 
 
 @q("prior_episodes_365d")
@@ -213,7 +213,7 @@ def active_disorders_at_discharge(spark, sf):
 
 
 SQL["active_disorders_at_discharge"] = O.with_models(
-    "SELECT episode_id, active_disorders_at_discharge FROM ef_cond")
+    "SELECT episode_id, active_disorders_at_discharge FROM episode_features")
 
 
 # --- scalar functions and predicates ---------------------------------------------

@@ -64,7 +64,7 @@ def spans_with_next(m) -> DataFrame:
 
 
 SQL_SPANS_NEXT = ("spans_next AS (SELECT *, LEAD(admitted_at) OVER (PARTITION BY patient_id "
-                  "ORDER BY admitted_at, episode_number) AS next_admitted_at FROM ie_span)")
+                  "ORDER BY admitted_at, episode_number) AS next_admitted_at FROM span)")
 
 
 # --- raw-layer checks (V1-V4) -------------------------------------------------
@@ -232,12 +232,8 @@ def _exclusions(m) -> DataFrame:
 
 
 SQL_EXCL = (
-    "excl AS (SELECT e.*, p.death_date, (p.death_date IS NOT NULL AND p.death_date <= "
-    "CAST(e.discharged_at + INTERVAL 1 DAY AS DATE)) AS died_in_episode, "
-    "EXISTS (SELECT 1 FROM encounters h WHERE h.patient_id = e.patient_id "
-    "AND h.encounter_class = 'hospice' AND h.start_ts BETWEEN e.discharged_at "
-    "AND e.discharged_at + INTERVAL 1 DAY) AS to_hospice "
-    "FROM ie_span e JOIN patients p ON p.patient_id = e.patient_id)")
+    "excl AS (SELECT c.*, p.death_date, coalesce(p.death_date <= c.last_day + 1, false) AS died_in_episode, "
+    "c.discharged_to_hospice AS to_hospice FROM course c JOIN patients p USING (patient_id))")
 
 
 @q("exclusion_counts")
@@ -292,7 +288,7 @@ def label_funnel(spark, sf):
 SQL["label_funnel"] = O.with_models(
     "SELECT s.inpatient_stays, a.*, "
     f"{sql_pct('a.readmitted_eligible', 'a.eligible')} AS rate_pct FROM "
-    "(SELECT CAST(COUNT(*) AS BIGINT) AS inpatient_stays FROM ie_stay) s, "
+    "(SELECT CAST(COUNT(*) AS BIGINT) AS inpatient_stays FROM stay) s, "
     "(SELECT CAST(COUNT(*) AS BIGINT) AS episodes, "
     f"{sql_cif('died_in_episode')} AS died_in_episode, "
     f"{sql_cif('death_before_admission')} AS death_before_admission, "
@@ -1006,4 +1002,4 @@ SQL["patient_stay_array"] = O.with_models(
     "string_agg(concat_ws('|', CAST(admitted_at AS VARCHAR), CAST(discharged_at AS VARCHAR), "
     "encounter_id), ';' ORDER BY admitted_at NULLS FIRST, discharged_at NULLS FIRST, "
     "encounter_id NULLS FIRST) AS stays "
-    "FROM ie_stay GROUP BY patient_id, CAST(admitted_at AS DATE)")
+    "FROM stay GROUP BY patient_id, CAST(admitted_at AS DATE)")
