@@ -23,7 +23,7 @@ def number_islands(df: DataFrame, key: str, start: str, end: str, tiebreak: str,
     of those flags; ``seq`` the row's position within the key.
     """
     order = asc(start, end, tiebreak)
-    p = prepare(df, [key], start)
+    p = prepare(df, [key])
     # both scans see the same rows per key: one size probe decides for both;
     # with small keys the two windows share one exchange and nothing is
     # materialised in between
@@ -58,7 +58,7 @@ def island_events(df: DataFrame, keys: list[str], start: str, stop: str,
     d = (df.filter(F.col(start).isNotNull()
                    & (F.col(stop).isNull() | (F.col(stop) >= F.col(start))))
          .select(*keys, F.col(start).alias("s"), F.coalesce(F.col(stop), open_end).alias("e")))
-    p = prepare(d, keys, "s")
+    p = prepare(d, keys)
     s1 = finish(scan(p, asc("s", "e"), [Spec("prev_e", "max", "e", "before")],
                      materialize=plain is not True, plain=plain, by=keys))
     opens = s1.filter(F.col("prev_e").isNull() | (F.col("s") > F.col("prev_e")))
@@ -85,7 +85,7 @@ def count_covering(events: DataFrame, key: str, queries: DataFrame, q_day: Colum
     q = queries.select(F.col(key), q_day.alias("day"), F.lit(1).alias("__k"),
                        F.lit(0).alias("delta"), *[F.col(c) for c in id_cols])
     u = ev.unionByName(q)
-    p = prepare(u, [key], "day")
+    p = prepare(u, [key])
     s = finish(scan(p, asc("day", "__k"), [Spec("__run", "sum", "delta", "upto")]))
     return s.filter(F.col("__k") == 1).select(
         F.col(key), *id_cols,

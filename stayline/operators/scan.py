@@ -5,9 +5,11 @@ A plain ``Window.partitionBy(patient)`` puts a patient's whole history into
 one task; a patient holding a third of all rows would then be one task. Here
 the scan is split in two levels:
 
-1. rows are grouped into (key, block) where the block is a time bucket of
-   the first ordering column, so a hot key is spread over many blocks and
-   tasks. A window over (key, block) computes the *local* running value;
+1. rows are range-partitioned by (key, full order, row number) from a sample,
+   and the partition a row falls into is its block. Blocks are contiguous in
+   the order and of bounded size whatever crowds together: one patient, one
+   minute, one instant, rows without a time or without a key. A window over
+   (key, block) computes the *local* running value;
 2. one summary row per (key, block) (a partial aggregate, so it is cheap to
    shuffle) is scanned over the blocks of the key to give each block its
    *carry* from the blocks before (or after) it, and is joined back on
@@ -15,21 +17,16 @@ the scan is split in two levels:
    partitioning as the window). Blocks without a carry are dropped first.
 
 The result equals the single-window result exactly because blocks are
-contiguous in the ordering (the block is a monotone function of the first
-ordering column) and MAX / MIN / SUM are associative.
-
-Strategy, decided from measured bounds (like a broadcast behind a size
-check, with the other way beyond it):
-
-* rows are counted per key (one map-side combined aggregate, one number to
-  the driver). If the largest key has at most ``stayline.scan.maxRowsPerKey``
-  rows (default 1,000,000 - a sort one task handles with bounded memory) a
-  plain window over the key runs;
-* otherwise the block width is chosen by a second one-job probe: the
-  coarsest of 28 days, 1 day, 1 hour, 1 minute at which no (key, block)
-  holds more than that limit, so even a key whose rows crowd into a short
-  time span is split. The carry table of a key holds one row per non-empty
-  block.
+contiguous in the ordering and MAX / MIN / SUM are associative.
+
+Strategy, decided from a measured bound (like a broadcast behind a size
+check, with the other way beyond it): rows are counted per key (one map-side
+combined aggregate, one number to the driver). If the largest key has at most
+``stayline.scan.maxRowsPerKey`` rows (default 1,000,000 - a sort one task
+handles with bounded memory) a plain window over the key runs; otherwise the
+rows are written once in blocks of about half that many rows. The block
+numbers are part of the written table, so every later stage, retried or not,
+sees the same blocks.
 
 ``stayline.scan.mode`` = auto | blocked | window overrides the choice.
 
@@ -45,21 +42,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from ..session import materialize as _materialize
 
 KEY = "__scan_k"     # prefix of the key columns: __scan_k0, __scan_k1, ...
 BLK = "__scan_blk"
-SRC = "__scan_sec"   # epoch seconds of the first ordering column
+ROW = "__scan_row"   # number of the row in the written input, the last tie-break
 _NULL_KEY = "\u0000<null>"
-_NULL_BLOCK = 2 ** 62  # NULL ordering values sort last, so they go last.
 
 MODE_CONF = "stayline.scan.mode"
 MAX_ROWS_CONF = "stayline.scan.maxRowsPerKey"
 DEFAULT_MAX_ROWS_PER_KEY = 1_000_000
-# candidate block widths in seconds, coarsest first
-BLOCK_WIDTHS = [28 * 86400, 86400, 3600, 60]
+LEAST_BLOCKS = 8
 
 # Every frame is a *prefix* frame (UNBOUNDED PRECEDING .. k), which Spark
 # evaluates incrementally. A suffix ("after" / "from") is the prefix of the
@@ -84,37 +78,10 @@ class Spec:
     frame: str = "before"
 
 
-def epoch_seconds(df: DataFrame, col: str) -> Column:
-    """Seconds since 1970 of a date / timestamp column, monotone in the
-    column's own order: instants for TIMESTAMP, wall clock for
-    TIMESTAMP_NTZ (no session time zone involved), midnight for DATE."""
-    c = F.col(col)
-    t = df.schema[col].dataType
-    if isinstance(t, DateType):
-        return F.unix_date(c).cast("bigint") * 86400
-    if isinstance(t, TimestampType):
-        return F.unix_seconds(c)
-    if isinstance(t, TimestampNTZType):
-        return (F.unix_date(F.to_date(c)).cast("bigint") * 86400 + F.hour(c) * 3600
-                + F.minute(c) * 60 + F.second(c))
-    return c.cast("bigint")
-
-
-def prepare(df: DataFrame, keys: list[str], block_col: str,
-            width: int | None = None) -> DataFrame:
-    """Add the key columns and the epoch seconds of ``block_col`` (which must
-    be the first ordering column). ``width`` fixes the block width in seconds
-    (tests); by default it is chosen when a blocked scan is needed."""
-    kc = [F.coalesce(F.col(k).cast("string"), F.lit(_NULL_KEY)).alias(f"{KEY}{i}")
-          for i, k in enumerate(keys)]
-    out = df.select("*", *kc, epoch_seconds(df, block_col).alias(SRC))
-    if width is not None:
-        out = out.withColumn(BLK, _block(width))
-    return out
-
-
-def _block(width: int) -> Column:
-    return F.coalesce(F.floor(F.col(SRC) / F.lit(width)), F.lit(_NULL_BLOCK)).cast("bigint")
+def prepare(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the key columns."""
+    return df.select("*", *[F.coalesce(F.col(k).cast("string"), F.lit(_NULL_KEY)).alias(f"{KEY}{i}")
+                            for i, k in enumerate(keys)])
 
 
 def _keys(df: DataFrame) -> list[str]:
@@ -158,19 +125,14 @@ def small_keys(d: DataFrame, keys: list[str]) -> bool:
     return (biggest or 0) <= _limit(spark)
 
 
-def choose_width(d: DataFrame, keys: list[str]) -> int:
-    """Coarsest block width at which no (key, block) exceeds the limit; one
-    aggregation job over all candidate widths (a few numbers to the driver).
-    Rows sharing one key and one minute cannot be split further by time."""
-    limit = _limit(d.sparkSession)
-    parts = [d.select(*keys, F.lit(w).alias("__w"), _block(w).alias("__b")) for w in BLOCK_WIDTHS]
-    u = reduce(DataFrame.unionByName, parts)
-    got = {r["__w"]: r["m"] for r in u.groupBy("__w", *keys, "__b").count()
-           .groupBy("__w").agg(F.max("count").alias("m")).collect()}
-    for w in BLOCK_WIDTHS:
-        if (got.get(w) or 0) <= limit:
-            return w
-    return BLOCK_WIDTHS[-1]
+def in_blocks(d: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``d`` (a written table) written again in ranges of (keys, order, row),
+    with the range as block number. Ranges come from a sample; half the limit
+    is aimed at, so that an uneven one stays below it."""
+    parts = max(LEAST_BLOCKS, -(-2 * d.count() // _limit(d.sparkSession)))
+    ranged = d.withColumn(ROW, F.monotonically_increasing_id()).repartitionByRange(
+        parts, *[F.col(k).asc() for k in keys], *asc_nulls_last(*order), F.col(ROW).asc())
+    return _materialize(ranged.withColumn(BLK, F.spark_partition_id().cast("bigint")))
 
 
 def scan(df: DataFrame, order: list[str], specs: list[Spec],
@@ -178,12 +140,12 @@ def scan(df: DataFrame, order: list[str], specs: list[Spec],
          by: list[str] | None = None) -> DataFrame:
     """Run ``specs`` over a frame prepared by :func:`prepare`.
 
-    ``order``: column names giving a total order within the key (ascending,
-    NULLs last); the first is the block column given to :func:`prepare`.
-    The input is read by two consumers (the size probe or the block summary,
-    and the window); unless it is a cheap scan (``materialize=False``) it is
-    written once to the checkpoint directory so that neither recomputes the
-    upstream. ``plain``: the caller already proved (True) or disproved
+    ``order``: column names giving the order within the key (ascending, NULLs
+    last); rows equal in all of them may stand in any order.
+    The input is read by two consumers (the size probe and the window); unless
+    it is a cheap scan (``materialize=False``) it is written once to the
+    checkpoint directory so that neither recomputes the upstream. Beyond the
+    bound it is always written: once as it is, once in blocks. ``plain``: the caller already proved (True) or disproved
     (False) the per-key size bound. ``by``: the key columns themselves; the
     single window partitions by them, so a later grouping or join on them
     finds the rows already in place.
@@ -200,12 +162,13 @@ def scan(df: DataFrame, order: list[str], specs: list[Spec],
         plain = small_keys(d, keys)
     if plain:
         return _window_scan(df, d, by or keys, fwd, bwd, specs)
-    if materialize and not done:
+    if not done:
         d = _materialize(d)
     out_cols = list(df.columns)
     if BLK not in d.columns:
-        d = d.withColumn(BLK, _block(choose_width(d, keys)))
-        out_cols.append(BLK)
+        d = in_blocks(d, keys, order)
+        out_cols += [ROW, BLK]
+    fwd, bwd = fwd + [F.col(ROW).asc()], bwd + [F.col(ROW).desc()]
     return _blocked_scan(out_cols, d, keys, fwd, bwd, specs)
 
 
@@ -264,15 +227,13 @@ def _window_scan(df: DataFrame, d: DataFrame, keys: list[str], fwd, bwd,
 
 
 def ordered_scan(df: DataFrame, keys: list[str], order: list[str], specs: list[Spec],
-                 materialize: bool = True, plain: bool | None = None,
-                 width: int | None = None) -> DataFrame:
+                 materialize: bool = True, plain: bool | None = None) -> DataFrame:
     """prepare + scan + drop helper columns."""
-    return finish(scan(prepare(df, keys, order[0], width), order, specs,
-                       materialize and plain is not True, plain, by=keys))
+    return finish(scan(prepare(df, keys), order, specs, materialize and plain is not True, plain, by=keys))
 
 
 def finish(df: DataFrame) -> DataFrame:
-    return df.drop(*_keys(df), BLK, SRC)
+    return df.drop(*_keys(df), BLK, ROW)
 
 
 def asc(*cols: str) -> list[str]:

@@ -2,11 +2,13 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayline.operators import scan as S
 from stayline.operators.intervals import number_islands
+from stayline.session import materialize
 
 
 def _frame(spark, n=3000, seed=7):
@@ -27,8 +29,7 @@ def test_blocked_scan_matches_window(spark, blocked):
     order = S.asc("t", "id")
     specs = [S.Spec("mx_before", "max", "v", "before"), S.Spec("sum_upto", "sum", "v", "upto"),
              S.Spec("mn_after", "min", "v", "after"), S.Spec("sum_from", "sum", "v", "from")]
-    # 7-day blocks: the hot key spans ~300 blocks
-    got = S.ordered_scan(df, ["k"], order, specs, width=7 * 86400)
+    got = S.ordered_scan(df, ["k"], order, specs)
     w = Window.partitionBy("k").orderBy(*S.asc_nulls_last(*order))
     exp = df.select(
         "id",
@@ -95,25 +96,52 @@ def test_auto_mode_switches_on_a_hot_key(spark):
     assert a == {r["id"]: r["m"] for r in plain.collect()}
 
 
-def test_adaptive_width_splits_a_crowded_key(spark):
-    """A key whose rows crowd into a few days gets finer blocks: with a
-    limit of 50 rows per task, 28-day and 1-day blocks are too big, so the
-    probe falls back to hours; answers still equal the plain window."""
+@pytest.mark.parametrize("crowd", ["one minute", "one instant", "no time", "no key", "equal rows"])
+def test_any_crowd_is_split(spark, crowd):
+    """One key's rows within a minute, at one instant, without a time, without
+    a key, or equal in all columns: no block exceeds the limit, and the answers
+    equal the plain window's."""
     import datetime as dt
-    rows = [("hot", i, dt.datetime(2020, 1, 1) + dt.timedelta(minutes=7 * i), i % 13)
-            for i in range(400)] + [("cold", 1000 + i, dt.datetime(2020, 1, 1), i) for i in range(5)]
+    t0, n = dt.datetime(2020, 1, 1), 900
+    rows = [("hot" if crowd != "no key" else None, 0 if crowd == "equal rows" else i,
+             {"one minute": t0 + dt.timedelta(milliseconds=60 * i), "no key": t0 + dt.timedelta(days=i % 7),
+              "no time": None}.get(crowd, t0), 1 if crowd == "equal rows" else i % 13) for i in range(n)]
+    rows += [("cold", 10_000 + i, t0, i) for i in range(5)] + [(None, 20_000, None, 5)]
     df = spark.createDataFrame(rows, "k string, id long, t timestamp, v int")
-    p = S.prepare(df, ["k"], "t")
-    spark.conf.set("stayline.scan.maxRowsPerKey", "50")
+    order = S.asc("t", "id")
+    specs = [S.Spec("s", "sum", "v", "upto"), S.Spec("b", "max", "v", "before"), S.Spec("a", "min", "v", "after")]
+    w = Window.partitionBy("k").orderBy(*S.asc_nulls_last(*order))
+    rev = Window.partitionBy("k").orderBy(F.col("t").desc_nulls_first(), F.col("id").desc())
+    ref = df.select("id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
+                    F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("b"),
+                    F.min("v").over(rev.rowsBetween(Window.unboundedPreceding, -1)).alias("a"))
+    spark.conf.set("stayline.scan.maxRowsPerKey", "100")
+    try:
+        p = S.prepare(df, ["k"])
+        blocks = S.in_blocks(materialize(p), ["__scan_k0"], order)
+        most = blocks.groupBy("__scan_k0", S.BLK).count().agg(F.max("count")).first()[0]
+        assert most <= 100
+        got = S.ordered_scan(df, ["k"], order, specs)
+        key = lambda r: tuple((x is None, x) for x in r)
+        a = sorted(map(tuple, got.select("id", "s", "b", "a").collect()), key=key)
+    finally:
+        spark.conf.unset("stayline.scan.maxRowsPerKey")
+    b = sorted(map(tuple, ref.collect()), key=key)
+    if crowd == "equal rows":  # which of them comes first is free: column by column
+        a, b = ([sorted(c, key=lambda x: (x is None, x)) for c in zip(*rows)] for rows in (a, b))
+    assert a == b
+
+
+def test_blocks_are_contiguous_in_the_order(spark):
+    df = S.prepare(_frame(spark), ["k"])
+    spark.conf.set("stayline.scan.maxRowsPerKey", "200")
     try:
-        assert S.choose_width(p, ["__scan_k0"]) == 3600
-        got = S.ordered_scan(df, ["k"], S.asc("t", "id"), [S.Spec("s", "sum", "v", "upto")])
-        a = {r["id"]: r["s"] for r in got.collect()}
+        b = S.in_blocks(materialize(df), ["__scan_k0"], S.asc("t", "id"))
+        w = Window.partitionBy("__scan_k0").orderBy(*S.asc_nulls_last("t", "id"))
+        assert b.withColumn("back", F.col(S.BLK) < F.lag(S.BLK).over(w)).where("back").count() == 0
+        assert b.select(S.BLK).distinct().count() > 20
     finally:
         spark.conf.unset("stayline.scan.maxRowsPerKey")
-    w = Window.partitionBy("k").orderBy(*S.asc_nulls_last("t", "id"))
-    ref = df.select("id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
-    assert a == {r["id"]: r["s"] for r in ref.collect()}
 
 
 def test_models_with_a_hot_patient_auto_switch(spark, sf_small):
