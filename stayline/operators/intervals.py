@@ -48,26 +48,29 @@ def island_events(df: DataFrame, keys: list[str], start: str, stop: str,
     intervals and -1 on the day after it ends. Intervals ending before they
     start cover no day and are dropped.
 
-    One ordered scan suffices: a row opens an island when its start is after
-    the running MAX of earlier ends, and that running MAX, seen by the row
-    opening island k+1, is exactly the end of island k (ends of earlier
-    islands are all smaller). The last island of a key ends at the key's
-    MAX end. Returns keys[0], day, delta.
+    One ordered scan and one pass over its rows suffice: a row opens an island
+    when its start is after the running MAX of earlier ends, and that running
+    MAX, seen by the row opening island k+1, is exactly the end of island k
+    (ends of earlier islands are all smaller). The last row of a key, which has
+    no row after it, closes the last island. Returns keys[0], day, delta.
     """
     open_end = F.to_date(F.lit(OPEN_END))
     d = (df.filter(F.col(start).isNotNull()
                    & (F.col(stop).isNull() | (F.col(stop) >= F.col(start))))
          .select(*keys, F.col(start).alias("s"), F.coalesce(F.col(stop), open_end).alias("e")))
-    p = prepare(d, keys)
-    s1 = finish(scan(p, asc("s", "e"), [Spec("prev_e", "max", "e", "before")],
+    s1 = finish(scan(prepare(d, keys), asc("s", "e"),
+                     [Spec("prev_e", "max", "e", "before"), Spec("more", "sum", F.lit(1), "after")],
                      materialize=plain is not True, plain=plain, by=keys))
-    opens = s1.filter(F.col("prev_e").isNull() | (F.col("s") > F.col("prev_e")))
-    up = opens.select(F.col(keys[0]), F.col("s").alias("day"), F.lit(1).alias("delta"))
-    closes = opens.filter(F.col("prev_e").isNotNull()).select(
-        F.col(keys[0]), F.date_add("prev_e", 1).alias("day"), F.lit(-1).alias("delta"))
-    last = (s1.groupBy(*keys).agg(F.max("e").alias("e")).filter(F.col("e") != open_end)
-            .select(F.col(keys[0]), F.date_add("e", 1).alias("day"), F.lit(-1).alias("delta")))
-    return up.unionByName(closes).unionByName(last)
+    opens = F.col("prev_e").isNull() | (F.col("s") > F.col("prev_e"))
+    reach = F.greatest("prev_e", "e")
+
+    def event(when, day, delta):
+        return F.when(when, F.struct(day.alias("day"), F.lit(delta).alias("delta")))
+
+    events = F.array(event(opens, F.col("s"), 1),
+                     event(opens & F.col("prev_e").isNotNull(), F.date_add("prev_e", 1), -1),
+                     event(F.col("more").isNull() & (reach != open_end), F.date_add(reach, 1), -1))
+    return s1.select(keys[0], F.explode(F.array_compact(events)).alias("x")).select(keys[0], "x.day", "x.delta")
 
 
 def count_covering(events: DataFrame, key: str, queries: DataFrame, q_day: Column,

@@ -2,10 +2,13 @@
 the 30-day readmission label.
 
 Plan shape (all per-patient logic is skew-safe, see operators.scan):
-stays -> gaps-and-islands numbering (one Exchange on (patient, block)) ->
-episode spans (partial aggregate) -> death flags (equi-join to patients) ->
-hospice / chemotherapy EXISTS as one timeline sweep -> next episode by an
-equi-join on (patient, episode_number + 1) -> flags.
+stays -> gaps-and-islands numbering -> episode spans (partial aggregate) ->
+hospice / chemotherapy EXISTS as one timeline sweep whose query rows carry the
+span, so no join back -> death flags (equi-join to patients) -> next episode
+-> flags. Where every patient is known to fit one task all of it runs on one
+layout by patient (operators.layout): each input is hashed once, and the next
+episode is a LEAD. Otherwise scans run in range blocks and the next episode is
+an equi-join on (patient, episode_number + 1).
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import rules as R
 from ..functions import concat_null, day_diff, plus_days_keep_time
 from ..operators.intervals import number_islands
-from ..operators.sweep import QSET, pick, sweep
+from ..operators.sweep import pick, sweep
 
 EPISODE_COLUMNS = [
     "episode_id", "patient_id", "episode_number", "admitted_at", "discharged_at",
@@ -59,7 +62,7 @@ def episode_spans(encounters: DataFrame, stays: DataFrame | None = None) -> Data
 def with_death_flags(spans: DataFrame, patients: DataFrame) -> DataFrame:
     """Death date from the patient; died in episode = admit day <= death
     <= discharge day + 1; death before admission = death < admit day."""
-    p = patients.select("patient_id", "death_date")
+    p = patients.select("patient_id", "death_date", "birth_date", "gender")
     e = spans.join(p, "patient_id", "inner")
     admit_d, dis_d = F.to_date("admitted_at"), F.to_date("discharged_at")
     dd = F.col("death_date")
@@ -77,63 +80,76 @@ def chemo_points(procedures: DataFrame) -> DataFrame:
         "patient_id", F.col("start_ts").alias("ts"))
 
 
+SPAN = ["admitted_at", "discharged_at", "stay_in_episode"]
+
+
+def hospice_points(encounters: DataFrame) -> DataFrame:
+    """Start times of hospice encounters per patient."""
+    return encounters.filter(F.col("encounter_class") == R.HOSPICE_CLASS).select(
+        "patient_id", F.col("start_ts").alias("ts"))
+
+
 def hospice_and_chemo(episodes: DataFrame, encounters: DataFrame,
                       procedures: DataFrame | None, plain: bool | None = None,
-                      chemo: DataFrame | None = None) -> DataFrame:
+                      chemo: DataFrame | None = None, hospice: DataFrame | None = None) -> DataFrame:
     """J2 + J3 as one sweep: per episode, a hospice encounter starting in
     [discharge, discharge + 1 day] and a chemotherapy procedure starting in
-    [admission, discharge]. Returns patient_id, episode_number and flags."""
-    keys, ids = ["patient_id"], ["episode_number"]
-    queries = {
-        "admit": episodes.select("patient_id", "episode_number", F.col("admitted_at").alias("ts")),
-        "discharge": episodes.select("patient_id", "episode_number",
-                                     F.col("discharged_at").alias("ts")),
-    }
+    [admission, discharge]. Returns the episode spans (patient_id,
+    episode_number, SPAN) with next_hospice and next_chemo; the spans travel
+    with the query rows. ``chemo`` / ``hospice``: point rows already built."""
+    def query(ts):
+        return episodes.select("patient_id", "episode_number", *SPAN, F.col(ts).alias("ts"))
+
     points = {
-        "hospice": encounters.filter(F.col("encounter_class") == R.HOSPICE_CLASS)
-                             .select("patient_id", F.col("start_ts").alias("ts")),
+        "hospice": hospice_points(encounters) if hospice is None else hospice,
         "chemo": chemo_points(procedures) if chemo is None else chemo,
     }
     ops = [("next_hospice", "hospice", "next"), ("next_chemo", "chemo", "next")]
-    hits = sweep(keys, ids, queries, points, ops, plain=plain)
+    hits = sweep(["patient_id"], ["episode_number", *SPAN],
+                 {"admit": query("admitted_at"), "discharge": query("discharged_at")},
+                 points, ops, plain=plain)
     return hits.groupBy("patient_id", "episode_number").agg(
+        *[pick("admit", c).alias(c) for c in SPAN],
         pick("discharge", "next_hospice").alias("next_hospice"),
-        pick("admit", "next_chemo").alias("next_chemo"),
-        F.count(QSET).alias("__n"))
+        pick("admit", "next_chemo").alias("next_chemo"))
+
+
+def with_lead(rows: DataFrame, number: str, plain: bool, **columns: str) -> DataFrame:
+    """LEAD within the patient, rows being numbered 1..n by ``number``:
+    ``columns`` maps a new column to the one taken from the next row. In place
+    where every patient is known to fit one task (``plain``); otherwise an
+    equi-join on the unique (patient, number + 1), which spreads even the
+    busiest patient over all tasks (NULL-safe: NULL patients form one group)."""
+    if plain:
+        w = Window.partitionBy("patient_id").orderBy(number)
+        return rows.withColumns({new: F.lead(old).over(w) for new, old in columns.items()})
+    nxt = rows.select(F.col("patient_id").alias("__p"), (F.col(number) - 1).alias("__n"),
+                      *[F.col(old).alias(new) for new, old in columns.items()])
+    on = rows["patient_id"].eqNullSafe(nxt["__p"]) & (rows[number] == nxt["__n"])
+    return rows.join(nxt, on, "left").drop("__p", "__n")
 
 
 def inpatient_episodes(patients: DataFrame, encounters: DataFrame,
                        procedures: DataFrame | None, stays: DataFrame | None = None,
                        plain: bool | None = None, chemo: DataFrame | None = None,
                        spans: DataFrame | None = None, hc: DataFrame | None = None) -> DataFrame:
-    """The 16-column episode table."""
-    spans = episode_spans(encounters, stays) if spans is None else spans
-    e = with_death_flags(spans, patients)
+    """The episode table (EPISODE_COLUMNS), and the patient's birth_date and
+    gender, so that the features need not join the patients again."""
     if hc is None:
+        spans = episode_spans(encounters, stays) if spans is None else spans
         hc = hospice_and_chemo(spans, encounters, procedures, plain=plain, chemo=chemo)
-    e = e.join(hc, ["patient_id", "episode_number"], "left")
+    e = with_death_flags(hc, patients)
     e = e.select(
         "patient_id", "episode_number", "admitted_at", "discharged_at", "stay_in_episode",
-        "death_date", "died_in_episode", "death_before_admission",
+        "death_date", "died_in_episode", "death_before_admission", "birth_date", "gender",
         F.coalesce(F.col("next_hospice")
                    <= plus_days_keep_time("discharged_at", R.HOSPICE_WINDOW_DAYS), F.lit(False))
         .alias("discharged_to_hospice"),
         F.coalesce(F.col("next_chemo") <= F.col("discharged_at"), F.lit(False))
         .alias("has_chemotherapy"),
     )
-    if plain:
-        # every patient is known to fit one task: LEAD in place
-        w = Window.partitionBy("patient_id").orderBy("episode_number")
-        e = (e.withColumn("next_admission_at", F.lead("admitted_at").over(w))
-             .withColumn("next_has_chemotherapy", F.lead("has_chemotherapy").over(w)))
-    else:
-        # LEAD = the row with episode_number + 1 (episode numbers are dense
-        # 1..n per patient); an equi-join on a unique key spreads even the
-        # busiest patient over all tasks.
-        nxt = e.select("patient_id", (F.col("episode_number") - 1).alias("episode_number"),
-                       F.col("admitted_at").alias("next_admission_at"),
-                       F.col("has_chemotherapy").alias("next_has_chemotherapy"))
-        e = e.join(nxt, ["patient_id", "episode_number"], "left")
+    e = with_lead(e, "episode_number", bool(plain), next_admission_at="admitted_at",
+                  next_has_chemotherapy="has_chemotherapy")
     gap = day_diff("discharged_at", "next_admission_at")
     within = F.col("next_admission_at").isNotNull() & (gap <= R.READMISSION_WINDOW_DAYS)
     return e.select(
@@ -147,4 +163,5 @@ def inpatient_episodes(patients: DataFrame, encounters: DataFrame,
         within.alias("readmitted_30d"),
         (within & (F.col("next_has_chemotherapy") == True)).alias("is_planned_readmission"),  # noqa: E712
         (within & ~F.col("next_has_chemotherapy")).alias("unplanned_readmitted_30d"),
+        "birth_date", "gender",
     )

@@ -18,6 +18,10 @@ FEATURE_COLUMNS = [
     "prior_episodes_365d", "active_disorders_at_discharge",
 ]
 
+#: columns of an eligible episode that its timeline row carries
+PATIENT = ["birth_date", "gender"]
+EPISODE = ["episode_id", "admitted_at", "discharged_at", "stay_in_episode", "readmitted_30d", *PATIENT]
+
 
 def history_365d(episodes: DataFrame, targets: DataFrame | None = None,
                  plain: bool | None = None) -> DataFrame:
@@ -26,21 +30,22 @@ def history_365d(episodes: DataFrame, targets: DataFrame | None = None,
 
     count(earlier) - count(before midnight of admit day - 365), both read off
     one sweep of the patient's admissions. Returns patient_id,
-    episode_number, prior_episodes_365d, earlier_episodes.
+    episode_number, episode_id, prior_episodes_365d, earlier_episodes.
     """
     targets = episodes if targets is None else targets
     ts_type = episodes.schema["admitted_at"].dataType.simpleString()
     queries = {
-        "admit": targets.select("patient_id", "episode_number", F.col("admitted_at").alias("ts")),
-        "year": targets.select("patient_id", "episode_number",
+        "admit": targets.select("patient_id", "episode_number", "episode_id", F.col("admitted_at").alias("ts")),
+        "year": targets.select("patient_id", "episode_number", F.lit(None).cast("string").alias("episode_id"),
                                midnight_days_before("admitted_at", R.HISTORY_WINDOW_DAYS, ts_type).alias("ts")),
     }
     points = {"episode": episodes.select("patient_id", F.col("admitted_at").alias("ts"))}
-    hits = sweep(["patient_id"], ["episode_number"], queries, points,
+    hits = sweep(["patient_id"], ["episode_number", "episode_id"], queries, points,
                  [("n_before", "episode", "count_before")], plain=plain)
     g = hits.groupBy("patient_id", "episode_number").agg(
+        pick("admit", "episode_id").alias("episode_id"),
         pick("admit", "n_before").alias("earlier"), pick("year", "n_before").alias("too_old"))
-    return g.select("patient_id", "episode_number",
+    return g.select("patient_id", "episode_number", "episode_id",
                     (F.coalesce("earlier", F.lit(0)) - F.coalesce("too_old", F.lit(0)))
                     .cast("bigint").alias("prior_episodes_365d"),
                     F.coalesce("earlier", F.lit(0)).cast("bigint").alias("earlier_episodes"))
@@ -80,8 +85,10 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
       kind 3  every episode's admission (eligible or not)
     A running SUM of the event deltas up to a 'cover' query counts the
     disorders active on the discharge day; the number of kind-3 rows before a
-    kind-2 query counts earlier admissions. Returns patient_id,
-    episode_number, prior_episodes_365d, active_disorders_at_discharge.
+    kind-2 query counts earlier admissions. The 'admit' query carries the
+    eligible episode's own columns (EPISODE), so nothing is joined back.
+    Returns patient_id, episode_number, EPISODE, prior_episodes_365d,
+    active_disorders_at_discharge.
     """
     ts_type = episodes.schema["admitted_at"].dataType.simpleString()
     dis = disorder_rows(conditions) if disorders is None else disorders
@@ -96,8 +103,10 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
             .alias("episode_number"),
             F.lit(delta).cast("int").alias("delta") if not isinstance(delta, F.Column)
             else delta.cast("int").alias("delta"),
-            F.lit(point).alias("point"))
+            F.lit(point).alias("point"),
+            *[(F.col(c) if qset == "admit" else F.lit(None).cast(types[c])).alias(c) for c in EPISODE])
 
+    types = {c: episodes.schema[c].dataType for c in EPISODE}
     # NULL patients never match in the joins this replaces: their events and
     # admissions are left out, so their queries count nothing
     ev = ev.filter(F.col("patient_id").isNotNull())
@@ -117,11 +126,12 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
                         Spec("n_before", "sum", "point", "before")], plain=plain_timeline)
     q = res.filter(F.col("kind").isin(1, 2))
     g = q.groupBy("patient_id", "episode_number").agg(
+        *[pick("admit", c).alias(c) for c in EPISODE],
         pick("cover", F.when(F.col("ts").isNotNull(), F.col("run_delta")).otherwise(F.lit(0)))
         .alias("active"),
         pick("admit", "n_before").alias("earlier"), pick("year", "n_before").alias("too_old"))
     return g.select(
-        "patient_id", "episode_number",
+        "patient_id", "episode_number", *EPISODE,
         (F.coalesce("earlier", F.lit(0)) - F.coalesce("too_old", F.lit(0))).cast("bigint")
         .alias("prior_episodes_365d"),
         F.coalesce("active", F.lit(0)).cast("bigint").alias("active_disorders_at_discharge"))
@@ -132,18 +142,16 @@ def episode_features(episodes: DataFrame, patients: DataFrame,
                      plain_timeline: bool | None = None,
                      disorders: DataFrame | None = None,
                      timeline: DataFrame | None = None) -> DataFrame:
-    eligible = episodes.filter(F.col("is_eligible_index") == True)  # noqa: E712
-    e = eligible.join(patients.select("patient_id", "gender", "birth_date"), "patient_id", "inner")
-    tl = timeline if timeline is not None else feature_timeline(
-        episodes, eligible, conditions, plain_islands, plain_timeline, disorders)
-    e = e.join(tl, ["patient_id", "episode_number"], "left")
-    return e.select(
+    """``timeline``: :func:`feature_timeline` already built."""
+    if timeline is None:
+        wide = episodes.join(patients.select("patient_id", *PATIENT), "patient_id", "inner")
+        eligible = wide.filter(F.col("is_eligible_index") == True)  # noqa: E712
+        timeline = feature_timeline(wide, eligible, conditions, plain_islands, plain_timeline, disorders)
+    return timeline.select(
         "episode_id", "patient_id", "admitted_at", "discharged_at", "stay_in_episode",
         "readmitted_30d", "gender",
         age_years("birth_date", "admitted_at").alias("age_at_admission"),
         day_diff("admitted_at", "discharged_at").alias("length_of_stay_days"),
         (F.col("episode_number") - 1).alias("prior_episodes"),
-        F.coalesce("prior_episodes_365d", F.lit(0)).cast("bigint").alias("prior_episodes_365d"),
-        F.coalesce("active_disorders_at_discharge", F.lit(0)).cast("bigint")
-        .alias("active_disorders_at_discharge"),
+        "prior_episodes_365d", "active_disorders_at_discharge",
     )

@@ -7,20 +7,22 @@ through cached properties, so one build reuses each model's DataFrame
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from ..operators import layout
 from ..operators.scan import bound_ok
+from .. import rules as R
 from ..session import materialize
 from ..sources.driver import DriverSources
 from . import core
 from .episodes import (EPISODE_COLUMNS, chemo_points, episode_spans, hospice_and_chemo,
-                       inpatient_episodes, numbered_stays)
-from .features import (FEATURE_COLUMNS, disorder_rows, episode_features, feature_timeline,
+                       hospice_points, inpatient_episodes, numbered_stays)
+from .features import (FEATURE_COLUMNS, PATIENT, disorder_rows, episode_features, feature_timeline,
                        history_365d)
 
 
@@ -57,107 +59,129 @@ class Models:
     def procedures(self) -> DataFrame:
         return core.procedures(self._raw("procedures"))
 
-    # --- narrow inputs of the timeline scans, written once ---------------------
+    # --- rows per patient, and the layout they allow -----------------------------
 
     @cached_property
-    def chemo_points(self) -> DataFrame:
-        return materialize(chemo_points(self.procedures))
+    def rows_per_patient(self) -> dict[str, int]:
+        """Largest number of rows one patient brings, by input (encounters,
+        chemo, disorders). Every scan below is bounded by a sum of these, so its
+        strategy is decided without probing its own intermediate input."""
+        return _Bounds(self)
+
+    def _plain(self, bound: int) -> bool:
+        return bound_ok(self.encounters.sparkSession, bound)
 
     @cached_property
-    def disorder_rows(self) -> DataFrame:
-        return materialize(disorder_rows(self.conditions))
+    def buckets(self) -> int | None:
+        """Parts of the layout by patient; None where a patient is too big for
+        one task. Decides for all inputs of the episode model at once."""
+        b = self.rows_per_patient
+        b.probe("encounters", "chemo")
+        if not self._plain(3 * b["encounters"] + b["chemo"]):
+            return None
+        return layout.bucket_count(self.encounters.sparkSession, b.total)
 
-    @staticmethod
-    def _max_rows(parts: dict) -> dict[str, int]:
-        """Largest number of rows one patient has in each frame, from ONE
-        aggregation job (one number per frame reaches the driver)."""
-        frames = [df.select("patient_id", F.lit(name).alias("src")) for name, df in parts.items()]
-        u = frames[0]
-        for f in frames[1:]:
-            u = u.unionByName(f)
-        rows = (u.groupBy("src", "patient_id").count().groupBy("src")
-                .agg(F.max("count").alias("m")).collect())
-        out = {name: 0 for name in parts}
-        out.update({r["src"]: int(r["m"] or 0) for r in rows})
-        return out
+    def _placed(self, df: DataFrame, buckets: int | None) -> DataFrame:
+        return layout.placed(df, "patient_id", buckets) if buckets else df
 
-    @cached_property
-    def rows_per_patient(self) -> dict[str, int]:
-        """Bounds for the per-patient scans, each from one aggregation job
-        over a narrow input (encounters, chemotherapy points, disorder rows),
-        computed only when a scan needs it. Every scan below is bounded by a
-        sum of these, so its strategy is decided without probing its own
-        intermediate input."""
-        return _LazyBounds(self)
+    def _written(self, df: DataFrame, buckets: int | None, *sort: str) -> DataFrame:
+        """Written once; in the layout by patient where there is one."""
+        return layout.bucketed(df, "patient_id", buckets, list(sort)) if buckets else materialize(df)
+
+    # --- the models ----------------------------------------------------------------
 
     @cached_property
-    def _encounter_rows(self) -> dict[str, int]:
-        return self._max_rows({"encounters": self.encounters})
+    def stays(self) -> DataFrame:
+        """Inpatient stays with their episode numbering (intermediate)."""
+        b = self.rows_per_patient
+        return numbered_stays(self.encounters, plain=self._plain(b["encounters"]))
 
     @cached_property
-    def _chemo_rows(self) -> dict[str, int]:
-        return self._max_rows({"chemo": self.chemo_points})
+    def spans(self) -> DataFrame:
+        """Episode spans alone, for reports that need no sweep: on the stays'
+        own window, or written where the stays are scanned in blocks."""
+        s = episode_spans(None, self.stays)
+        return s if self._plain(self.rows_per_patient["encounters"]) else materialize(s)
 
     @cached_property
-    def _disorder_rows(self) -> dict[str, int]:
-        return self._max_rows({"disorders": self.disorder_rows})
+    def encounter_times(self) -> DataFrame:
+        """Inpatient and hospice encounters, only the columns the episodes
+        need; laid out by patient for the stays and the hospice points."""
+        e = self.encounters.where(F.col("encounter_class").isin(R.INPATIENT_CLASS, R.HOSPICE_CLASS)).select(
+            "patient_id", "encounter_id", "encounter_class", "start_ts", "stop_ts")
+        return self._written(self._placed(e, self.buckets), self.buckets, "start_ts")
 
-    def _plain(self, bound: int) -> bool:
-        return bound_ok(self.encounters.sparkSession, bound)
+    @cached_property
+    def episode_spans(self) -> DataFrame:
+        """Written once: both sweep queries and the checks start from it."""
+        stays = numbered_stays(self.encounter_times, plain=self._plain(self.rows_per_patient["encounters"]))
+        return self._written(episode_spans(None, stays), self.buckets, "episode_number")
 
     @cached_property
-    def stays(self) -> DataFrame:
-        """Inpatient stays with their episode numbering (intermediate)."""
-        b = self._encounter_rows
-        return numbered_stays(self.encounters, plain=self._plain(b["encounters"]))
+    def chemo_points(self) -> DataFrame:
+        """Written once: counted per patient before they are laid out."""
+        return materialize(chemo_points(self.procedures))
 
     @cached_property
     def hospice_chemo(self) -> DataFrame:
-        """Per episode span: next hospice start after discharge and next
-        chemotherapy start after admission (one timeline sweep). Sweep rows
+        """Episode spans with the next hospice start after discharge and the
+        next chemotherapy start after admission (one timeline sweep). Sweep rows
         per patient <= 2 queries per stay + hospice encounters + chemo."""
-        b = self.rows_per_patient
-        plain = self._plain(3 * b["encounters"] + b["chemo"])
-        return hospice_and_chemo(self.episode_spans, self.encounters, None, plain=plain,
-                                 chemo=self.chemo_points)
+        return hospice_and_chemo(self.episode_spans, None, None, plain=bool(self.buckets),
+                                 hospice=hospice_points(self.encounter_times),
+                                 chemo=self._placed(self.chemo_points, self.buckets))
+
+    @cached_property
+    def _episodes(self) -> DataFrame:
+        """The episode table and the patient's columns the features need,
+        written like a model table: every feature branch reads it."""
+        e = inpatient_episodes(self.patients, None, None, hc=self.hospice_chemo, plain=bool(self.buckets))
+        return self._written(e, self.buckets, "episode_number")
 
     @cached_property
     def inpatient_episodes(self) -> DataFrame:
-        e = inpatient_episodes(self.patients, self.encounters, None, spans=self.episode_spans,
-                               hc=self.hospice_chemo, plain=self._plain(self._encounter_rows["encounters"]))
-        # materialized like a model table: every feature branch reads it
-        return materialize(e.select(*EPISODE_COLUMNS))
+        return self._episodes.select(*EPISODE_COLUMNS)
+
+    @property
+    def _feature_episodes(self) -> DataFrame:
+        """Episodes with birth_date and gender."""
+        if "inpatient_episodes" not in self.tables:
+            return self._episodes
+        return self.inpatient_episodes.join(self.patients.select("patient_id", *PATIENT), "patient_id")
 
     @cached_property
-    def timeline(self) -> DataFrame:
-        """J4 + J5 per eligible episode (one sweep). Islands: rows per
-        (patient, code) <= disorder rows per patient; timeline rows per
-        patient <= 3 events per disorder row + 4 rows per episode."""
+    def _feature_buckets(self) -> int | None:
+        """The layout, if it also holds for the features' timelines. Islands:
+        rows per (patient, code) <= disorder rows per patient; timeline rows
+        per patient <= 3 events per disorder row + 4 rows per episode."""
         b = self.rows_per_patient
-        e = self.inpatient_episodes
+        if "inpatient_episodes" in self.tables or not self.buckets:
+            return None  # tables written elsewhere have no layout
+        return self.buckets if self._plain(3 * b["disorders"] + 4 * b["encounters"]) else None
+
+    @cached_property
+    def disorder_rows(self) -> DataFrame:
+        """Written once: counted per patient before they are laid out."""
+        return materialize(disorder_rows(self.conditions))
+
+    @cached_property
+    def timeline(self) -> DataFrame:
+        """J4 + J5 per eligible episode (one sweep)."""
+        b, e = self.rows_per_patient, self._feature_episodes
         eligible = e.filter(F.col("is_eligible_index"))
-        return feature_timeline(e, eligible, None,
+        return feature_timeline(e, eligible, None, disorders=self._placed(self.disorder_rows, self._feature_buckets),
                                 plain_islands=self._plain(b["disorders"]),
-                                plain_timeline=self._plain(3 * b["disorders"]
-                                                           + 4 * b["encounters"]),
-                                disorders=self.disorder_rows)
+                                plain_timeline=self._plain(3 * b["disorders"] + 4 * b["encounters"]))
 
     @cached_property
     def history(self) -> DataFrame:
         """J4 for every episode: 2 queries + 1 point per episode."""
-        b = self._encounter_rows
-        return history_365d(self.inpatient_episodes, plain=self._plain(3 * b["encounters"]))
-
-    @cached_property
-    def episode_spans(self) -> DataFrame:
-        """Written once: the death flags, both sweep queries and the checks
-        start from it."""
-        return materialize(episode_spans(self.encounters, self.stays))
+        return history_365d(self.inpatient_episodes,
+                            plain=self._plain(3 * self.rows_per_patient["encounters"]))
 
     @cached_property
     def episode_features(self) -> DataFrame:
-        return episode_features(self.inpatient_episodes, self.patients, None,
-                                timeline=self.timeline).select(*FEATURE_COLUMNS)
+        return episode_features(None, None, None, timeline=self.timeline).select(*FEATURE_COLUMNS)
 
     def ref(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -179,16 +203,30 @@ class Models:
         return self
 
 
-class _LazyBounds(dict):
-    """rows_per_patient[...] resolved on first use, one probe per input."""
+class _Bounds(dict):
+    """rows_per_patient[...] counted on first use: one job with one grouping by
+    patient for all inputs asked for together."""
 
     def __init__(self, m: Models):
         super().__init__()
-        self._m = m
+        self._m, self.total = m, 0
+
+    def _input(self, name: str) -> DataFrame:
+        m = self._m
+        return {"encounters": lambda: m.encounters, "chemo": lambda: m.chemo_points,
+                "disorders": lambda: m.disorder_rows}[name]()
+
+    def probe(self, *names: str) -> None:
+        names = [n for n in names if n not in self]
+        if not names:
+            return
+        u = reduce(DataFrame.unionByName, [
+            self._input(n).select("patient_id", *[F.lit(int(n == k)).alias(k) for k in names]) for n in names])
+        per = u.groupBy("patient_id").agg(*[F.sum(n).alias(n) for n in names])
+        r = per.agg(*[F.max(n).alias(n) for n in names], *[F.sum(n).alias(f"all_{n}") for n in names]).first()
+        self.update({n: int(r[n] or 0) for n in names})
+        self.total += sum(int(r[f"all_{n}"] or 0) for n in names)
 
     def __missing__(self, name: str) -> int:
-        src = {"encounters": "_encounter_rows", "chemo": "_chemo_rows",
-               "disorders": "_disorder_rows"}[name]
-        v = getattr(self._m, src)[name]
-        self[name] = v
-        return v
+        self.probe(name)
+        return self[name]

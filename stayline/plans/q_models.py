@@ -9,6 +9,7 @@ from .. import oracle as O
 from ..functions import (age_years, concat_null, day_diff, first_group_ci, hour_diff,
                          minute_diff, month_day, year_diff)
 from .common import models
+from .episodes import with_lead
 
 Q: dict = {}
 SQL: dict = {}
@@ -99,7 +100,7 @@ SQL["episode_numbering"] = O.with_models(
 @q("gaps_and_islands_merge")
 def gaps_and_islands_merge(spark, sf):
     """Stays merged into episode spans."""
-    return models(spark, sf).episode_spans
+    return models(spark, sf).spans
 
 
 SQL["gaps_and_islands_merge"] = O.with_models(
@@ -110,17 +111,12 @@ SQL["gaps_and_islands_merge"] = O.with_models(
 def lead_next_admission(spark, sf):
     """W3 + W4: next admission and the next episode's chemotherapy flag."""
     m = models(spark, sf)
-    e = m.inpatient_episodes.select("episode_id", "patient_id", "episode_number",
-                                    "admitted_at", "next_admission_at")
-    nxt = m.hospice_chemo.select("patient_id", (F.col("episode_number") - 1).alias("episode_number"),
-                    F.col("next_chemo").alias("nc"))
-    ep = m.inpatient_episodes.select("patient_id", (F.col("episode_number") - 1)
-                                     .alias("episode_number"),
-                                     F.col("discharged_at").alias("nd"))
-    nx = nxt.join(ep, ["patient_id", "episode_number"]).select(
-        "patient_id", "episode_number",
-        F.coalesce(F.col("nc") <= F.col("nd"), F.lit(False)).alias("next_has_chemotherapy"))
-    return e.join(nx, ["patient_id", "episode_number"], "left").select(
+    e = m.hospice_chemo.join(m.patients.select("patient_id"), "patient_id", "left_semi")
+    has = F.coalesce(F.col("next_chemo") <= F.col("discharged_at"), F.lit(False))
+    e = e.select(concat_null("patient_id", F.lit("-"), "episode_number").alias("episode_id"),
+                 "patient_id", "episode_number", "admitted_at", has.alias("has_chemotherapy"))
+    return with_lead(e, "episode_number", bool(m.buckets), next_admission_at="admitted_at",
+                     next_has_chemotherapy="has_chemotherapy").select(
         "episode_id", "patient_id", "admitted_at", "next_admission_at", "next_has_chemotherapy")
 
 
@@ -150,8 +146,7 @@ def _flags(spark, sf):
     """Episode spans of known patients (the EXISTS flags are computed after the
     join to patients) with their hospice / chemotherapy sweep results."""
     m = models(spark, sf)
-    spans = m.episode_spans.join(m.patients.select("patient_id"), "patient_id", "left_semi")
-    return spans.join(m.hospice_chemo, ["patient_id", "episode_number"], "left")
+    return m.hospice_chemo.join(m.patients.select("patient_id"), "patient_id", "left_semi")
 
 
 @q("exists_hospice")
@@ -184,12 +179,7 @@ SQL["exists_chemotherapy"] = O.with_models(
 @q("prior_episodes_365d")
 def prior_episodes_365d(spark, sf):
     """J4 for every episode (history includes ineligible episodes)."""
-    m = models(spark, sf)
-    e, h = m.inpatient_episodes, m.history
-    return e.select("episode_id", "patient_id", "episode_number").join(
-        h, ["patient_id", "episode_number"], "left").select(
-        "episode_id", F.coalesce("prior_episodes_365d", F.lit(0)).cast("bigint")
-        .alias("prior_episodes_365d"))
+    return models(spark, sf).history.select("episode_id", "prior_episodes_365d")
 
 
 SQL["prior_episodes_365d"] = O.with_models(
@@ -203,13 +193,7 @@ SQL["prior_episodes_365d"] = O.with_models(
 @q("active_disorders_at_discharge")
 def active_disorders_at_discharge(spark, sf):
     """J5 for every eligible episode."""
-    m = models(spark, sf)
-    el = m.inpatient_episodes.filter(F.col("is_eligible_index"))
-    a = m.timeline
-    return el.select("episode_id", "patient_id", "episode_number").join(
-        a, ["patient_id", "episode_number"], "left").select(
-        "episode_id", F.coalesce("active_disorders_at_discharge", F.lit(0)).cast("bigint")
-        .alias("active_disorders_at_discharge"))
+    return models(spark, sf).timeline.select("episode_id", "active_disorders_at_discharge")
 
 
 SQL["active_disorders_at_discharge"] = O.with_models(

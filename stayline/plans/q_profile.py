@@ -13,6 +13,7 @@ from ..operators.profile import column_profile, ordered_template
 from ..operators.scan import asc_nulls_last
 from .common import (avg1, check_row, cnt, cnt_if, models, side_by_side, sql_avg1, sql_check,
                      sql_cif, sql_pct)
+from .episodes import with_lead
 
 Q: dict = {}
 SQL: dict = {}
@@ -35,18 +36,8 @@ def q(name):
 
 
 def stays_with_next(m) -> DataFrame:
-    """Each inpatient stay with the next stay's admission: LEAD over the
-    patient's stays, in place where every patient is known to fit one task,
-    else an equi-join on (patient, position + 1)."""
-    s = m.stays
-    if m._plain(m._encounter_rows["encounters"]):
-        w = Window.partitionBy("patient_id").orderBy("stay_seq")
-        return s.withColumn("next_admitted_at", F.lead("admitted_at").over(w))
-    nxt = s.select(F.col("patient_id").alias("__p"), (F.col("stay_seq") - 1).alias("__n"),
-                   F.col("admitted_at").alias("next_admitted_at"))
-    # NULL-safe on the patient: a window groups NULL patients together
-    j = s.join(nxt, s.patient_id.eqNullSafe(nxt["__p"]) & (s.stay_seq == nxt["__n"]), "left")
-    return j.drop("__p", "__n")
+    """Each inpatient stay with the next stay's admission."""
+    return with_lead(m.stays, "stay_seq", m._plain(m.rows_per_patient["encounters"]), next_admitted_at="admitted_at")
 
 
 SQL_STAYS_NEXT = ("stays_next AS (SELECT *, LEAD(admitted_at) OVER (PARTITION BY patient_id "
@@ -54,13 +45,9 @@ SQL_STAYS_NEXT = ("stays_next AS (SELECT *, LEAD(admitted_at) OVER (PARTITION BY
 
 
 def spans_with_next(m) -> DataFrame:
-    e = m.episode_spans
-    nxt = e.select(F.col("patient_id").alias("__p"),
-                   (F.col("episode_number") - 1).alias("__n"),
-                   F.col("admitted_at").alias("next_admitted_at"))
-    j = e.join(nxt, e.patient_id.eqNullSafe(nxt["__p"]) & (e.episode_number == nxt["__n"]),
-               "left")
-    return j.drop("__p", "__n")
+    """Each episode span with the next one's admission."""
+    return with_lead(m.spans, "episode_number", m._plain(m.rows_per_patient["encounters"]),
+                     next_admitted_at="admitted_at")
 
 
 SQL_SPANS_NEXT = ("spans_next AS (SELECT *, LEAD(admitted_at) OVER (PARTITION BY patient_id "
@@ -219,9 +206,7 @@ SQL["episode_readmission_rate"] = O.with_models(
 def _exclusions(m) -> DataFrame:
     """Profiling form of the exclusions: 'died' is any death on or before the
     discharge day + 1 (it also takes deaths before admission)."""
-    spans = m.episode_spans
-    e = spans.join(m.patients.select("patient_id", "death_date"), "patient_id")
-    e = e.join(m.hospice_chemo, ["patient_id", "episode_number"], "left")
+    e = m.hospice_chemo.join(m.patients.select("patient_id", "death_date"), "patient_id")
     return e.select(
         "patient_id", "episode_number", "admitted_at", "death_date",
         (F.col("death_date").isNotNull()
