@@ -40,7 +40,8 @@ def placed(df: DataFrame, key: str, buckets: int) -> DataFrame:
 
 
 def bucketed(df: DataFrame, key: str, buckets: int, sort: list[str] | None = None) -> DataFrame:
-    """``df`` written in buckets of ``key``, sorted within them, and read back.
+    """``df`` written in buckets of ``key`` (sorted within them by ``sort``, for
+    readers that skip by those columns) and read back.
 
     ``df`` should be placed already (:func:`placed`, or a window or grouping on
     top of it), else every task writes a piece of every bucket. The table lies
@@ -50,8 +51,8 @@ def bucketed(df: DataFrame, key: str, buckets: int, sort: list[str] | None = Non
     spark = df.sparkSession
     name = f"layout_{uuid.uuid4().hex[:16]}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
-    (df.write.format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key, *(sort or []))
-     .saveAsTable(name))
+    w = df.write.format("parquet").option("path", path).bucketBy(buckets, key)
+    (w.sortBy(*sort) if sort else w).saveAsTable(name)
     # new names for the columns: a union keeps a layout only of unqualified ones
     table = spark.table(name).select(*[F.col(c).alias(c) for c in df.columns])
     spark.sql(f"DROP TABLE {name}")

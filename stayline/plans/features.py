@@ -3,11 +3,11 @@ point-in-time features and the all-cause 30-day label."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules as R
-from ..functions import age_years, day_diff, midnight_days_before
+from ..functions import age_years, concat_null, day_diff, midnight_days_before
 from ..operators.intervals import count_covering, island_events
 from ..operators.scan import Spec, asc, ordered_scan
 from ..operators.sweep import QSET, pick, sweep
@@ -20,7 +20,13 @@ FEATURE_COLUMNS = [
 
 #: columns of an eligible episode that its timeline row carries
 PATIENT = ["birth_date", "gender"]
-EPISODE = ["episode_id", "admitted_at", "discharged_at", "stay_in_episode", "readmitted_30d", *PATIENT]
+#: they are put together from the 'admit' rows by a hash aggregate, so all have
+#: a fixed width; the gender, which has not, is a grouping key on all queries
+EPISODE = ["admitted_at", "discharged_at", "stay_in_episode", "readmitted_30d", "birth_date"]
+
+
+def episode_id() -> Column:
+    return concat_null("patient_id", F.lit("-"), "episode_number").alias("episode_id")
 
 
 def history_365d(episodes: DataFrame, targets: DataFrame | None = None,
@@ -35,17 +41,16 @@ def history_365d(episodes: DataFrame, targets: DataFrame | None = None,
     targets = episodes if targets is None else targets
     ts_type = episodes.schema["admitted_at"].dataType.simpleString()
     queries = {
-        "admit": targets.select("patient_id", "episode_number", "episode_id", F.col("admitted_at").alias("ts")),
-        "year": targets.select("patient_id", "episode_number", F.lit(None).cast("string").alias("episode_id"),
+        "admit": targets.select("patient_id", "episode_number", F.col("admitted_at").alias("ts")),
+        "year": targets.select("patient_id", "episode_number",
                                midnight_days_before("admitted_at", R.HISTORY_WINDOW_DAYS, ts_type).alias("ts")),
     }
     points = {"episode": episodes.select("patient_id", F.col("admitted_at").alias("ts"))}
-    hits = sweep(["patient_id"], ["episode_number", "episode_id"], queries, points,
+    hits = sweep(["patient_id"], ["episode_number"], queries, points,
                  [("n_before", "episode", "count_before")], plain=plain)
     g = hits.groupBy("patient_id", "episode_number").agg(
-        pick("admit", "episode_id").alias("episode_id"),
         pick("admit", "n_before").alias("earlier"), pick("year", "n_before").alias("too_old"))
-    return g.select("patient_id", "episode_number", "episode_id",
+    return g.select("patient_id", "episode_number", episode_id(),
                     (F.coalesce("earlier", F.lit(0)) - F.coalesce("too_old", F.lit(0)))
                     .cast("bigint").alias("prior_episodes_365d"),
                     F.coalesce("earlier", F.lit(0)).cast("bigint").alias("earlier_episodes"))
@@ -87,8 +92,8 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
     disorders active on the discharge day; the number of kind-3 rows before a
     kind-2 query counts earlier admissions. The 'admit' query carries the
     eligible episode's own columns (EPISODE), so nothing is joined back.
-    Returns patient_id, episode_number, EPISODE, prior_episodes_365d,
-    active_disorders_at_discharge.
+    Returns episode_id, patient_id, episode_number, EPISODE, gender,
+    prior_episodes_365d, active_disorders_at_discharge.
     """
     ts_type = episodes.schema["admitted_at"].dataType.simpleString()
     dis = disorder_rows(conditions) if disorders is None else disorders
@@ -104,9 +109,9 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
             F.lit(delta).cast("int").alias("delta") if not isinstance(delta, F.Column)
             else delta.cast("int").alias("delta"),
             F.lit(point).alias("point"),
-            *[(F.col(c) if qset == "admit" else F.lit(None).cast(types[c])).alias(c) for c in EPISODE])
+            *[(F.col(c) if has else F.lit(None).cast(episodes.schema[c].dataType)).alias(c)
+              for c, has in [("gender", qset is not None), *[(c, qset == "admit") for c in EPISODE]]])
 
-    types = {c: episodes.schema[c].dataType for c in EPISODE}
     # NULL patients never match in the joins this replaces: their events and
     # admissions are left out, so their queries count nothing
     ev = ev.filter(F.col("patient_id").isNotNull())
@@ -125,13 +130,13 @@ def feature_timeline(episodes: DataFrame, eligible: DataFrame,
                        [Spec("run_delta", "sum", "delta", "upto"),
                         Spec("n_before", "sum", "point", "before")], plain=plain_timeline)
     q = res.filter(F.col("kind").isin(1, 2))
-    g = q.groupBy("patient_id", "episode_number").agg(
+    g = q.groupBy("patient_id", "episode_number", "gender").agg(
         *[pick("admit", c).alias(c) for c in EPISODE],
         pick("cover", F.when(F.col("ts").isNotNull(), F.col("run_delta")).otherwise(F.lit(0)))
         .alias("active"),
         pick("admit", "n_before").alias("earlier"), pick("year", "n_before").alias("too_old"))
     return g.select(
-        "patient_id", "episode_number", *EPISODE,
+        episode_id(), "patient_id", "episode_number", *EPISODE, "gender",
         (F.coalesce("earlier", F.lit(0)) - F.coalesce("too_old", F.lit(0))).cast("bigint")
         .alias("prior_episodes_365d"),
         F.coalesce("active", F.lit(0)).cast("bigint").alias("active_disorders_at_discharge"))

@@ -84,9 +84,9 @@ class Models:
     def _placed(self, df: DataFrame, buckets: int | None) -> DataFrame:
         return layout.placed(df, "patient_id", buckets) if buckets else df
 
-    def _written(self, df: DataFrame, buckets: int | None, *sort: str) -> DataFrame:
+    def _written(self, df: DataFrame, buckets: int | None) -> DataFrame:
         """Written once; in the layout by patient where there is one."""
-        return layout.bucketed(df, "patient_id", buckets, list(sort)) if buckets else materialize(df)
+        return layout.bucketed(df, "patient_id", buckets) if buckets else materialize(df)
 
     # --- the models ----------------------------------------------------------------
 
@@ -103,19 +103,14 @@ class Models:
         s = episode_spans(None, self.stays)
         return s if self._plain(self.rows_per_patient["encounters"]) else materialize(s)
 
-    @cached_property
-    def encounter_times(self) -> DataFrame:
-        """Inpatient and hospice encounters, only the columns the episodes
-        need; laid out by patient for the stays and the hospice points."""
-        e = self.encounters.where(F.col("encounter_class").isin(R.INPATIENT_CLASS, R.HOSPICE_CLASS)).select(
-            "patient_id", "encounter_id", "encounter_class", "start_ts", "stop_ts")
-        return self._written(self._placed(e, self.buckets), self.buckets, "start_ts")
-
     @cached_property
     def episode_spans(self) -> DataFrame:
         """Written once: both sweep queries and the checks start from it."""
-        stays = numbered_stays(self.encounter_times, plain=self._plain(self.rows_per_patient["encounters"]))
-        return self._written(episode_spans(None, stays), self.buckets, "episode_number")
+        b, e = self.rows_per_patient, self.encounters
+        if self.buckets:
+            e = self._placed(e.where(F.col("encounter_class") == R.INPATIENT_CLASS).select(
+                "patient_id", "encounter_id", "encounter_class", "start_ts", "stop_ts"), self.buckets)
+        return self._written(episode_spans(None, numbered_stays(e, plain=self._plain(b["encounters"]))), self.buckets)
 
     @cached_property
     def chemo_points(self) -> DataFrame:
@@ -128,7 +123,7 @@ class Models:
         next chemotherapy start after admission (one timeline sweep). Sweep rows
         per patient <= 2 queries per stay + hospice encounters + chemo."""
         return hospice_and_chemo(self.episode_spans, None, None, plain=bool(self.buckets),
-                                 hospice=hospice_points(self.encounter_times),
+                                 hospice=self._placed(hospice_points(self.encounters), self.buckets),
                                  chemo=self._placed(self.chemo_points, self.buckets))
 
     @cached_property
@@ -136,7 +131,7 @@ class Models:
         """The episode table and the patient's columns the features need,
         written like a model table: every feature branch reads it."""
         e = inpatient_episodes(self.patients, None, None, hc=self.hospice_chemo, plain=bool(self.buckets))
-        return self._written(e, self.buckets, "episode_number")
+        return self._written(e, self.buckets)
 
     @cached_property
     def inpatient_episodes(self) -> DataFrame:
