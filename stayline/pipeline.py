@@ -39,7 +39,7 @@ def run_pipeline(spark: SparkSession, landing: str, out: str,
     (G.gate_batch(spark, landing, expected=list(REQUIRED_COLUMNS)).withColumn("run", F.lit(run))
      .write.mode("append").partitionBy("run").parquet(f"{out}/audit/gate"))
     verdicts = spark.read.parquet(f"{out}/audit/gate").where(F.col("run") == run)
-    G.quarantine(spark, landing, verdicts, f"{out}/quarantine")
+    G.quarantine(spark, landing, verdicts, f"{out}/quarantine", remove=True)
     tracked = verdicts.withColumn("t", F.split("key", "/").getItem(0)).where(
         F.col("t").isin([f"{t}.csv" for t in TABLES]))
     # one row per tracked table

@@ -249,7 +249,7 @@ def quarantine_sink(spark, sf):
     res = G.gate_batch(spark, root, expected=list(REQUIRED_COLUMNS))
     dest = scratch_dir(spark, "quarantine")
     G.quarantine(spark, root, res, dest)
-    qd = spark.read.parquet(dest).withColumn("table_key", F.split("key", "/").getItem(0))
+    qd = G.quarantined(spark, dest).withColumn("table_key", F.split("key", "/").getItem(0))
     # every part file has one header line
     return qd.groupBy("table_key", "reason").agg(
         (F.count(F.lit(1)) - F.count_distinct("key")).cast("bigint").alias("data_lines"))

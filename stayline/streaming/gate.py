@@ -28,9 +28,11 @@ from __future__ import annotations
 import re
 from itertools import islice
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources.schemas import REQUIRED_COLUMNS
 
 QUARANTINE = "quarantine/"
@@ -59,12 +61,16 @@ def _rel_key(path: F.Column, root: str) -> F.Column:
     return F.when(F.contains(rel, F.lit("/" + base)), F.substring_index(rel, "/" + base, -1)).otherwise(rel)
 
 
-def listing(spark: SparkSession, root: str, stream: bool = False) -> DataFrame:
-    """Every file below ``root`` as (path, length); file content is not read
-    (binaryFile prunes the content column)."""
+def listing(spark: SparkSession, root: str, stream: bool = False, times: bool = False,
+            max_files: int | None = None) -> DataFrame:
+    """Every file below ``root`` as (path, length), with ``times`` also
+    modificationTime; file content is not read (binaryFile prunes the content
+    column)."""
     r = spark.readStream.schema(BINARY_FILE_SCHEMA) if stream else spark.read
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
     return (r.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-            .select("path", "length"))
+            .select("path", "length", *(["modificationTime"] if times else [])))
 
 
 def _arrow_reader():
@@ -141,19 +147,68 @@ def _line_reader():
     return read_heads
 
 
-def file_heads(files: DataFrame, root: str) -> DataFrame:
+def _scheme(root: str) -> str:
+    m = re.match(SCHEME, root)
+    return m[1] if m else ""
+
+
+def _line_heads(lines: DataFrame) -> DataFrame:
+    """Heads from text lines with their file; every file's first split starts
+    at 0 and lies in one task, in order."""
+    return (lines.where("_metadata.file_block_start = 0")
+            .select(F.url_decode("_metadata.file_path").alias("path"), "value").mapInPandas(_line_reader(), HEAD_SCHEMA))
+
+
+def _named_heads(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Heads of the named files by Spark's text reader, written once. Files the
+    reader fails on are found by halving and get its error."""
+    try:
+        heads = materialize(_line_heads(spark.read.text([_glob_literal(p) for p in paths])))
+    except Exception as e:  # noqa: BLE001  the verdict of a file, not of the job
+        if len(paths) == 1:
+            error = f"{type(e).__name__}: {e}".split("\n")[0][:300]
+            return spark.createDataFrame([(paths[0], None, False, error)], HEAD_SCHEMA)
+        half = len(paths) // 2
+        return _named_heads(spark, paths[:half]).unionByName(_named_heads(spark, paths[half:]))
+    named = spark.createDataFrame([(p,) for p in paths], "path string")
+    empty = named.select("path", F.regexp_replace(F.regexp_replace("path", SCHEME, ""), "^/+", "/").alias("p")).join(
+        heads.select(F.regexp_replace(F.regexp_replace("path", SCHEME, ""), "^/+", "/").alias("p")), "p", "left_anti")
+    return heads.unionByName(empty.select("path", F.array().cast("array<string>").alias("header"),
+                                          F.lit(False).alias("has_data"), F.lit(None).cast("string").alias("error")))
+
+
+def _by_lines(files: DataFrame, slice_files: int = 1000) -> DataFrame | None:
+    """Heads of the listed files by Spark's text reader, in slices of names."""
+    out, names = None, (r["path"] for r in files.select("path").toLocalIterator())
+    while paths := list(islice(names, slice_files)):
+        part = _named_heads(files.sparkSession, paths)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def file_heads(files: DataFrame, root: str, named: bool = False) -> DataFrame:
     """Per file: key (path below ``root``), header fields, whether a line
     follows the header, and why the file could not be read. Work is spread
-    over tasks by the listing's partitions."""
-    m = re.match(SCHEME, root)
-    if (m[1] if m else "") in ARROW_SCHEMES or files.isStreaming:
+    over tasks by the listing's partitions.
+
+    Where Arrow knows the file system, it reads the heads; on object stores and
+    HDFS, files it cannot open (it does not see Hadoop's credentials) are tried
+    again with Spark's text reader. Elsewhere the text reader reads all of
+    ``root``, or just the listed files (``named``: a stream's batch)."""
+    scheme = _scheme(root)
+    if scheme in ARROW_SCHEMES:
         heads = files.select("path").mapInPandas(_arrow_reader(), HEAD_SCHEMA)
+        if ARROW_SCHEMES[scheme] != "file":
+            heads = materialize(heads)
+            again = _by_lines(heads.where("error is not null"))
+            if again is not None:
+                heads = heads.where("error is null").unionByName(again)
+    elif named:
+        heads = _by_lines(files)
+        if heads is None:
+            heads = files.sparkSession.createDataFrame([], HEAD_SCHEMA)
     else:
-        # every file's first split starts at 0 and lies in one task, in order
-        lines = (files.sparkSession.read.option("recursiveFileLookup", "true").text(root)
-                 .where("_metadata.file_block_start = 0")
-                 .select(F.url_decode("_metadata.file_path").alias("path"), "value"))
-        heads = lines.mapInPandas(_line_reader(), HEAD_SCHEMA)
+        heads = _line_heads(files.sparkSession.read.option("recursiveFileLookup", "true").text(root))
     return heads.select(_rel_key(F.col("path"), root).alias("key"), "header", "has_data", "error")
 
 
@@ -215,31 +270,72 @@ def _remover(root: str):
     return remove
 
 
+def _hadoop_remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete through Spark's own file systems, for those Arrow lacks."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, False)
+
+
+MANIFEST_SCHEMA = "key string, length bigint, landed timestamp"
+
+
+def _manifest(spark: SparkSession, dest: str) -> DataFrame:
+    """Files whose copy is complete (key, length, time of landing)."""
+    try:
+        return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{dest.rstrip('/')}/_manifest")
+    except AnalysisException:  # nothing was ever quarantined there
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+
+
 def quarantine(spark: SparkSession, root: str, results: DataFrame, dest: str, remove: bool = False,
                slice_files: int = 1000) -> DataFrame:
-    """K2: rejected files' lines go to a quarantine dataset (partitioned by
-    the file key, with the reason). Only the rejected files are read, in
-    slices of ``slice_files`` names, so the driver never holds them all.
-    ``remove`` then takes them out of the landing area, as a move would;
-    otherwise they stay and :func:`accepted_paths` leaves them out
-    downstream. Re-running replaces just these files' partitions."""
-    rej = results.filter(F.col("status") == "REJECTED").select("key", "reason")
-    base = root.rstrip("/")
-    files = listing(spark, root).select(_rel_key(F.col("path"), root).alias("key"))
+    """K2: move rejected files out of the landing area, in two committed phases.
+
+    1. Copy: the lines of the rejected files go to ``dest`` (partitioned
+       by the file key, with the reason); after that one manifest row per file
+       (key, length, time of landing) commits the copy.
+    2. With ``remove``, files that have a manifest row are deleted from
+       landing. Without, they stay and :func:`accepted_paths` leaves them out
+       downstream.
+
+    Only the rejected files are read, in slices of ``slice_files`` names, so
+    the driver never holds them all. Restartable at any point: an uncommitted
+    copy is made again over the same partitions, a committed one is only
+    removed; a new file under an old name is copied anew. Returns the lines
+    (value, reason, key)."""
+    rej = results.filter(F.col("status") == "REJECTED").select("key", "reason").dropDuplicates(["key"])
+    base, dest = root.rstrip("/"), dest.rstrip("/")
+    files = listing(spark, root, times=True).select(_rel_key(F.col("path"), root).alias("key"), "length",
+                                                    F.col("modificationTime").alias("landed"))
     # rejected keys that are files (an absent table has none)
-    held = rej.join(files, "key", "left_semi")
-    names = (r["key"] for r in held.select("key").distinct().toLocalIterator())
+    held = materialize(files.join(rej, "key"))
+    todo = materialize(held.join(_manifest(spark, dest), ["key", "length", "landed"], "left_anti"))
+    names = (r["key"] for r in todo.select("key").toLocalIterator())
     while keys := list(islice(names, slice_files)):
         part = spark.createDataFrame([(k,) for k in keys], "key string")
         lines = spark.read.text([_glob_literal(f"{base}/{k}") for k in keys]).select(
             _rel_key(F.url_decode("_metadata.file_path"), root).alias("key"), "value")
         (lines.join(rej.join(part, "key", "left_semi"), "key").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("key").parquet(dest))
-        if remove:
-            part.mapInPandas(_remover(root), "key string").write.format("noop").mode("overwrite").save()
+        (todo.join(part, "key", "left_semi").select("key", "length", "landed")
+         .write.mode("append").parquet(f"{dest}/_manifest"))
+    if remove:
+        gone = held.join(_manifest(spark, dest), ["key", "length", "landed"], "left_semi").select("key").distinct()
+        if _scheme(root) in ARROW_SCHEMES:
+            gone.mapInPandas(_remover(root), "key string").write.format("noop").mode("overwrite").save()
+        else:
+            names = (r["key"] for r in gone.toLocalIterator())
+            while keys := list(islice(names, slice_files)):
+                _hadoop_remove(spark, [f"{base}/{k}" for k in keys])
+    return quarantined(spark, dest)
+
+
+def quarantined(spark: SparkSession, dest: str) -> DataFrame:
     try:
         return spark.read.schema("value string, reason string, key string").parquet(dest)
-    except Exception:  # noqa: BLE001  nothing was ever quarantined there
+    except AnalysisException:  # nothing was ever quarantined there
         return spark.createDataFrame([], "value string, reason string, key string")
 
 
@@ -253,19 +349,81 @@ def accepted_paths(results: DataFrame) -> DataFrame:
 
 
 def gate_stream(spark: SparkSession, root: str, audit: str, checkpoint: str,
-                available_now: bool = True, interval: str = "1 minute"):
-    """Validate files as they arrive. The listing is a Structured
-    Streaming file source (each new file once, tracked in the checkpoint),
-    the verdict logic is stateless, and the audit dataset is Spark's Parquet
-    file sink, which commits each micro-batch exactly once (its metadata log)
-    even when a batch is replayed after a failure. ``available_now`` runs what
-    has landed and stops; otherwise the query keeps running on ``interval``
-    and is returned. :func:`missing_tables` over the audit tells which
-    expected tables have not arrived."""
-    v = verdicts(file_heads(listing(spark, root, stream=True), root))
-    w = (v.writeStream.format("parquet").option("path", audit)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+                available_now: bool = True, interval: str = "1 minute", max_files: int = 10_000,
+                expected: list[str] | None = None, wait_seconds: int = 3600):
+    """Validate files as they arrive. The listing is a Structured Streaming
+    file source (each new file once, tracked in the checkpoint, at most
+    ``max_files`` a batch). Each batch's verdicts replace the partition of its
+    batch id in the audit dataset, so a batch that is replayed after a failure
+    leaves the same rows, and the heads are read as in :func:`gate_batch`: on
+    every file system Spark reads.
+
+    ``available_now`` runs what has landed and stops; otherwise the query keeps
+    running on ``interval`` and is returned. With ``expected`` tables a running
+    gate also starts :func:`arrivals`, whose rows join the same audit, and both
+    queries are returned."""
+    def judge(batch: DataFrame, no: int) -> None:
+        _commit(verdicts(file_heads(batch, root, named=True)), audit, "gate", no)
+
+    files = listing(spark, root, stream=True, max_files=max_files)
+    w = files.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
     if available_now:
         w.trigger(availableNow=True).start().awaitTermination()
         return None
-    return w.trigger(processingTime=interval).start()
+    gate = w.trigger(processingTime=interval).start()
+    if expected is None:
+        return gate
+    return gate, arrivals(spark, root, audit, f"{checkpoint.rstrip('/')}-arrivals", expected, wait_seconds, interval)
+
+
+def _commit(rows: DataFrame, audit: str, source: str, batch: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{audit.rstrip('/')}/source={source}/batch={batch}")
+
+
+def _arrival_step(wait_ms: int):
+    """One table's state (arrived, reported): reported missing once when its
+    timer ends, cleared once when it lands after that."""
+    def step(key, batches, state):
+        import pandas as pd
+
+        landed = any((~pdf["seed"]).any() for pdf in batches)
+        arrived, reported = state.get if state.exists else (False, False)
+        said = None
+        if state.hasTimedOut:
+            if not arrived and not reported:
+                said, reported = ("REJECTED", "empty file, no header"), True
+            state.update((arrived, reported))
+        elif landed or arrived:
+            if reported:
+                said = ("ARRIVED", "landed after it was reported missing")
+            state.update((True, False))
+        else:
+            state.update((False, reported))
+            if not reported:
+                state.setTimeoutDuration(wait_ms)
+        rows = [(key[0], *said)] if said else []
+        yield pd.DataFrame(rows, columns=VERDICT_COLUMNS)
+    return step
+
+
+def arrivals(spark: SparkSession, root: str, audit: str, checkpoint: str, expected: list[str],
+             wait_seconds: int, interval: str = "1 minute"):
+    """S12 on a stream: every expected table has a timer from the start of the
+    stream. A table without a file when it ends gets one REJECTED row; if it
+    lands later, one ARRIVED row clears it. State and timers are Spark's
+    (``applyInPandasWithState``); the expected tables enter as a second stream,
+    read once from a seed file beside the checkpoint. The running query is
+    returned; its rows go to the audit by batch id."""
+    seeds = f"{checkpoint.rstrip('/')}-expected"
+    spark.createDataFrame([(k,) for k in expected], "table_key string").coalesce(1).write.mode("ignore").parquet(seeds)
+    seed = spark.readStream.schema("table_key string").parquet(seeds).select("table_key", F.lit(True).alias("seed"))
+    key = _rel_key(F.col("path"), root)
+    landed = listing(spark, root, stream=True).where(~F.startswith(key, F.lit(QUARANTINE))).select(
+        F.split(key, "/").getItem(0).alias("table_key"), F.lit(False).alias("seed"))
+    landed = landed.where(F.col("table_key").isin(list(expected)))
+    said = seed.unionByName(landed).groupBy("table_key").applyInPandasWithState(
+        _arrival_step(wait_seconds * 1000), "key string, status string, reason string",
+        "arrived boolean, reported boolean", "append", "ProcessingTimeTimeout")
+    return (said.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda batch, no: _commit(batch, audit, "arrivals", no))
+            .trigger(processingTime=interval).start())

@@ -144,3 +144,100 @@ def test_summary_shows_a_lost_or_repeated_part_file(spark):
     assert rows(v) == whole
     assert rows(v[1:]) == [whole[0], ("a.csv", "LOST", "landed without a verdict"), whole[1]]
     assert rows([v[0], *v]) == [whole[0], ("a.csv", "REPEATED", "ok"), whole[1]]
+
+
+def _landing(root):
+    _write(root, "encounters.csv", ENC_HEADER + "\n" + ENC_ROW + "\n")
+    _write(root, "patients.csv/part [1] a.csv", "ID,BIRTHDATE,GENDER\nx,2000-01-01,F\n")
+    _write(root, "observations.csv", "DATE,PATIENT,CODE,VALUE\n")
+    _write(root, "other.csv", "a\n1\n")
+    _write(root, "quarantine/patients.csv", "ID\n1\n")
+
+
+def test_stream_on_a_file_system_arrow_lacks(spark, tmp_path, monkeypatch):
+    """The batch's files go through Spark's text reader: same verdicts, batch by batch."""
+    root, work = str(tmp_path / "landing"), str(tmp_path / "work")
+    _landing(root)
+    want = sorted(map(tuple, G.gate_batch(spark, root).collect()))
+    monkeypatch.setattr(G, "ARROW_SCHEMES", {})
+    G.gate_stream(spark, root, work + "/audit", work + "/ckpt", max_files=2)
+    audit = spark.read.parquet(work + "/audit")
+    assert sorted(map(tuple, audit.select(*G.VERDICT_COLUMNS).collect())) == want
+    assert audit.select("batch").distinct().count() > 1
+    assert sorted(map(tuple, G.gate_batch(spark, root).collect())) == want
+
+
+def test_files_arrow_cannot_open_are_tried_by_the_text_reader(spark, tmp_path, monkeypatch):
+    """As on an object store whose credentials only Hadoop has; a file nobody can read keeps its own verdict."""
+    root = str(tmp_path / "landing")
+    _landing(root)
+    want = sorted(map(tuple, G.gate_batch(spark, root).collect()))
+    monkeypatch.setattr(G, "ARROW_SCHEMES", {"": "s3", "file": "s3"})
+    assert sorted(map(tuple, G.gate_batch(spark, root).collect())) == want
+    heads = G._named_heads(spark, [f"{root}/encounters.csv", f"{root}/absent.csv", f"{root}/observations.csv"])
+    got = {r["path"].rsplit("/", 1)[1]: r["error"] for r in heads.collect()}
+    assert got["encounters.csv"] is None and got["observations.csv"] is None
+    assert "absent.csv" in got["absent.csv"] or "PATH_NOT_FOUND" in got["absent.csv"]
+
+
+def test_a_replayed_batch_leaves_the_same_rows(spark, tmp_path):
+    audit = str(tmp_path / "audit")
+    rows = spark.createDataFrame([("a.csv", "SKIPPED", "x")], "key string, status string, reason string")
+    for _ in range(2):
+        G._commit(rows, audit, "gate", 7)
+    G._commit(rows, audit, "gate", 8)
+    assert spark.read.parquet(audit).count() == 2
+
+
+def test_missing_tables_are_told_by_the_stream(spark, tmp_path):
+    """One REJECTED row when a table's timer ends, one ARRIVED row when it lands later, nothing twice."""
+    import time
+
+    root, work = str(tmp_path / "landing"), str(tmp_path / "work")
+    _write(root, "encounters.csv", ENC_HEADER + "\n" + ENC_ROW + "\n")
+    expected = ["encounters.csv", "patients.csv", "conditions.csv"]
+
+    def told():
+        try:
+            df = spark.read.parquet(work + "/audit").where("source = 'arrivals'")
+            return sorted((r["key"], r["status"]) for r in df.collect())
+        except Exception:  # noqa: BLE001  nothing written yet
+            return []
+
+    def until(want):
+        end = time.time() + 90
+        while told() != want and time.time() < end:
+            time.sleep(0.5)
+        assert told() == want
+
+    q = G.arrivals(spark, root, work + "/audit", work + "/ckpt", expected, wait_seconds=1, interval="500 milliseconds")
+    try:
+        missing = [("conditions.csv", "REJECTED"), ("patients.csv", "REJECTED")]
+        until(missing)
+        _write(root, "patients.csv", "Id,BIRTHDATE,GENDER\nx,2000-01-01,F\n")
+        until(sorted(missing + [("patients.csv", "ARRIVED")]))
+        time.sleep(3)  # further timers and batches add nothing
+        assert told() == sorted(missing + [("patients.csv", "ARRIVED")])
+    finally:
+        q.stop()
+
+
+def test_quarantine_is_restarted_between_its_phases(spark, tmp_path, monkeypatch):
+    root, dest = str(tmp_path / "landing"), str(tmp_path / "quarantine")
+    _landing(root)
+    res = spark.createDataFrame(G.gate_batch(spark, root).collect(), "key string, status string, reason string")
+    G.quarantine(spark, root, res, dest)             # copied and committed, then killed before the removal
+    lines = sorted(map(tuple, G.quarantined(spark, dest).collect()))
+    assert len(lines) == 3 and G._manifest(spark, dest).count() == 2
+    G.quarantine(spark, root, res, dest, remove=True)
+    assert sorted(map(tuple, G.quarantined(spark, dest).collect())) == lines
+    assert G._manifest(spark, dest).count() == 2     # nothing was copied again
+    assert sorted(r["key"] for r in G.gate_batch(spark, root).collect()) == ["encounters.csv", "other.csv"]
+    _write(root, "observations.csv", "DATE,PATIENT,CODE\n1,2,3\n")  # a new file under an old name
+    res = spark.createDataFrame(G.gate_batch(spark, root).collect(), "key string, status string, reason string")
+    monkeypatch.setattr(G, "ARROW_SCHEMES", {})      # removed by Spark's own file system
+    G.quarantine(spark, root, res, dest, remove=True)
+    assert G._manifest(spark, dest).count() == 3
+    assert {r["value"] for r in G.quarantined(spark, dest).where("key = 'observations.csv'").collect()} == {
+        "DATE,PATIENT,CODE", "1,2,3"}
+    assert sorted(r["key"] for r in G.gate_batch(spark, root).collect()) == ["encounters.csv", "other.csv"]
