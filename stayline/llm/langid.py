@@ -7,6 +7,12 @@ the best single one, a further one being admitted only while the gain in log
 likelihood exceeds its penalty (half the logarithm of the n-gram count, plus a
 margin per n-gram). The prediction is the language with the largest share.
 
+Whether a text's language is known at all is a likelihood ratio, not a share:
+the penalised likelihood of its chosen mixture against a background that takes
+every n-gram code for equally likely. N-grams of no learned language cost
+evidence, those of any learned language add to it, so clean texts in several
+languages are known and noise or an unlearned script is not.
+
 Defined results: null text or text without a letter is ``und`` with score 0;
 so is everything if no labelled row exists. Rows with a null label are not
 learned from. Training may be bounded to ``max_rows`` rows per language, the
@@ -20,8 +26,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textbytes as tb
+from .staging import whole_row
 
 UND = "und"
 BITS = 16
@@ -29,6 +37,7 @@ SMOOTH = 0.5
 ROUNDS = 12
 MAX_ROWS = 2000
 MARGIN = 0.01
+EVIDENCE = 5.0  # nats by which a known language beats the background
 
 
 def ngrams(raw: list[bytes]):
@@ -133,9 +142,11 @@ def fit_mixture(logp: np.ndarray, weight: np.ndarray, margin: float = MARGIN):
 
 
 def judge(texts, langs: list[str], table: np.ndarray):
-    """(predictions, scores, mixtures) of a sequence of texts."""
+    """(predictions, scores, mixtures, evidence) of a sequence of texts;
+    evidence: log likelihood of the mixture, less a penalty per language, above
+    that of the background (minus infinity for und)."""
     raw = tb.encode(texts)
-    pred, score, shares = [], [], []
+    pred, score, shares, evidence = [], [], [], []
     for lo, hi in tb.chunks([len(r) for r in raw]):
         codes, off = ngrams(raw[lo:hi])
         for i in range(hi - lo):
@@ -144,20 +155,23 @@ def judge(texts, langs: list[str], table: np.ndarray):
                 pred.append(UND)
                 score.append(0.0)
                 shares.append([])
+                evidence.append(-np.inf)
                 continue
             kinds, weight = np.unique(mine, return_counts=True)
-            share, _ = fit_mixture(table[kinds].astype(np.float64), weight.astype(np.float64))
+            share, like = fit_mixture(table[kinds].astype(np.float64), weight.astype(np.float64))
             k = int(np.argmax(share))
             pred.append(langs[k])
             score.append(float(min(1.0, max(0.0, share[k]))))
             shares.append([(langs[j], float(share[j])) for j in np.flatnonzero(share > 0)])
-    return pred, score, shares
+            background = len(mine) * BITS * np.log(2.0)
+            evidence.append(float(like + background - 0.5 * np.log(len(mine) + 1) * np.count_nonzero(share)))
+    return pred, score, shares, evidence
 
 
 def _predict(langs: list[str], logp):
     def run(batches):
         for b in batches:
-            pred, score, shares = judge(b.column("text").to_pylist(), langs, logp.value)
+            pred, score, shares, _ = judge(b.column("text").to_pylist(), langs, logp.value)
             rest = [n for n in b.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
                 [b.column(n) for n in rest] + [pa.array(pred, pa.string()), pa.array(score, pa.float64()),
@@ -187,14 +201,20 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.where(~held_out(3, 1) & F.col("doc_id").isNotNull())
 
 
-def confident(docs: DataFrame, least: float = 0.4, max_rows: int | None = MAX_ROWS) -> DataFrame:
-    """Rows of ``docs`` whose language is known: predicted, with at least
-    ``least`` of the text. All columns stay; ``und`` goes."""
+def confident(docs: DataFrame, evidence: float = EVIDENCE, max_rows: int | None = MAX_ROWS) -> DataFrame:
+    """Rows of ``docs`` whose language or languages are known: the mixture
+    beats the background by ``evidence``. Null texts, texts without a letter,
+    random letters and unlearned scripts go; so does all if no labelled row
+    exists. A text of one or two letters is known only if words of a learned
+    language often begin with them. All columns stay, whatever their names."""
     langs, logp = train(learnable(docs), max_rows)
     table = docs.sparkSession.sparkContext.broadcast(logp)
 
     def run(batches):
         for b in batches:
-            pred, score, _ = judge(b.column("text").to_pylist(), langs, table.value)
-            yield b.filter(pa.array([p != UND and s >= least for p, s in zip(pred, score)], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+            found = judge(b.column("text").to_pylist(), langs, table.value)[3]
+            known = pa.array([e > evidence for e in found], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("row").filter(known)], names=["row"])
+    rows = docs.select(whole_row(docs).alias("row"), "text")
+    out = rows.mapInArrow(run, T.StructType([rows.schema["row"]]))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])

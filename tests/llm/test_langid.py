@@ -72,6 +72,51 @@ def test_undetermined_null_repeated_and_long(docs_of):
     assert kept.count() == len(rows) - 4
 
 
+def test_known_languages_are_told_from_noise(docs_of):
+    """Clean texts in any number of learned languages stay, noise goes; no share decides."""
+    rnd = random.Random(11)
+    every = [w for ws in WORDS.values() for w in ws.split()]
+    clean = {3000: " ".join(text(x, 25, rnd) for x in sorted(WORDS)), 3001: " ".join(text(x, 8, rnd) for x in sorted(WORDS) * 2),
+             3002: " ".join(rnd.choice(every) for _ in range(90)), 3003: "dada gaga", 3004: text("bb", 3, rnd) + " 12345 -- 99"}
+    noise = {3100: "".join(rnd.choice("qwertyuiopasdfghjklzxcvbnm ") for _ in range(600)), 3101: "q", 3102: "日本語の文章はここにあります。" * 9,
+             3103: "hjq wfy", 3104: "Ж" * 40}
+    rows = corpus() + [(i, t, None) for i, t in {**clean, **noise}.items()]
+    kept = {r.doc_id for r in L.confident(docs_of(rows)).collect()}
+    assert kept == set(range(240)) | set(clean)
+
+
+def test_known_rows_keep_columns_of_any_name(docs_of):
+    docs = docs_of(corpus()).withColumn("a.b", F.lit(1)).withColumn("row", F.lit("r")).withColumn("c`d", F.lit(None).cast("int"))
+    kept = L.confident(docs)
+    assert kept.columns == docs.columns and kept.count() == 240
+    assert {tuple(r)[-3:] for r in kept.collect()} == {(1, "r", None)}
+
+
+def naive_counts(texts):
+    """Trigram codes counted character by character."""
+    out = {}
+    for t in texts:
+        a, b = 32, 32
+        for c in t.encode():
+            c = c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32
+            if c != 32:
+                code = ((c | b << 8 | a << 16) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - L.BITS)
+                out[code] = out.get(code, 0) + 1
+            a, b = b, c
+    return out
+
+
+def test_model_matches_naive_counts(docs_of):
+    rows = corpus(n=60) + [(900, "Über Älg, x9Y", "aa")]
+    docs = docs_of(rows)
+    langs, logp = L.train(docs, max_rows=None)
+    for k, lang in enumerate(langs):
+        n = naive_counts([t for _, t, x in rows if x == lang])
+        total = sum(n.values()) + L.SMOOTH * (1 << L.BITS)
+        want = np.log([(n.get(c, 0) + L.SMOOTH) / total for c in range(1 << L.BITS)])
+        assert np.abs(logp[:, k] - want).max() < 1e-4
+
+
 def test_empty_table_and_no_labels(docs_of):
     assert L.identify(docs_of([]), L.learnable(docs_of([]))).count() == 0
     got = predict(docs_of([(1, "some text", None)]))
