@@ -1,9 +1,9 @@
 """Corpus preparation: language ID, near-dedup, repeated-passage removal,
 source mixing and packing, each stage written as Parquet and reread.
 
-Every stage works on all rows its predecessor kept. Null texts and texts
-without a letter end at the first stage; extra columns of ``documents`` pass
-through all stages but the last.
+Every stage works on all rows its predecessor kept. Null texts, texts without
+a letter and texts in no known language end at the first stage; extra columns
+of ``documents``, whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from stayline.llm.staging import staged, table
 
 
 def known_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents in one or several known languages; noise and unlearned
+    scripts go."""
     return langid.confident(docs)
 
 
@@ -31,7 +32,7 @@ def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = suffix_dedup.without_repeats(docs, length=200)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return left.where(mixing.word_count(F.col("text")) > 0).select(*docs.columns)
+    return left.where(mixing.word_count(F.col("text")) > 0)
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
