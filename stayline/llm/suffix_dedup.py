@@ -365,7 +365,9 @@ def _bucketed(df: DataFrame, key: str) -> DataFrame:
     name = path.rsplit("/", 1)[1].replace("-", "_")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the entry only; the files of an external table stay
+    return out
 
 
 def repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, hot: int = HOT,

@@ -28,6 +28,7 @@ def stages(spark):
     docs = spark.createDataFrame([(*r, len(r[1]) if r[1] is not None else None) for r in rows],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     docs = docs.withColumn("key", F.lit("extra")).withColumn("kept", F.lit(1)).withColumn("row", F.lit(None).cast("int"))
+    docs = docs.withColumn("a.b", F.lit(2))
     out = [docs]
     for name, stage in C.STAGES:
         out.append(staged(stage(spark, out[-1], ""), f"test-{name}"))
@@ -40,7 +41,7 @@ def test_all_but_the_last_keep_the_columns(stages):
     assert [n for n, _ in C.STAGES] == ["known_language", "near_dedup", "cut_repeats", "mix_sources", "pack"]
 
 
-def test_language_stage_rejects_only_what_has_none(stages):
+def test_language_stage_rejects_only_what_has_no_known_one(stages):
     frames, _ = stages
     ids = lambda f: sorted(r.doc_id if r.doc_id is not None else -1 for r in f.select("doc_id").collect())
     assert ids(frames[1]) == [i for i in ids(frames[0]) if i not in (302, 303, 304)]
