@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import oracle as O
 from ..functions import day_diff, hour_diff, pct, plus_days_keep_time
+from ..operators.chunks import ordered_chunks
 from ..operators.profile import column_profile, ordered_template
 from ..operators.scan import asc_nulls_last
 from .common import (avg1, check_row, cnt, cnt_if, models, side_by_side, sql_avg1, sql_check,
@@ -965,26 +966,23 @@ SQL["sample_rows_by_type"] = O.with_models(
     f"LIMIT {SAMPLE_HEAD})")
 
 
+STAYS_PER_CHUNK = 5
+
+
 @q("patient_stay_array")
 def patient_stay_array(spark, sf):
-    """Each patient's stays as ordered arrays of row objects
-    (start, stop, id), one array per patient and admission day, rendered as
-    text. Chunking by day keeps every array bounded by one day's stays of one
-    patient, however long a patient's history grows."""
-    s = models(spark, sf).stays
-    g = s.groupBy("patient_id", F.to_date("admitted_at").alias("stay_day")).agg(
-        F.sort_array(F.collect_list(F.struct("admitted_at", "discharged_at", "encounter_id")))
-        .alias("stays"))
+    """Each patient's whole history of stays as ordered arrays of row
+    objects (start, stop, id), rendered as text."""
+    g = ordered_chunks(models(spark, sf).stays, ["patient_id"], "stay_seq",
+                       ["admitted_at", "discharged_at", "encounter_id"], STAYS_PER_CHUNK)
     return g.select(
-        "patient_id", "stay_day", F.size("stays").cast("bigint").alias("n_stays"),
-        F.array_join(F.transform("stays", lambda x: F.concat_ws(
+        "patient_id", "chunk", F.size("items").cast("bigint").alias("n_stays"),
+        F.array_join(F.transform("items", lambda x: F.concat_ws(
             "|", x["admitted_at"].cast("string"), x["discharged_at"].cast("string"),
             x["encounter_id"])), ";").alias("stays"))
 
 
 SQL["patient_stay_array"] = O.with_models(
-    "SELECT patient_id, CAST(admitted_at AS DATE) AS stay_day, CAST(COUNT(*) AS BIGINT) AS n_stays, "
+    f"SELECT patient_id, (stay_seq - 1) // {STAYS_PER_CHUNK} AS chunk, count(*) AS n_stays, "
     "string_agg(concat_ws('|', CAST(admitted_at AS VARCHAR), CAST(discharged_at AS VARCHAR), "
-    "encounter_id), ';' ORDER BY admitted_at NULLS FIRST, discharged_at NULLS FIRST, "
-    "encounter_id NULLS FIRST) AS stays "
-    "FROM stay GROUP BY patient_id, CAST(admitted_at AS DATE)")
+    "encounter_id), ';' ORDER BY stay_seq) AS stays FROM stays_numbered GROUP BY ALL")
