@@ -16,7 +16,7 @@ def op1_toxicity(spark, sf_dir):
     d = toxicity.score(table(spark, sf_dir, "documents"), labels)
     return d.select("doc_id", langid.held_out(4, 2).alias("held_out"), "score",
                     (F.col("score") >= 0.3).cast("int").alias("predicted"),
-                    F.size("sentences").alias("n_offending"))
+                    F.size("sentences").alias("n_offending"), "sentences")
 
 
 def op2_minhash_dedup(spark, sf_dir):

@@ -13,7 +13,8 @@ Scoring reads every whole text once and needs no shuffle.
 
 Defined results: null and empty texts score 0; rows that repeat a doc_id are
 scored one by one; a doc_id labelled both ways counts as toxic; without labels
-of both classes every score is 0.
+of both classes every score is 0; an empty table gives no rows. Only doc_id and
+text are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -157,6 +158,20 @@ def fit(rows, steps: int = STEPS):
     return weights, float(bias)
 
 
+def offending(p: np.ndarray, text: np.ndarray, whole: np.ndarray, flag: float) -> np.ndarray:
+    """Which sentences carry their text's score: of a text that reaches
+    ``flag``, the likeliest ones until their noisy-or reaches it, and all that
+    reach it alone."""
+    order = np.lexsort((np.arange(len(p)), -p, text))
+    none = np.log1p(-np.minimum(p, 1 - 1e-15))[order]
+    before = np.cumsum(none) - none
+    first = np.flatnonzero(np.concatenate(([True], text[order][1:] != text[order][:-1]))) if len(p) else order
+    before -= np.repeat(before[first], np.diff(np.append(first, len(p))))
+    out = np.zeros(len(p), bool)
+    out[order] = (p[order] >= flag) | (1 - np.exp(before) < flag)
+    return out & (whole[text] >= flag)
+
+
 def _score(model, flag: float):
     def run(batches):
         weights, bias = model.value
@@ -167,10 +182,11 @@ def _score(model, flag: float):
                 code, owner, text, first, last = sentences(raw[lo:hi])
                 mine = np.unique(owner << BITS | code)
                 z = bias + np.bincount(mine >> BITS, weights=weights[mine & ((1 << BITS) - 1)], minlength=len(text))
-                score.append(noisy_or(z, text, hi - lo))
+                whole = noisy_or(z, text, hi - lo)
+                score.append(whole)
                 p = 1 / (1 + np.exp(-z))
                 found = [[] for _ in range(hi - lo)]
-                for s in np.flatnonzero(p >= flag):
+                for s in np.flatnonzero(offending(p, text, whole, flag)):
                     r = raw[lo + text[s]]
                     a = len(r[:first[s]].decode("utf-8", "ignore"))
                     found[text[s]].append({"start": a, "end": a + len(r[first[s]:last[s]].decode("utf-8", "ignore")),
@@ -185,9 +201,10 @@ def _score(model, flag: float):
 
 
 def score(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, flag: float = FLAG) -> DataFrame:
-    """doc_id, score and the offending sentences (start and end character,
-    own probability >= ``flag``) of every row of ``docs``; learned from
-    ``labels`` (doc_id, toxic), which the caller has restricted."""
+    """doc_id, score and the offending sentences (start and end character, own
+    probability) of every row of ``docs``, see :func:`offending`: every text
+    that scores ``flag`` has one, no other has; learned from ``labels`` (doc_id,
+    toxic), which the caller has restricted."""
     spark = docs.sparkSession
     rows = (training_rows(docs, labels, per_class)
             .mapInArrow(_features, "y int, of long, code array<int>, sent array<int>")

@@ -69,6 +69,30 @@ def test_noisy_or_matches_product():
     assert T.noisy_or(z, text, 4) == pytest.approx(want)
 
 
+def test_sentences_that_carry_a_text():
+    """Against a plain loop: the likeliest until they reach the flag, and all that reach it alone."""
+    rnd = random.Random(4)
+    text = np.sort([rnd.randrange(40) for _ in range(300)])
+    p = np.array([rnd.choice([0.01, 0.1, 0.2, 0.29, 0.3, 0.9, 1.0]) for _ in text])
+    whole = np.array([1 - np.prod(1 - p[text == t]) for t in range(40)])
+    got = T.offending(p, text, whole, 0.3)
+    for t in range(40):
+        mine = sorted(np.flatnonzero(text == t), key=lambda i: (-p[i], i))
+        want, free = set(), 1.0
+        for i in mine if whole[t] >= 0.3 else []:
+            if p[i] >= 0.3 or 1 - free < 0.3:
+                want.add(i)
+            free *= 1 - p[i]
+        assert set(np.flatnonzero(got & (text == t))) == want
+    assert len(T.offending(np.zeros(0), np.zeros(0, int), np.zeros(0), 0.3)) == 0
+
+
+def test_every_flagged_document_has_a_sentence(spark, sf_small):
+    from stayline.llm.queries import op1_toxicity
+    for r in op1_toxicity(spark, sf_small.replace("0.001", "0.01")).collect():
+        assert (r.predicted == 1) == (r.n_offending > 0) == (len(r.sentences) > 0)
+
+
 def test_sentences_are_cut_and_folded():
     code, owner, text, first, last = T.sentences([b"Ab cd! x", b"", "é f\ng".encode()])
     assert text.tolist() == [0, 0, 2, 2] and first.tolist() == [0, 7, 0, 5] and last.tolist() == [5, 8, 4, 6]
