@@ -48,7 +48,7 @@ def op6_hnsw_search(spark, sf_dir):
 
 
 def op7_license_scan(spark, sf_dir):
-    """License phrases and templates in all lines of all texts."""
+    """License phrases, and templates in windows of all texts."""
     return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
