@@ -1,8 +1,8 @@
 """Registered queries: the data-quality suite (Q1-Q14).
 
-The column tests are declared as data (like the model YAML they mirror);
-both the Spark checks and the oracle SQL are generated from the same
-declarations, while the check logic itself is written on each side.
+The column tests are declared as data; both the Spark checks and the oracle
+SQL are generated from the same declarations, while the check logic itself is
+written on each side. The report fuses them by table (``operators.checks``).
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..operators import quality
+from ..operators import checks, quality
 from ..operators.sweep import sweep
+from ..session import materialize
 from .common import cnt, cnt_if, models, sql_check
 from .q_profile import SQL_EXCL, _exclusions
 
@@ -88,63 +89,79 @@ def relationship_rows(m) -> DataFrame:
         for t, c, pt, pc in RELATIONSHIPS])
 
 
-def singular_checks(m) -> dict:
-    """The singular tests: name -> builder of its violating rows."""
+class _Lazy(dict):
+    """Tables by name, resolved when a check asks for them."""
+
+    def __init__(self, m):
+        self.m = m
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = _resolve(self.m, name)
+        return self[name]
+
+
+def row_rules() -> dict:
+    """The singular tests on rows of one table: name -> (table, violation)."""
     r, pl, un = F.col("readmitted_30d"), F.col("is_planned_readmission"), \
         F.col("unplanned_readmitted_30d")
     zip3, geo = F.col("zip3"), F.col("geo_known")
     return {
-        "encounters_no_negative_stay":
-            lambda: m.encounters.filter(F.col("length_of_stay_hours") < 0),
-        "episodes_planned_unplanned_split":
-            lambda: m.inpatient_episodes.filter((r != (pl | un)) | (pl & un)),
-        "episodes_readmission_window":
-            lambda: m.inpatient_episodes.filter(
-                (r == True) & ~F.col("days_to_next_admission").between(1, 30)),  # noqa: E712
-        "patients_geo_consistency":
-            lambda: m.patients.filter((zip3.isNull() & (geo == True))  # noqa: E712
-                                      | (zip3.isNotNull() & (geo == False))),  # noqa: E712
-        "features_365d_within_all_time":
-            lambda: m.episode_features.filter(
-                F.col("prior_episodes_365d") > F.col("prior_episodes")),
-        "features_prior_episodes_match": lambda: prior_mismatches(m),
-        "features_valid_ranges":
-            lambda: m.episode_features.filter(
-                (F.col("age_at_admission") < 0) | (F.col("age_at_admission") > 120)
-                | (F.col("length_of_stay_days") < 0) | (F.col("prior_episodes") < 0)),
+        "encounters_no_negative_stay": ("encounters", F.col("length_of_stay_hours") < 0),
+        "episodes_planned_unplanned_split": ("inpatient_episodes", (r != (pl | un)) | (pl & un)),
+        "episodes_readmission_window": (
+            "inpatient_episodes", (r == True) & ~F.col("days_to_next_admission").between(1, 30)),  # noqa: E712
+        "patients_geo_consistency": (
+            "patients", (zip3.isNull() & (geo == True)) | (zip3.isNotNull() & (geo == False))),  # noqa: E712
+        "features_365d_within_all_time": (
+            "episode_features", F.col("prior_episodes_365d") > F.col("prior_episodes")),
+        "features_valid_ranges": (
+            "episode_features", (F.col("age_at_admission") < 0) | (F.col("age_at_admission") > 120)
+            | (F.col("length_of_stay_days") < 0) | (F.col("prior_episodes") < 0)),
     }
 
 
-def prior_mismatches(m) -> DataFrame:
+def singular_checks(m) -> dict:
+    """The singular tests: name -> builder of its violating rows."""
+    rules = {name: lambda t=t, p=p: _resolve(m, t).filter(p) for name, (t, p) in row_rules().items()}
+    return {**rules, "features_prior_episodes_match": lambda: prior_mismatches(m)}
+
+
+def prior_mismatches(m, features: DataFrame | None = None) -> DataFrame:
     """Recount every feature row's earlier episodes (all episodes
     of the patient admitted strictly before it) and keep the mismatches.
-    The recount is a timeline sweep, not a self-join, so no pairs are made."""
-    f = m.episode_features
-    hits = sweep(["patient_id"], ["episode_id"],
-                 {"f": f.select("patient_id", "episode_id", F.col("admitted_at").alias("ts"))},
+    The recount is a timeline sweep, not a self-join, so no pairs are made;
+    its query rows carry the count to be checked."""
+    f = m.episode_features if features is None else features
+    hits = sweep(["patient_id"], ["episode_id", "prior_episodes"],
+                 {"f": f.select("patient_id", "episode_id", "prior_episodes", F.col("admitted_at").alias("ts"))},
                  {"e": m.inpatient_episodes.select("patient_id", F.col("admitted_at").alias("ts"))},
                  [("earlier", "e", "count_before")])
-    j = f.select("episode_id", "prior_episodes").join(
-        hits.select("episode_id", F.coalesce("earlier", F.lit(0)).cast("bigint")
-                    .alias("recounted")), "episode_id", "left")
-    return j.filter(F.coalesce(F.col("recounted"), F.lit(0)) != F.col("prior_episodes"))
+    recounted = F.coalesce("earlier", F.lit(0)).cast("bigint")
+    return hits.select("episode_id", "prior_episodes", recounted.alias("recounted")) \
+        .filter(F.col("recounted") != F.col("prior_episodes"))
+
+
+#: rows counted and held against an expected number: check -> (table, rows)
+def row_counts() -> dict:
+    return {"episodes_eligible_count": ("inpatient_episodes", F.col("is_eligible_index")),
+            "features_row_count": ("episode_features", F.lit(True))}
+
+
+def _expected(m, expected: int | None):
+    """The expected count as a column. Without an explicit number it is the
+    eligible count of the profiling path (deaths by date, hospice EXISTS): one
+    number, so a scalar subquery and not a join."""
+    if expected is not None:
+        return F.lit(expected).cast("bigint")
+    return _exclusions(m).agg(cnt_if(~F.col("died_in_episode") & ~F.col("to_hospice"))).scalar()
 
 
 def row_count_checks(m, expected: int | None = None) -> DataFrame:
     """Q5 + Q11: eligible episodes and feature rows against an expected
-    count. Without an explicit number the expectation is the eligible count
-    of the independent profiling path (deaths by date, hospice EXISTS)."""
-    if expected is None:
-        x = _exclusions(m)
-        # the expectation is one number: a scalar subquery, not a join
-        exp = x.agg(cnt_if(~F.col("died_in_episode") & ~F.col("to_hospice"))).scalar()
-    else:
-        exp = F.lit(expected).cast("bigint")
-    el = m.inpatient_episodes.agg(cnt_if(F.col("is_eligible_index")).alias("actual")) \
-        .select(F.lit("episodes_eligible_count").alias("check_name"), "actual")
-    fr = m.episode_features.agg(cnt().alias("actual")) \
-        .select(F.lit("features_row_count").alias("check_name"), "actual")
-    r = el.unionByName(fr).withColumn("expected", exp)
+    count."""
+    actual = reduce(DataFrame.unionByName, [
+        checks.tally(_resolve(m, t), [({"check_name": n}, p)]) for n, (t, p) in row_counts().items()])
+    r = actual.withColumnRenamed("violations", "actual").withColumn("expected", _expected(m, expected))
     return r.select("check_name", "actual", "expected",
                     F.when(F.col("actual") != F.col("expected"), 1).otherwise(0).cast("bigint")
                     .alias("violations"))
@@ -194,22 +211,35 @@ def dq_row_count(spark, sf):
     return row_count_checks(models(spark, sf))
 
 
+def _narrow(m, name: str) -> DataFrame:
+    """The columns of a core table that checks read, written once where the
+    model is not a table already."""
+    columns = dict.fromkeys(NOT_NULL[name] + [c for t, c, *_ in RELATIONSHIPS if t == name])
+    return _resolve(m, name) if name in m.tables else materialize(_resolve(m, name).select(*columns))
+
+
 def full_report(m, expected: int | None = None) -> DataFrame:
-    """Q14: every check in one report (name, violations, status).
+    """Q14: every check in one report (name, violations, status), fused: one
+    aggregate per table for all its row checks and counts, one grouping of keys
+    for all uniqueness and referential checks, one sweep for the recount.
     ``expected``: the number of eligible episodes the row-count checks hold
-    the model against. Conditions and procedures feed five checks each; where
-    they are not tables already, they are written once first."""
-    m.share(*[t for t in ("conditions", "procedures") if t not in m.tables])
-    nn = not_null_rows(m).select(F.concat_ws("_", F.lit("not_null"), "model", "column_name")
-                                 .alias("check_name"), "violations")
-    un = unique_rows(m).select(F.concat_ws("_", F.lit("unique"), "model", "column_name")
-                               .alias("check_name"), "violations")
-    rel = relationship_rows(m).select(
-        F.concat_ws("_", F.lit("relationships"), "model", "column_name", "to_model")
-        .alias("check_name"), "violations")
-    rc = row_count_checks(m, expected).select("check_name", "violations")
-    singles = [quality.count_rows(n, fn()) for n, fn in singular_checks(m).items()]
-    return quality.report([nn, un, rel, rc] + singles)
+    the model against."""
+    frames = _Lazy(m)
+    frames.update({t: _narrow(m, t) for t in ("conditions", "procedures")})
+    f = m.episode_features
+    frames["episode_features"] = f = f if "episode_features" in m.tables else materialize(f)
+    by_table: dict[str, list] = {t: [({"check_name": f"not_null_{t}_{c}"}, F.col(c).isNull()) for c in cols]
+                                 for t, cols in NOT_NULL.items()}
+    for name, (t, p) in {**row_rules(), **row_counts()}.items():
+        by_table[t].append(({"check_name": name}, p))
+    keys = checks.key_pass(
+        frames, unique=[({"check_name": f"unique_{t}_{c}"}, t, c) for t, c in UNIQUE],
+        related=[({"check_name": f"relationships_{t}_{c}_{pt}"}, t, c, pt, pc) for t, c, pt, pc in RELATIONSHIPS])
+    counted = [checks.tally(frames[t], of) for t, of in by_table.items()]
+    rows = reduce(DataFrame.unionByName, [keys, *counted]).withColumn(
+        "violations", F.when(F.col("check_name").isin(*row_counts()),
+                             (F.col("violations") != _expected(m, expected)).cast("bigint")).otherwise(F.col("violations")))
+    return quality.report([rows, quality.count_rows("features_prior_episodes_match", prior_mismatches(m, f))])
 
 
 @q("dq_report")
