@@ -25,10 +25,12 @@ in a larger share of its words or, the shares being equal, a rival of more
 words: "CC BY-NC" is not "CC BY" as well. Windows of rivals are joined by
 blocks of the greatest window length, so no group grows with a text.
 
-``grants`` is the scan by telling words: a template is found by the words that
-tell it from others, which must stand one after another, and a long one by the
-share of its words in a window around them, across line ends. Its templates
-are literals of the plan.
+``grants`` is the same join with a table of (label, template, key). Its windows
+lie in line with the key, the words that tell a template from others, and hold
+``SLACK`` words more on either side where there is one. They too are found by
+the template's rarest words and pass the length and the positional filter; an
+exact check follows: the key's words stand one after another, and the window
+holds ``percent`` of the template's distinct words.
 
 What reaches the driver grows with the templates only: one count per template
 word, the prefix words and the greatest length. Full license texts are
@@ -42,9 +44,6 @@ are ignored. An empty table, also of templates, gives no row, and no match.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,23 +151,55 @@ def template_table(spark) -> DataFrame:
         F.struct(F.lit(label).alias("label"), F.lit(t).alias("template")) for label, t in TEMPLATES])))
 
 
+def words_of(col):
+    """Words of a text column in their order."""
+    return F.filter(F.split(F.trim(spaced(lowered(col))), " "), lambda w: w != "")
+
+
+def rarest_first(t: DataFrame, flat: DataFrame) -> DataFrame:
+    """``t`` (a unique tid, ``all`` the words of a template, more columns) with
+    ``words``, the distinct ones in the global order: by the number of rows of
+    ``flat`` holding a word, then by word."""
+    each = t.select("tid", F.explode(F.array_distinct("all")).alias("w"))
+    vocabulary = sorted(r["w"] for r in each.select("w").distinct().collect())
+    held = flat.select(F.explode(F.array_intersect(F.split("flat", " "), _strings(vocabulary))).alias("w"))
+    order = (each.join(held.groupBy("w").agg(F.count(F.lit(1)).alias("rows")), "w", "left").groupBy("tid")
+             .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("rows", F.lit(0)).alias("rows"), "w"))).alias("o")))
+    return t.join(order, "tid").withColumn("words", F.col("o.w")).drop("o")
+
+
 def template_index(templates: DataFrame, flat: DataFrame, percent: int) -> DataFrame:
     """(tid, label, words in the global order, n, need, length) of every
-    template with a word, ``tid`` its label and text. The order is by the
-    number of rows of ``flat`` holding a word, then by word."""
+    template with a word, ``tid`` its label and text."""
     t = (templates.where("label IS NOT NULL").select("label", "template").distinct()
-         .withColumn("all", F.filter(F.split(F.trim(spaced(lowered(F.col("template")))), " "), lambda w: w != ""))
-         .withColumn("n", F.size(F.array_distinct("all"))).where("n > 0")
-         .select(F.to_json(F.array("label", "template")).alias("tid"), "label", "n", F.size("all").alias("size"),
-                 F.explode(F.array_distinct("all")).alias("w")))
-    vocabulary = sorted(r["w"] for r in t.select("w").distinct().collect())
-    held = flat.select(F.explode(F.array_intersect(F.split("flat", " "), _strings(vocabulary))).alias("w"))
+         .withColumn("all", words_of(F.col("template"))).withColumn("n", F.size(F.array_distinct("all"))).where("n > 0")
+         .withColumn("tid", F.to_json(F.array("label", "template"))))
     least = F.when(F.col("n") <= FULL, F.col("n")).otherwise(F.ceil(F.col("n") * percent / 100).cast("int"))
-    return (t.join(held.groupBy("w").agg(F.count(F.lit(1)).alias("rows")), "w", "left")
-            .groupBy("tid", "label", "n", "size")
-            .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("rows", F.lit(0)).alias("rows"), "w"))).alias("o"))
-            .select("tid", "label", F.col("o.w").alias("words"), "n", least.alias("need"),
-                    F.when(F.col("n") <= FULL, F.col("size")).otherwise(F.col("size") + SLACK).alias("length")))
+    length = F.when(F.col("n") <= FULL, F.size("all")).otherwise(F.size("all") + SLACK)
+    return rarest_first(t, flat).select("tid", "label", "words", "n", least.alias("need"), length.alias("length"))
+
+
+def grant_table(spark, templates=None) -> DataFrame:
+    """Templates with their telling words as a table of (label, template, key)."""
+    return spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(label).alias("label"), F.lit(t).alias("template"), F.lit(key).cast("string").alias("key"))
+        for label, t, key in (GRANTS if templates is None else templates)])))
+
+
+def grant_index(templates: DataFrame, flat: DataFrame, percent: int, slack: int) -> DataFrame:
+    """(tid, label, key words, words in the global order, n, need, words of the
+    window before the key, length of the window) of every template with a word.
+    Without a key the whole template is the key and the window."""
+    t = (templates.where("label IS NOT NULL").select("label", "template", "key").distinct()
+         .withColumn("tid", F.to_json(F.array("label", "template", "key")))
+         .withColumn("all", words_of(F.col("template"))).withColumn("n", F.size(F.array_distinct("all"))).where("n > 0")
+         .withColumn("key", words_of(F.col("key"))).withColumn("near", F.when(F.size("key") > 0, slack).otherwise(0))
+         .withColumn("key", F.when(F.size("key") > 0, F.col("key")).otherwise(F.col("all"))))
+    at = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.slice("all", i + 1, F.size("key")) == F.col("key"))
+    first = F.coalesce(F.try_element_at(at, F.lit(1)), F.raise_error(F.concat(F.lit("key not in its template: "), "tid")).cast("int"))
+    return rarest_first(t, flat).select(
+        "tid", "label", "key", "words", "n", F.ceil(F.col("n") * percent / 100).cast("int").alias("need"),
+        (first + F.col("near")).alias("before"), (F.size("all") + 2 * F.col("near")).alias("length"))
 
 
 def rivals(index: DataFrame) -> DataFrame:
@@ -179,9 +210,10 @@ def rivals(index: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("common")).where(2 * F.col("common") >= F.least("n", "other_n")).drop("common"))
 
 
-def window_matches(flat: DataFrame, index: DataFrame) -> DataFrame:
-    """Distinct (tk, tid, label, n, length, start, shared): every window of the
-    texts (``tk``, ``flat``) that meets a template of ``index``."""
+def near_places(flat: DataFrame, index: DataFrame) -> DataFrame:
+    """Places of the prefix words of ``index`` that pass the length and the
+    positional filter: the template's columns, ``tk``, ``pos`` and ``near``, the
+    words around from word number ``low`` on."""
     prefixes = index.select("*", F.posexplode(F.slice("words", 1, F.col("n") - F.col("need") + 1)).alias("k", "word"))
     rare = sorted(r["word"] for r in prefixes.select("word").distinct().collect())
     longest = index.agg(F.max("length")).head()[0] or 1
@@ -198,20 +230,41 @@ def window_matches(flat: DataFrame, index: DataFrame) -> DataFrame:
     first = F.greatest(F.col("pos") - F.col("length") + 1, F.lit(0))
     own = F.slice("near", first - F.col("low") + 1, F.col("pos") - first + F.col("length"))
     later = F.slice("words", F.col("k") + 1, F.col("n") - F.col("k"))
-    near = (places.join(prefixes, "word").withColumn("first", first)
+    return (places.join(prefixes, "word").withColumn("first", first)
             .where(F.size(own) >= F.col("need"))
             .where(F.size(F.array_intersect(later, own)) >= F.col("need")))
 
+
+def window_matches(flat: DataFrame, index: DataFrame) -> DataFrame:
+    """Distinct (tk, tid, label, n, length, start, shared): every window of the
+    texts (``tk``, ``flat``) that meets a template of ``index``."""
     def window(s):
         words = F.slice("near", s - F.col("low") + 1, F.col("length"))
         return F.struct(s.cast("long").alias("start"), F.size(F.array_intersect("words", words)).alias("shared"),
                         F.array_contains("words", words[0]).alias("own"))
     met = F.filter(F.transform(F.sequence("first", "pos"), window),
                    lambda m: m["own"] & (m["shared"] >= F.col("need")))
-    return (near.select("tk", "tid", "label", "n", "length", F.explode(met).alias("m"))
+    return (near_places(flat, index).select("tk", "tid", "label", "n", "length", F.explode(met).alias("m"))
             .select("tk", "tid", "label", "n", "length", "m.start", "m.shared").distinct())
 
 
+def grant_matches(flat: DataFrame, index: DataFrame) -> DataFrame:
+    """Distinct (tk, tid, label, n, start, shared): every place of a key of
+    ``index`` whose window meets the template; start is the key's first word."""
+    # windows around the place, by their first word; those that begin before
+    # the text are cut
+    firsts = F.sequence(F.greatest(F.col("pos") - F.col("length") + 1, -F.col("before")), F.col("pos"))
+    keyed = F.filter(firsts, lambda s: F.slice("near", s + F.col("before") - F.col("low") + 1, F.size("key")) == F.col("key"))
+
+    def window(s):
+        words = F.slice("near", F.greatest(s, F.lit(0)) - F.col("low") + 1, F.col("length") + F.least(s, F.lit(0)))
+        return F.struct((s + F.col("before")).cast("long").alias("start"),
+                        F.size(F.array_intersect("words", words)).alias("shared"))
+    met = F.filter(F.transform(keyed, window), lambda m: m["shared"] >= F.col("need"))
+    return (near_places(flat, index).select("tk", "tid", "label", "n", F.explode(met).alias("m"))
+            .select("tk", "tid", "label", "n", "m.start", "m.shared").distinct())
+
+
 def best_matches(met: DataFrame, index: DataFrame) -> DataFrame:
     """The rows of ``met`` that give way to no window of a rival."""
     longest = index.agg(F.max("length")).head()[0] or 1
@@ -243,19 +296,14 @@ def phrase_places(words, phrases: dict[str, str]):
     return F.concat(*found)
 
 
-def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: DataFrame | None = None,
-         percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_words, places (array of (start, label)) and matches (array of
-    (start, label, containment)) of every row of ``docs``. ``templates`` is a
-    table of (label, template). Matches are found once per text, told by its
-    128-bit digest."""
-    phrases = PHRASES if phrases is None else phrases
-    templates = template_table(docs.sparkSession) if templates is None else templates
-    flat = docs.select("doc_id", F.md5("text").alias("tk"), spaced(lowered(F.col("text"))).alias("flat"))
-    index = staged(template_index(templates, flat, percent), "license-templates")
-    met = staged(window_matches(flat, index), "license-windows")
-    matches = (best_matches(met, index).groupBy("tk").agg(F.sort_array(F.collect_list(F.struct(
-        "start", "label", (F.col("shared") / F.col("n")).alias("containment")))).alias("matches")))
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.md5("text").alias("tk"), spaced(lowered(F.col("text"))).alias("flat"))
+
+
+def _answer(flat: DataFrame, met: DataFrame, phrases: dict[str, str]) -> DataFrame:
+    """doc_id, n_words, places and matches of every row of ``flat``."""
+    matches = met.groupBy("tk").agg(F.sort_array(F.collect_list(F.struct(
+        "start", "label", (F.col("shared") / F.col("n")).alias("containment")))).alias("matches"))
     last = sorted({p.split(" ")[-1] for p in phrases})
     bare = F.trim("flat")
     n_words = F.when(bare == "", 0).otherwise(F.length(bare) - F.length(F.replace(bare, F.lit(" "), F.lit(""))) + 1)
@@ -268,10 +316,23 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: Data
                                                 F.coalesce("matches", none).alias("matches"))
 
 
+def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: DataFrame | None = None,
+         percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_words, places (array of (start, label)) and matches (array of
+    (start, label, containment)) of every row of ``docs``. ``templates`` is a
+    table of (label, template). Matches are found once per text, told by its
+    128-bit digest."""
+    templates = template_table(docs.sparkSession) if templates is None else templates
+    flat = _texts(docs)
+    index = staged(template_index(templates, flat, percent), "license-templates")
+    met = staged(window_matches(flat, index), "license-windows")
+    return _answer(flat, best_matches(met, index), PHRASES if phrases is None else phrases)
+
+
 def grant_rules(templates, percent: int, slack: int):
     """(label, key words, distinct words, need, words before the key, length of
-    the window) of each template. Without a key the whole template is the key
-    and the window."""
+    the window) of each template, for the SQL statement. Without a key the whole
+    template is the key and the window."""
     rules = []
     for label, text, key in templates:
         words, near = word_list(text), slack if key else 0
@@ -289,31 +350,14 @@ def grants(docs: DataFrame, phrases: dict[str, str] | None = None, templates=Non
     template's key, word after word, around which a window of the template's
     length and ``slack`` words on either side, in line with the key, holds
     ``percent`` of the template's distinct words. Windows run across line
-    ends; start is the first word of the key."""
-    phrases = PHRASES if phrases is None else phrases
-    rules = grant_rules(GRANTS if templates is None else templates, percent, slack)
-    flat = docs.select("doc_id", spaced(lowered(F.col("text"))).alias("flat"))
-    bare = F.trim("flat")
-    n_words = F.when(bare == "", 0).otherwise(F.length(bare) - F.length(F.replace(bare, F.lit(" "), F.lit(""))) + 1)
-    keys = sorted({*phrases, *(" ".join(key) for _, key, *_ in rules)})
-    holds = {k: F.col("flat").contains(f" {k} ") for k in keys}
-    d = flat.withColumn("words", F.when(reduce(or_, holds.values()), F.split(bare, " ")))
-
-    def found(label, key, distinct, need, before, length):
-        def shared(p):
-            window = F.slice("words", F.greatest(p["start"] - before, F.lit(0)).cast("int") + 1,
-                             (length + F.least(p["start"] - before, F.lit(0))).cast("int"))
-            return F.size(F.array_intersect(_strings(distinct), window))
-        at = F.transform(phrase_places(F.col("words"), {" ".join(key): label}), lambda p: F.struct(
-            p["start"].alias("start"), p["label"].alias("label"), (shared(p) / len(distinct)).alias("containment")))
-        return F.filter(at, lambda m: m["containment"] >= need / len(distinct))
-
-    none = F.array().cast("array<struct<start:bigint,label:string>>")
-    nothing = F.array().cast("array<struct<start:bigint,label:string,containment:double>>")
-    places = [F.when(holds[p], phrase_places(F.col("words"), {p: label})).otherwise(none) for p, label in phrases.items()]
-    matches = [F.when(holds[" ".join(rule[1])], found(*rule)).otherwise(nothing) for rule in rules]
-    return d.select("doc_id", n_words.cast("long").alias("n_words"), F.concat(*places).alias("places"),
-                    F.concat(*matches).alias("matches"))
+    ends; start is the first word of the key. ``templates`` is a table, or a
+    list, of (label, template, key)."""
+    if not isinstance(templates, DataFrame):
+        templates = grant_table(docs.sparkSession, templates)
+    flat = _texts(docs)
+    index = staged(grant_index(templates, flat, percent, slack), "license-grants")
+    met = staged(grant_matches(flat, index), "license-windows")
+    return _answer(flat, met, PHRASES if phrases is None else phrases)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def op7_license_scan(spark, sf_dir):
 
 
 def op7_license_grants(spark, sf_dir):
-    """License phrases, and grants by the words that tell licenses apart."""
+    """License phrases, and grants in windows around the words that tell licenses apart."""
     return license_scan.digest(license_scan.grants(table(spark, sf_dir, "documents")))
 
 

@@ -158,3 +158,21 @@ def test_grants_match_brute_force(docs_of):
         return sorted(found)
     rows = L.grants(docs_of(list(enumerate(texts)))).collect()
     assert {r.doc_id: sorted(map(tuple, r.matches)) for r in rows} == {i: one(t) for i, t in enumerate(texts)}
+
+
+def test_grants_join_a_table_of_templates(spark, docs_of):
+    """Templates come as a table; their rarest words lead to the windows, and the key is checked there."""
+    text = "the grantor gives the bearer use of the crystal works without charge"
+    table = spark.createDataFrame([("own", text, "crystal works"), ("own", text, "crystal works"), ("whole", "open to all", None),
+                                   (None, "some words", None), ("wordless", "--", None)], "label string, template string, key string")
+    docs = docs_of([(1, "x the grantor gives\nthe bearer use of the crystal works, without charge"), (2, "crystal works"),
+                    (3, "the grantor gives the bearer use of the works without crystal charge"), (4, "Open to\nall"), (5, None),
+                    (6, "crystal works without charge the grantor gives the bearer use of the")])
+    assert labels(L.grants(docs, templates=table)) == {1: "own", 2: "", 3: "", 4: "whole", 5: "", 6: ""}
+    assert set(labels(L.grants(docs, templates=table.limit(0))).values()) == {""}
+    flat = L._texts(docs)
+    index = L.grant_index(table, flat, 80, L.SLACK)
+    (own,) = index.where("label = 'own'").collect()
+    assert (own.n, own.need, own.before, own.length) == (10, 8, 8 + L.SLACK, 12 + 2 * L.SLACK)
+    assert own.words[-1] == "works" and {r.word for r in L.near_places(flat, index).where("label = 'own'").collect()} <= set(own.words[:3])
+    assert [(r.start, r.shared) for r in L.grant_matches(flat, index).where("label = 'own'").collect()] == [(9, 10)]
