@@ -176,3 +176,31 @@ def test_models_with_a_hot_patient_auto_switch(spark, sf_small):
     finally:
         spark.conf.unset("stayline.scan.maxRowsPerKey")
     assert auto == plain and len(plain) > 0
+
+
+def test_feature_layout_counts_all_timeline_rows(spark, monkeypatch):
+    """Parts of the layout follow the rows that meet in them, disorders too;
+    an episode table laid out in fewer parts is dealt anew."""
+    import datetime as dt
+
+    from stayline.operators import layout
+
+    from .rawframes import inpatient, models_from, patient
+
+    def models():
+        return models_from(
+            spark, [patient(str(p)) for p in range(5)],
+            [inpatient(f"e{p}", str(p), "2020-02-01", "2020-02-05") for p in range(5)],
+            [{"PATIENT": str(i % 5), "CODE": str(i), "DESCRIPTION": "x (disorder)", "START": dt.date(2020, 1, 1),
+              "STOP": dt.date(2020, 1, 15) + dt.timedelta(days=i)} for i in range(40)])
+
+    def counts(m):
+        return sorted((r.patient_id, r.active_disorders_at_discharge) for r in m.episode_features.collect())
+
+    few = counts(models())
+    assert sum(n for _, n in few) == 19  # those that stop on 5 February or later: i >= 21
+    monkeypatch.setattr(layout, "ROWS_PER_BUCKET", 10)
+    together, apart = models(), models()
+    assert counts(together) == few and together.buckets == together._feature_buckets == (3 * 40 + 4 * 5) // 10
+    apart.inpatient_episodes.count()
+    assert apart.buckets < apart._feature_buckets == 14 and counts(apart) == few
