@@ -70,9 +70,8 @@ def _count(langs: list[str]):
     def run(batches):
         total = np.zeros((len(langs), 1 << BITS), np.int64)
         for pdf in batches:
-            raw = tb.encode(pdf["text"])
-            for lo, hi in tb.chunks([len(r) for r in raw]):
-                codes, off = ngrams(raw[lo:hi])
+            for lo, hi, raw in tb.pieces(pdf["text"]):
+                codes, off = ngrams(raw)
                 who = np.array([index[x] for x in pdf["lang"].iloc[lo:hi]])
                 for l in np.unique(who):
                     mine = np.repeat(who == l, np.diff(off))
@@ -145,10 +144,9 @@ def judge(texts, langs: list[str], table: np.ndarray):
     """(predictions, scores, mixtures, evidence) of a sequence of texts;
     evidence: log likelihood of the mixture, less a penalty per language, above
     that of the background (minus infinity for und)."""
-    raw = tb.encode(texts)
     pred, score, shares, evidence = [], [], [], []
-    for lo, hi in tb.chunks([len(r) for r in raw]):
-        codes, off = ngrams(raw[lo:hi])
+    for lo, hi, raw in tb.pieces(texts):
+        codes, off = ngrams(raw)
         for i in range(hi - lo):
             mine = codes[off[i]:off[i + 1]]
             if not langs or len(mine) == 0 or not has_letter(texts[lo + i]):
@@ -209,12 +207,14 @@ def confident(docs: DataFrame, evidence: float = EVIDENCE, max_rows: int | None
     language often begin with them. All columns stay, whatever their names."""
     langs, logp = train(learnable(docs), max_rows)
     table = docs.sparkSession.sparkContext.broadcast(logp)
+    at = [c.lower() for c in docs.columns].index("text")  # the row holds it, so it moves once
 
     def run(batches):
         for b in batches:
-            found = judge(b.column("text").to_pylist(), langs, table.value)[3]
+            row = b.column("row")
+            found = judge(row.field(at).to_pylist(), langs, table.value)[3]
             known = pa.array([e > evidence for e in found], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("row").filter(known)], names=["row"])
-    rows = docs.select(whole_row(docs).alias("row"), "text")
+            yield pa.RecordBatch.from_arrays([row.filter(known)], names=["row"])
+    rows = docs.select(whole_row(docs).alias("row"))
     out = rows.mapInArrow(run, T.StructType([rows.schema["row"]]))
     return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -62,9 +62,8 @@ def _signer(k: int):
 
     def run(batches):
         for pdf in batches:
-            raw = tb.encode(pdf["text"])
-            for lo, hi in tb.chunks([len(r) for r in raw]):
-                h, off = tb.words(raw[lo:hi])
+            for lo, hi, raw in tb.pieces(pdf["text"]):
+                h, off = tb.words(raw)
                 out = []
                 for i in range(hi - lo):
                     s = tb.shingles(h[off[i]:off[i + 1]], k)
@@ -85,9 +84,8 @@ def _signer(k: int):
 def _setter(k: int):
     def run(batches):
         for pdf in batches:
-            raw = tb.encode(pdf["text"])
-            for lo, hi in tb.chunks([len(r) for r in raw]):
-                h, off = tb.words(raw[lo:hi])
+            for lo, hi, raw in tb.pieces(pdf["text"]):
+                h, off = tb.words(raw)
                 sets = [tb.shingles(h[off[i]:off[i + 1]], k).view(np.int64) for i in range(hi - lo)]
                 yield pd.DataFrame({"tk": pdf["tk"].iloc[lo:hi].to_numpy(), "shingles": sets})
     return run

@@ -91,9 +91,8 @@ def _grams(length: int, gram: int):
     repeated inside a text is one row), and one gram's bytes as a sample."""
     def run(batches):
         for pdf in batches:
-            raw = tb.encode(pdf["text"])
-            for lo, hi in tb.chunks([len(r) for r in raw]):
-                text, at, _, _, g, _ = anchors(raw[lo:hi], length, gram)
+            for lo, hi, raw in tb.pieces(pdf["text"]):
+                text, at, _, _, g, _ = anchors(raw, length, gram)
                 cut = np.searchsorted(text, np.arange(hi - lo + 1))
                 hs, times, sample = [], [], []
                 for i in range(hi - lo):
@@ -102,10 +101,10 @@ def _grams(length: int, gram: int):
                     hs.append(kinds)
                     times.append(n.astype(np.int32))
                     p = at[cut[i] + int(np.argmin(tb.mix64(h)))] if len(h) else 0
-                    sample.append(raw[lo + i][p:p + gram] if len(h) else None)
+                    sample.append(raw[i][p:p + gram] if len(h) else None)
                 yield pd.DataFrame({"tk": pdf["tk"].iloc[lo:hi].to_numpy(),
-                                    "n_bytes": [len(r) for r in raw[lo:hi]],
-                                    "sha": [hashlib.sha256(r).hexdigest() for r in raw[lo:hi]],
+                                    "n_bytes": [len(r) for r in raw],
+                                    "sha": [hashlib.sha256(r).hexdigest() for r in raw],
                                     "h": hs, "times": times, "sample": sample,
                                     "doc_id": pdf["doc_id"].iloc[lo:hi].to_numpy()})
     return run
@@ -115,9 +114,8 @@ def _members(length: int, gram: int):
     """Anchors of a text whose gram is in its list ``hs``."""
     def run(batches):
         for pdf in batches:
-            raw = tb.encode(pdf["text"])
-            for lo, hi in tb.chunks([len(r) for r in raw]):
-                text, at, first, last, g, c = anchors(raw[lo:hi], length, gram)
+            for lo, hi, raw in tb.pieces(pdf["text"]):
+                text, at, first, last, g, c = anchors(raw, length, gram)
                 cut = np.searchsorted(text, np.arange(hi - lo + 1))
                 keep = np.zeros(len(g), bool)
                 for i in range(hi - lo):

@@ -11,6 +11,8 @@ import numpy as np
 BASE = 0x9E3779B97F4A7C15
 BASE_INV = pow(BASE, -1, 1 << 64)
 CHUNK_BYTES = 1 << 21
+#: for :func:`pieces`; a hash pass takes about 50 bytes of arrays per byte
+PIECE_BYTES = 1 << 19
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -61,6 +63,22 @@ def encode(texts) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
 
 
+def pieces(texts, limit: int = PIECE_BYTES):
+    """(lo, hi, encoded texts) of consecutive texts that sum to at most ``limit``
+    bytes (a larger single one is a piece of its own). No more than a piece is
+    encoded at a time, so a worker's memory does not grow with its batch."""
+    lo, raw, total = 0, [], 0
+    for i, t in enumerate(texts):
+        (b,) = encode((t,))
+        if raw and total + len(b) > limit:
+            yield lo, i, raw
+            lo, raw, total = i, [], 0
+        raw.append(b)
+        total += len(b)
+    if raw:
+        yield lo, lo + len(raw), raw
+
+
 def words(raw: list[bytes]):
     """Word hashes of ASCII-lower-cased texts, words being runs of bytes other
     than space and \\t..\\r: (hashes, offsets), text i having

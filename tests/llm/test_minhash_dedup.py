@@ -89,3 +89,17 @@ def test_estimate_counts_agreeing_codes(spark):
     chance = 2.0 ** -M.BITS
     assert got == pytest.approx((1 - 1 / M.PERMS - chance) / (1 - chance))
     assert M._agree(np.stack([a, b]).view(np.uint64), 0, np.array([1]))[0] == M.PERMS - 1
+
+
+def test_texts_are_encoded_piece_by_piece():
+    """Pieces are bounded, in order and whole, and no text is encoded before its piece is due."""
+    from stayline.llm import textbytes as tb
+
+    texts = ["a" * 3, None, "é" * 4, "", "b" * 25, "c"]
+    got = list(tb.pieces(texts, 10))
+    assert [g[:2] for g in got] == [(0, 2), (2, 4), (4, 5), (5, 6)]
+    assert [r for _, _, raw in got for r in raw] == tb.encode(texts)
+    seen = []
+    first = next(tb.pieces((seen.append(t) or t for t in ["x" * 8] * 1000), 10))
+    assert first == (0, 1, [b"x" * 8]) and len(seen) == 2
+    assert list(tb.pieces([], 10)) == []
